@@ -103,9 +103,24 @@ SONG_FILES = 20
 
 # ---------------------------------------------------------------------------
 
-RAW_SONG = T.StructType.fromDDL(RAW_SONG_DDL)
-USER_ACTION = T.StructType.fromDDL(USER_ACTION_DDL)
-RECOMMENDATION = T.StructType.fromDDL(RECOMMENDATION_DDL)
+_SCALARS = {
+    "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _type(text: str) -> T.DataType:
+    return T.ArrayType(_type(text[6:-1])) if text.startswith("array<") else _SCALARS[text]
+
+
+def _schema(columns: str) -> T.StructType:
+    """StructType.fromDDL needs a running session; these lists must be readable without one."""
+    return T.StructType([T.StructField(name, _type(kind)) for name, kind in map(str.split, columns.split(","))])
+
+
+RAW_SONG = _schema(RAW_SONG_DDL)
+USER_ACTION = _schema(USER_ACTION_DDL)
+RECOMMENDATION = _schema(RECOMMENDATION_DDL)
 METADATA_COLUMNS = ["title", "artist_name", "album_name", "year"]
 
 

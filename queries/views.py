@@ -59,3 +59,46 @@ FILLED_CTE = (
     SONGS_CTE + ",\nfilled AS (SELECT * REPLACE (COALESCE(song_hotttnesss, danceability * 10) AS song_hotttnesss) FROM songs)"
 )
 ACTIONS_CTE = f"actions AS ({duck(ACTIONS)})"
+
+# Action records as JSON text, one per event. Ten in sixteen differ from the plain form, so that each
+# decoding rule meets rows it accepts and rows it rejects.
+RECORD_PARTS = """
+    event_id, CAST(user_id AS {text}) AS u, {song} AS s,
+    CAST(ROUND(LEAST(value, 250) / 25) / 2 AS {text}) AS r,
+    CASE WHEN event_type IN ('error', 'signup') THEN 'skipped' ELSE 'listened' END AS a,
+    CAST({millis} AS {text}) AS ms
+"""
+RECORD = """
+CASE event_id % 16
+    WHEN 6 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":"', ms, '"}')
+    WHEN 7 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, ',"page":[1,{}]}')
+    WHEN 8 THEN concat('{"songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, '}')
+    WHEN 9 THEN concat('{"userId":null,"songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, '}')
+    WHEN 10 THEN concat('{"userId":', u, ',"songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, '}')
+    WHEN 11 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":"","action":"', a, '","timestamp":', ms, '}')
+    WHEN 12 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":null,"action":"', a, '","timestamp":', ms, '}')
+    WHEN 13 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":', r, ',"action":"', a, '","timestamp":', ms, '}')
+    WHEN 14 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":"', r, '","action":"', a)
+    WHEN 15 THEN concat('{"userId":"', u, '","songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, '.0}')
+    ELSE concat('{"userId":"', u, '","songId":"', s, '","rating":"', r, '","action":"', a, '","timestamp":', ms, '}')
+END AS value
+"""
+
+
+def records(spark: SparkSession, folder: str) -> DataFrame:
+    parts = RECORD_PARTS.format(
+        text="STRING", song="get_json_object(props, '$.k')",
+        millis="timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)",
+    )
+    events = table(spark, folder, "events")
+    events.createOrReplaceTempView("encore_events")
+    return spark.sql(f"SELECT event_id, {RECORD} FROM (SELECT {parts} FROM encore_events) e")
+
+
+RECORDS_CTE = "records AS (SELECT event_id, {} FROM (SELECT {} FROM events) e)".format(
+    RECORD, RECORD_PARTS.format(text="VARCHAR", song="json_extract_string(props, '$.k')", millis="epoch_ms(ts)")
+)
+
+# Means of decimal numbers often lie exactly on a rounding tie, where the last bit of a sum would decide.
+# Both engines add this before they round to six places, which moves such ties off the boundary.
+OFF_TIE = "0.00000002"
