@@ -27,9 +27,12 @@ def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
     Rules: userId, songId and action must be present, and a string or null. The rating must be a number
     or numeric text, the timestamp a whole number or digits. `action_ms` keeps the timestamp as sent.
     """
-    parsed = records.withColumn("_json", F.try_parse_json(column))
-    for name in ACTION_JSON_FIELDS:
-        parsed = parsed.withColumns({f"_type_{name}": _json_type(name), f"_text_{name}": _json_text(name)})
+    fields = [c for name in ACTION_JSON_FIELDS
+              for c in (_json_type(name).alias(f"_type_{name}"), _json_text(name).alias(f"_text_{name}"))]
+    # A generator of one row keeps the optimizer from copying the parsing into every later use of a field.
+    parsed = records.withColumn("_json", F.try_parse_json(column)).select(
+        *records.columns, F.inline(F.array(F.struct(*fields)))
+    )
     rating, sent = _rating(), _whole_number()
     texts = [F.col(f"_type_{name}").isin("STRING", "VOID") for name in ("userId", "songId", "action")]
     # A missing field has a null type, so the comparison is null: not accepted.

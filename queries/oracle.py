@@ -79,12 +79,12 @@ POPULAR_RECS = ("SELECT song_id AS row_key, title AS song_name, artist_name, alb
 
 PARSED_CTES = (RECORDS_CTE, """fields AS (
     SELECT event_id, value, j,
-           json_type(j, '$.userId') AS ut, json_type(j, '$.songId') AS st, json_type(j, '$.action') AS at,
+           json_type(j, '$.userId') AS ut, json_type(j, '$.songId') AS st, json_type(j, '$.action') AS kind,
            json_type(j, '$.rating') AS rt, json_type(j, '$.timestamp') AS tt,
            json_extract_string(j, '$.rating') AS r, json_extract_string(j, '$.timestamp') AS t
     FROM (SELECT event_id, value, CASE WHEN json_valid(value) THEN value END AS j FROM records))""", """parsed AS (
     SELECT *, COALESCE(
-        ut IN ('VARCHAR', 'NULL') AND st IN ('VARCHAR', 'NULL') AND at IN ('VARCHAR', 'NULL')
+        ut IN ('VARCHAR', 'NULL') AND st IN ('VARCHAR', 'NULL') AND kind IN ('VARCHAR', 'NULL')
         AND rt IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') AND TRY_CAST(r AS DOUBLE) IS NOT NULL
         AND (tt IN ('UBIGINT', 'BIGINT') OR (tt = 'VARCHAR' AND regexp_full_match(t, '[+-]?[0-9]+'))), FALSE) AS accepted
     FROM fields)""", """sent AS (

@@ -96,7 +96,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 RECORDS_CTE = "records AS (SELECT event_id, {} FROM (SELECT {} FROM events) e)".format(
-    RECORD, RECORD_PARTS.format(text="VARCHAR", song="json_extract_string(props, '$.k')", millis="epoch_ms(ts)")
+    RECORD, RECORD_PARTS.format(text="VARCHAR", song="json_extract_string(props, '$.k')", millis="epoch_us(ts) // 1000")
 )
 
 # Means of decimal numbers often lie exactly on a rounding tie, where the last bit of a sum would decide.
