@@ -18,12 +18,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,19 +164,18 @@ def _with_position(vectors: DataFrame, dims: list[str]) -> DataFrame:
     The bits of the cell numbers are then strung together, always taking the next bit from the
     dimension whose cells are still the widest.
     """
-    fractions = [i / CELLS_PER_DIMENSION for i in range(1, CELLS_PER_DIMENSION)]
-    quantiles = vectors.agg(
-        *[F.percentile_approx(d, fractions, 4 * CELLS_PER_DIMENSION).alias(d) for d in dims]
+    fractions = ", ".join(str(i / CELLS_PER_DIMENSION) for i in range(1, CELLS_PER_DIMENSION))
+    quantiles = vectors.selectExpr(
+        *[f"percentile_approx({d}, array({fractions}), {4 * CELLS_PER_DIMENSION}) AS {d}" for d in dims]
     ).first()
     cuts = {d: sorted(set(quantiles[d])) for d in dims}
-    cells = {d: f"_cell_{d}" for d in dims}
     bucketed = Bucketizer(
         splitsArray=[[-float("inf"), *cuts[d], float("inf")] for d in dims],
-        inputCols=dims, outputCols=list(cells.values()),
+        inputCols=dims, outputCols=[f"_cell_{d}" for d in dims],
     ).transform(vectors)
     width = {d: cuts[d][-1] - cuts[d][0] for d in dims}
     bits_left = {d: len(cuts[d]).bit_length() for d in dims}
-    position: Column = F.lit(0).cast("long")
+    bits = ["0L"]
     for place in range(POSITION_BITS - 1, -1, -1):
         open_dims = [d for d in dims if bits_left[d]]
         if not open_dims:
@@ -184,9 +183,8 @@ def _with_position(vectors: DataFrame, dims: list[str]) -> DataFrame:
         widest = max(open_dims, key=width.get)
         bits_left[widest] -= 1
         width[widest] /= 2
-        bit = F.shiftright(F.col(cells[widest]).cast("long"), bits_left[widest]).bitwiseAND(F.lit(1).cast("long"))
-        position = position.bitwiseOR(F.shiftleft(bit, place))
-    return bucketed.withColumn("_position", position)
+        bits.append(f"shiftleft(shiftright(CAST(_cell_{widest} AS BIGINT), {bits_left[widest]}) & 1L, {place})")
+    return bucketed.withColumn("_position", F.expr(" | ".join(bits)))
 
 
 def top_k(
@@ -225,7 +223,7 @@ def top_k(
 
 
 def _hits(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
-    spread = users.repartition(4 * parallelism(users.sparkSession), user)
+    spread = users.repartition(2 * parallelism(users.sparkSession), user)
     if index.directory is None:
         return _scan(spread, index, user, positive_only)
     return _search(spread, index, user, positive_only)
@@ -273,6 +271,8 @@ def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool)
             yield batch.assign(chunk=chunk, floor=-np.inf)[visit.names]
 
     def meet_first(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        if visitors.empty:
+            return pd.DataFrame(columns=hit_or_visit.names)
         known, members = directory.value, members.sort_values(item, kind="stable")
         keys, vectors = members[item].to_numpy(), visitors[dims].to_numpy(np.float64)
         wanted = visitors["wanted"].to_numpy()
@@ -298,9 +298,11 @@ def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool)
                     **{item: keys[0], "score": 0.0, "floor": worst[row], "chunk": known.chunk[col]}
                 )
             )
-        return pd.concat(parts)[hit_or_visit.names] if parts else members.iloc[:0].reindex(columns=hit_or_visit.names)
+        return pd.concat(parts)[hit_or_visit.names] if parts else pd.DataFrame(columns=hit_or_visit.names)
 
     def meet_again(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        if visitors.empty:
+            return pd.DataFrame(columns=hit.names)
         members = members.sort_values(item, kind="stable")
         keys, names = members[item].to_numpy(), visitors[user].to_numpy()
         parts = [
@@ -329,7 +331,7 @@ def _meet(users: DataFrame, index: ItemIndex, user: str, meet, schema: T.StructT
     crowd = min(max(int(asked["n"].sum()) // (4 * parallelism(spark)), MIN_GROUP_USERS), MAX_GROUP_USERS)
     asked["copies"] = -(-asked["n"] // crowd)
     groups, most = int(asked["copies"].sum()), int(asked["copies"].max())
-    tasks = min(groups, max(4 * parallelism(spark), groups // 8))
+    tasks = min(groups, max(2 * parallelism(spark), groups // 8))
     asked = asked[["chunk", "copies"]]
     visitors = (
         users.join(F.broadcast(spark.createDataFrame(asked)), "chunk")
