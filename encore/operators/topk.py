@@ -106,9 +106,13 @@ def index_items(
     broadcast_rows: int = BROADCAST_ROWS,
     chunk_rows: int | None = None,
 ) -> ItemIndex:
-    """Prepare a catalogue for `top_k`. `broadcast_rows=0` forces the clustered plan."""
-    vectors = materialize(as_vectors(items, item, features, metric, on_missing), "vectors")
-    rows, key_bytes = vectors.agg(F.count("*"), F.max(F.octet_length(F.col(item).cast("string")))).first()
+    """Prepare a catalogue for `top_k`. `broadcast_rows=0` forces the clustered plan.
+
+    `items` is read up to three times, so it should be a stored table.
+    """
+    vectors = as_vectors(items, item, features, metric, on_missing)
+    known = items.filter(F.col(item).isNotNull())
+    rows, key_bytes = known.agg(F.count("*"), F.max(F.octet_length(F.col(item).cast("string")))).first()
     index = ItemIndex(vectors.schema[item], list(features), metric, on_missing, vectors)
     row_bytes = 8 * len(features) + (key_bytes or 0)
     if rows == 0 or (rows <= broadcast_rows and rows * row_bytes <= BROADCAST_BYTES):

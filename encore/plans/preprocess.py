@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from encore.operators.impute import columns_with_gaps, fill_with, fit_line
 from encore.schemas import (
-    DROPPED_SONG_COLUMNS, IMPUTE_FEATURES, IMPUTED_SONG_COLUMNS, RENAMED_SONG_COLUMNS, SONG_FILES,
+    DROPPED_SONG_COLUMNS, IMPUTE_FEATURES, IMPUTED_SONG_COLUMNS, RENAMED_SONG_COLUMNS,
 )
 from encore.sinks.files import overwrite_parquet
 
@@ -37,6 +37,6 @@ def clean_songs(
     return pruned.withColumnsRenamed({f"{label}_filled": label for label in imputed})
 
 
-def preprocess(raw: DataFrame, path: str, files: int | None = SONG_FILES) -> DataFrame:
-    """Write the clean song table to `path`, in `files` files (None: as many as the scan gives)."""
+def preprocess(raw: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Write the clean song table to `path`: as the scan is split, or spread over `files` files."""
     return overwrite_parquet(clean_songs(raw), path, files)

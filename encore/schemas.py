@@ -99,7 +99,6 @@ POPULAR_SONGS = 100
 SONGS_PER_USER = 10
 ALS_ITERATIONS, ALS_REGULARISATION = 10, 0.1
 SONG_BUCKETS = 50
-SONG_FILES = 20
 
 # ---------------------------------------------------------------------------
 

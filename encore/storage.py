@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scopes: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach; a temporary one only in local mode with none set."""
@@ -28,5 +32,22 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, and it survives lost executors."""
     path = scratch_path(df.sparkSession, purpose)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what `materialize` wrote inside the scope when it ends. Write final results before that."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            location = hadoop.Path(path)
+            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)

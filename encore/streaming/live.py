@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from encore.functions.actions import accepted_actions, decode_actions, rejected_records
-from encore.operators.topk import ItemIndex
+from encore.operators.catalogue import Catalogue
 from encore.plans.content import as_recommendations
-from encore.plans.live import live_catalogue, live_index, live_matches
-from encore.schemas import LIVE_FEATURES, SONGS_PER_USER
+from encore.plans.live import live_matches
+from encore.schemas import SONGS_PER_USER
 from encore.sinks.files import upsert, write_batch
+from encore.storage import scratch_scope
 
 
 @dataclass(frozen=True)
@@ -27,19 +28,6 @@ class LiveTables:
     rejects: str
 
 
-@dataclass(frozen=True)
-class Catalogue:
-    """The song table as it was when the job started: one row per song, and its index."""
-
-    songs: DataFrame
-    index: ItemIndex
-
-    @classmethod
-    def of(cls, songs: DataFrame, features: list[str] = LIVE_FEATURES, **options) -> "Catalogue":
-        rows = live_catalogue(songs, features).persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(rows, live_index(rows, features, **options))
-
-
 def process_batch(
     records: DataFrame, batch: int, stream: str, catalogue: Catalogue, tables: LiveTables, k: int = SONGS_PER_USER
 ) -> None:
@@ -52,8 +40,9 @@ def process_batch(
         actions = accepted_actions(decoded)
         write_batch(actions, tables.lake, stream, batch)
         write_batch(rejected_records(decoded), tables.rejects, stream, batch)
-        matches = live_matches(actions, catalogue.songs, catalogue.index, k=k)
-        upsert(as_recommendations(matches), tables.serving, stream, batch, version=time.time_ns() // 1_000_000)
+        with scratch_scope(records.sparkSession):
+            matches = as_recommendations(live_matches(actions, catalogue, k))
+            upsert(matches, tables.serving, stream, batch, version=time.time_ns() // 1_000_000)
     finally:
         decoded.unpersist()
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from encore.functions import vectors as vec
 from encore.functions.actions import accepted_actions, decode_actions, encode_action, rejected_records
 from encore.operators import tables as ops
+from encore.operators.catalogue import Catalogue
 from encore.operators.impute import impute
-from encore.operators.topk import index_items
 from encore.plans import content, feed, live
 from encore.plans.collab import als_matches
 from encore.plans.popularity import popular_recommendations, popular_songs
@@ -24,7 +24,7 @@ from encore.sources.cells import cells_from_rows, rows_from_cells
 from encore.sources.records import decode_json, decode_utf8, record_files
 from encore.sources.tables import file_actions
 from encore.storage import scratch_path
-from encore.streaming.live import Catalogue, LiveTables, start
+from encore.streaming.live import LiveTables, start
 from queries import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,8 +147,8 @@ def sql_cosine_function(spark, folder):
 
 def _content(spark, folder, **options):
     songs = views.filled_songs(spark, folder)
-    index = index_items(songs, "song_id", BATCH_FEATURES, **options)
-    return content.content_matches(views.actions(spark, folder), songs, index=index)
+    catalogue = Catalogue.of(songs, BATCH_FEATURES, **options)
+    return content.content_matches(views.actions(spark, folder), songs, catalogue=catalogue)
 
 
 @query
@@ -294,9 +294,8 @@ def live_profile(spark, folder):
 
 
 def _live(spark, folder, **options):
-    catalogue = live.live_catalogue(views.songs(spark, folder))
-    index = live.live_index(catalogue, **options)
-    return live.live_matches(views.actions(spark, folder), catalogue, index)
+    catalogue = live.live_catalogue(views.songs(spark, folder), **options)
+    return live.live_matches(views.actions(spark, folder), catalogue)
 
 
 @query
@@ -315,9 +314,8 @@ def _stream(spark, folder) -> LiveTables:
     base = scratch_path(spark, "stream")
     views.records(spark, folder).select("value").write.text(f"{base}/in")
     tables = LiveTables(f"{base}/lake", f"{base}/serving", f"{base}/rejects")
-    songs = Catalogue.of(views.songs(spark, folder))
+    songs = live.live_catalogue(views.songs(spark, folder))
     start(file_actions(spark, f"{base}/in"), songs, tables, f"{base}/checkpoint", None).awaitTermination()
-    songs.songs.unpersist()
     return tables
 
 

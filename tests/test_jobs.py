@@ -1,5 +1,7 @@
 """The recommenders, imputation and preprocessing on small hand-made tables."""
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -10,11 +12,14 @@ from encore.plans.collab import (
     als_matches, best_by_factors, fit_als, indexed_ratings, training_rows,
 )
 from encore.plans.content import as_recommendations, content_matches, user_profiles
-from encore.plans.live import live_catalogue, live_index, live_matches
+from encore.plans.live import live_catalogue, live_matches
 from encore.plans.popularity import popular_recommendations, popular_songs
 from encore.plans.preprocess import clean_songs, preprocess
 from encore.schemas import CLEAN_SONG, RAW_SONG
-from encore.storage import scratch_path
+from encore.plans.daily import run_daily
+from encore.sinks.catalog import recommendation_table
+from encore.sinks.files import read_keyed
+from encore.storage import materialize, scratch_path, scratch_scope
 from queries import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -76,7 +81,7 @@ def test_live_rules(spark):
         "user_id string, song_id string, action_type string",
     )
     catalogue = live_catalogue(songs, ["p", "q"])
-    matches = live_matches(actions, catalogue, live_index(catalogue, ["p", "q"]), ["p", "q"])
+    matches = live_matches(actions, catalogue)
     # x was played; y only skipped; z is opposite but counts; n has a null read as 0; y is one song.
     assert [(r.user_id, r.song_id) for r in matches.orderBy("rank").collect()] == [("u", "y"), ("u", "n"), ("u", "z")]
 
@@ -169,3 +174,23 @@ def test_als_job(spark):
     assert counts.filter("count != 10").count() == 0
     assert counts.count() == actions.filter("action_type != 'skipped'").select("user_id").distinct().count()
     assert matches.filter("song_id = 'unknown'").count() == 0
+
+
+def test_daily_batch(spark):
+    tables = {name: f"t_daily_{name}" for name in ("popular", "content", "als")}
+    for name, table in tables.items():
+        recommendation_table(spark, table, scratch_path(spark, name))
+    serving = {name: scratch_path(spark, f"serving-{name}") for name in ("popular", "content")}
+    songs = views.filled_songs(spark, FOLDER)
+    run_daily(spark, views.actions(spark, FOLDER), songs, tables, serving)
+    assert spark.table(tables["popular"]).count() == 100
+    assert spark.table(tables["als"]).count() == 10 * 150
+    assert read_keyed(spark, serving["content"]).count() == spark.table(tables["content"]).count() > 1000
+
+
+def test_scratch_scope_removes_its_tables(spark):
+    with scratch_scope(spark):
+        table = materialize(spark.range(3), "scope")
+        assert table.count() == 3
+    path = table.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert not os.path.exists(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.plans import feed
 from encore.plans.content import as_recommendations
-from encore.plans.live import live_matches
+from encore.plans.live import live_catalogue, live_matches
 from encore.functions.actions import accepted_actions, decode_actions
 from encore.schemas import RAW_SONG, RECOMMENDATION, USER_ACTION
 from encore.sinks import catalog, files
@@ -15,7 +15,7 @@ from encore.sources import records
 from encore.sources.cells import rows_from_cells
 from encore.sources.tables import file_actions, kafka_actions, read_parquet, read_table
 from encore.storage import scratch_path, shared_folder
-from encore.streaming.live import Catalogue, LiveTables, process_batch, start
+from encore.streaming.live import LiveTables, process_batch, start
 from queries import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -143,7 +143,7 @@ def test_kafka_needs_its_connector(spark):
 
 @pytest.fixture(scope="module")
 def catalogue(spark):
-    return Catalogue.of(views.songs(spark, FOLDER))
+    return live_catalogue(views.songs(spark, FOLDER))
 
 
 def test_stream_equals_batches_and_survives_a_restart(spark, catalogue, tmp_path):
@@ -170,7 +170,7 @@ def test_stream_equals_batches_and_survives_a_restart(spark, catalogue, tmp_path
     keys = set()
     for group in groups:
         actions = accepted_actions(decode_actions(group))
-        matches = live_matches(actions, catalogue.songs, catalogue.index)
+        matches = live_matches(actions, catalogue)
         keys |= {r.row_key for r in as_recommendations(matches).collect()}
     assert {r.row_key for r in files.read_keyed(spark, tables.serving).collect()} == keys
 
