@@ -54,19 +54,17 @@ def register_sql_functions(spark: SparkSession) -> None:
     """)
 
 
-def feature_column(name: str, on_missing: str) -> Column:
-    """A feature as double. Null or NaN raises ("error") or counts as 0.0 ("zero")."""
-    value = F.col(name).cast("double")
-    missing = value.isNull() | F.isnan(value)
-    if on_missing == "zero":
-        return F.when(missing, F.lit(0.0)).otherwise(value)
-    if on_missing == "error":
-        return F.when(missing, F.raise_error(F.lit(f"null or NaN in feature column {name}"))).otherwise(value)
-    raise ValueError(f"on_missing must be 'error' or 'zero', not {on_missing!r}")
+def feature_sql(name: str, on_missing: str) -> str:
+    """SQL text of a feature as double. Null or NaN raises ("error") or counts as 0.0 ("zero")."""
+    value = f"CAST(`{name}` AS DOUBLE)"
+    replacements = {"zero": "0D", "error": f"raise_error('null or NaN in feature column {name}')"}
+    if on_missing not in replacements:
+        raise ValueError(f"on_missing must be 'error' or 'zero', not {on_missing!r}")
+    return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN {replacements[on_missing]} ELSE {value} END"
 
 
 def with_features(df: DataFrame, features: list[str], on_missing: str = "error") -> DataFrame:
-    return df.withColumns({c: feature_column(c, on_missing) for c in features})
+    return df.withColumns({c: F.expr(feature_sql(c, on_missing)) for c in features})
 
 
 def mean_vector(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:

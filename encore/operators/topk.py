@@ -17,8 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -27,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.functions.vectors import feature_column
+from encore.functions.vectors import feature_sql
 from encore.operators.kernels import HALF_TIE, best_matches, score_bounds
 from encore.storage import materialize
 
@@ -37,6 +35,7 @@ BROADCAST_BYTES = 64 << 20
 # Limits of a clustered one: the chunk directory every task sees stays below a few MB, so chunks
 # grow with the catalogue instead.
 MAX_CHUNKS = 1 << 14
+DIRECTORY_BYTES = 8 << 20
 MIN_CHUNK_ROWS = 1 << 9
 # Users in one group of the clustered plan.
 MIN_GROUP_USERS, MAX_GROUP_USERS = 1 << 8, 1 << 16
@@ -51,18 +50,17 @@ def parallelism(spark: SparkSession) -> int:
 
 def as_vectors(df: DataFrame, key: str, features: list[str], metric: str, on_missing: str) -> DataFrame:
     """`key` and one double column per dimension, scaled to length 1 for cosine (zero stays zero)."""
-    checked = df.filter(F.col(key).isNotNull()).select(
-        key, *[feature_column(c, on_missing).alias(f"v{i}") for i, c in enumerate(features)]
+    dims = [f"v{i}" for i in range(len(features))]
+    checked = df.filter(F.col(key).isNotNull()).selectExpr(
+        f"`{key}`", *[f"{feature_sql(c, on_missing)} AS {d}" for c, d in zip(features, dims)]
     )
     if metric == "dot":
         return checked
     if metric != "cosine":
         raise ValueError(f"metric must be 'cosine' or 'dot', not {metric!r}")
-    dims = [F.col(f"v{i}") for i in range(len(features))]
-    length = F.sqrt(reduce(add, [d * d for d in dims]))
-    return checked.withColumn("_length", length).select(
-        key, *[F.when(F.col("_length") > 0, d / F.col("_length")).otherwise(0.0).alias(f"v{i}")
-               for i, d in enumerate(dims)]
+    measured = checked.selectExpr("*", f"sqrt({' + '.join(f'{d} * {d}' for d in dims)}) AS _length")
+    return measured.selectExpr(
+        f"`{key}`", *[f"CASE WHEN _length > 0 THEN {d} / _length ELSE 0D END AS {d}" for d in dims]
     )
 
 
@@ -128,7 +126,8 @@ def _with(index: ItemIndex, **changes) -> ItemIndex:
 def _cluster(index: ItemIndex, rows: int, chunk_rows: int | None) -> ItemIndex:
     """Sort by position in space and cut the order into chunks of equal row count."""
     spark, item = index.vectors.sparkSession, index.item.name
-    shift = (max(chunk_rows or MIN_CHUNK_ROWS, -(-rows // MAX_CHUNKS)) - 1).bit_length()
+    chunks = max(1, min(MAX_CHUNKS, DIRECTORY_BYTES // (16 * len(index.dims) + 64)))
+    shift = (max(chunk_rows or MIN_CHUNK_ROWS, -(-rows // chunks)) - 1).bit_length()
     files = max(1, min(rows >> shift, max(parallelism(spark), rows >> (shift + 4))))
     clustered = materialize(
         _with_position(index.vectors, index.dims)
@@ -139,13 +138,13 @@ def _cluster(index: ItemIndex, rows: int, chunk_rows: int | None) -> ItemIndex:
         .select(F.shiftright(F.monotonically_increasing_id(), shift).alias("chunk"), item, *index.dims),
         "chunks",
     )
-    lengths = F.sqrt(reduce(add, [F.col(d) * F.col(d) for d in index.dims]))
+    squares = " + ".join(f"{d} * {d}" for d in index.dims)
     entries = (
         clustered.groupBy("chunk")
         .agg(
-            F.count("*").alias("rows"), F.min(item).alias("first_key"), F.max(lengths).alias("longest"),
-            *[F.min(d).alias(f"low_{d}") for d in index.dims],
-            *[F.max(d).alias(f"high_{d}") for d in index.dims],
+            F.expr("count(*)").alias("rows"), F.min(item).alias("first_key"), F.expr(f"sqrt(max({squares}))").alias("longest"),
+            *[F.expr(f"min({d}) AS low_{d}") for d in index.dims],
+            *[F.expr(f"max({d}) AS high_{d}") for d in index.dims],
         )
         .toPandas()
         .sort_values(["first_key", "chunk"], ignore_index=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.functions import keys
 from encore.functions.actions import accepted_actions, decode_actions, encode_action, rejected_records
-from encore.functions.vectors import cosine, cosine_of, mean_array, mean_vector, register_sql_functions, vec_add, vec_scale
+from encore.functions.vectors import cosine, cosine_of, feature_sql, mean_array, mean_vector, register_sql_functions, vec_add, vec_scale
 
 NUMBERS = st.floats(-100, 100, allow_nan=False).map(lambda x: round(x, 3))
 PAIRS = st.lists(st.tuples(*[st.lists(NUMBERS, min_size=3, max_size=3)] * 2), min_size=5, max_size=20)
@@ -122,7 +122,5 @@ def test_encode_round_trip(spark):
 
 @pytest.mark.parametrize("wrong", ["drop", ""])
 def test_unknown_policy(spark, wrong):
-    from encore.functions.vectors import feature_column
-
     with pytest.raises(ValueError):
-        feature_column("x", wrong)
+        feature_sql("x", wrong)
