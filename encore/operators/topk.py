@@ -36,7 +36,7 @@ BROADCAST_BYTES = 64 << 20
 # grow with the catalogue instead.
 MAX_CHUNKS = 1 << 14
 DIRECTORY_BYTES = 8 << 20
-MIN_CHUNK_ROWS = 1 << 9
+MIN_CHUNK_ROWS = 1 << 11
 # Users in one group of the clustered plan.
 MIN_GROUP_USERS, MAX_GROUP_USERS = 1 << 8, 1 << 16
 # Enough cells to tell MAX_CHUNKS places apart even if only three dimensions vary.

@@ -159,7 +159,7 @@ def content_topk(spark, folder):
 @query
 def content_topk_clustered(spark, folder):
     """The same by the plan for catalogues too large to broadcast."""
-    return _content(spark, folder, broadcast_rows=0)
+    return _content(spark, folder, broadcast_rows=0, chunk_rows=1024)
 
 
 @query
@@ -306,7 +306,7 @@ def live_topk(spark, folder):
 
 @query
 def live_topk_clustered(spark, folder):
-    return _live(spark, folder, broadcast_rows=0)
+    return _live(spark, folder, broadcast_rows=0, chunk_rows=1024)
 
 
 def _stream(spark, folder) -> LiveTables:
