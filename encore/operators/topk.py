@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,8 +75,8 @@ class ItemIndex:
     on_missing: str
     vectors: DataFrame
     directory: "Directory | None" = None
-    keys: np.ndarray | None = field(default=None, repr=False)
-    matrix: np.ndarray | None = field(default=None, repr=False)
+    # Sent to the executors once per index, not once per search: (keys, matrix), or the directory.
+    shared: Broadcast | None = field(default=None, repr=False)
 
     @property
     def dims(self) -> list[str]:
@@ -115,7 +116,8 @@ def index_items(
     row_bytes = 8 * len(features) + (key_bytes or 0)
     if rows == 0 or (rows <= broadcast_rows and rows * row_bytes <= BROADCAST_BYTES):
         local = vectors.toPandas().sort_values(item, kind="stable")
-        return _with(index, keys=local[item].to_numpy(), matrix=local[index.dims].to_numpy(np.float64))
+        shared = (local[item].to_numpy(), local[index.dims].to_numpy(np.float64))
+        return _with(index, shared=items.sparkSession.sparkContext.broadcast(shared))
     return _cluster(index, rows, chunk_rows)
 
 
@@ -157,7 +159,7 @@ def _cluster(index: ItemIndex, rows: int, chunk_rows: int | None) -> ItemIndex:
         rows=entries["rows"].to_numpy(),
         first_key=entries["first_key"].to_numpy(),
     )
-    return _with(index, vectors=clustered, directory=directory)
+    return _with(index, vectors=clustered, directory=directory, shared=spark.sparkContext.broadcast(directory))
 
 
 def _with_position(vectors: DataFrame, dims: list[str]) -> DataFrame:
@@ -235,7 +237,7 @@ def _hits(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) ->
 def _scan(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
     """Stream the users past a broadcast catalogue."""
     item, dims = index.item.name, index.dims
-    catalogue = users.sparkSession.sparkContext.broadcast((index.keys, index.matrix))
+    catalogue = index.shared
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, matrix = catalogue.value
@@ -254,8 +256,7 @@ def _scan(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) ->
 
 def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
     """Visit each user's nearest chunk, then every other chunk that may still improve the result."""
-    spark, item, dims = users.sparkSession, index.item.name, index.dims
-    directory = spark.sparkContext.broadcast(index.directory)
+    item, dims, directory = index.item.name, index.dims, index.shared
     visit = T.StructType([
         users.schema[user],
         T.StructField("chunk", T.LongType()),

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_open_scopes: list[list[str]] = []
+# Scopes of the current thread: two live jobs of one process must not delete each other's tables.
+_local = threading.local()
+
+
+def _open_scopes() -> list[list[str]]:
+    if not hasattr(_local, "scopes"):
+        _local.scopes = []
+    return _local.scopes
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,8 +40,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, and it survives lost executors."""
     path = scratch_path(df.sparkSession, purpose)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    if _open_scopes():
+        _open_scopes()[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -42,11 +50,11 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what `materialize` wrote inside the scope when it ends. Write final results before that."""
     paths: list[str] = []
-    _open_scopes.append(paths)
+    _open_scopes().append(paths)
     try:
         yield
     finally:
-        _open_scopes.remove(paths)
+        _open_scopes().pop()
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
             location = hadoop.Path(path)

@@ -103,6 +103,10 @@ def test_feed(spark):
     own["content"].write.orc(path)
     plan = feed.prefix_scan(spark.read.orc(path), "u1")._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(row_key,u1#)" in plan
+    # The condition also reaches the scan of a keyed table, below the choice of the newest rows.
+    files.replace_keyed(own["content"], scratch := scratch_path(spark, "keyed"))
+    keyed = feed.prefix_scan(files.read_keyed(spark, scratch), "u1")
+    assert "StringStartsWith(row_key,u1#)" in keyed._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cells(spark):
