@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm.decontaminate import contaminated
 from encore.llm.mixing import mix_sources, word_count
+from encore.llm.quality import score_quality
 from encore.llm.secrets import find_secrets
 from encore.llm.simhash import near_duplicates
 from encore.llm.urls import judge_urls, rules_frame
@@ -51,3 +53,14 @@ def op10_secret_spans(spark, folder):
 def op4_simhash_groups(spark, folder):
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_subword_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score_quality(docs, table(spark, folder, "labels")).drop("text")
+
+
+@query
+def op9_benchmark_overlaps(spark, folder):
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
