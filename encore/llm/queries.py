@@ -12,6 +12,7 @@ from encore.llm.mixing import mix_sources, word_count
 from encore.llm.quality import score_quality
 from encore.llm.secrets import find_secrets
 from encore.llm.simhash import near_duplicates
+from encore.llm.toxicity import score_toxicity
 from encore.llm.urls import judge_urls, rules_frame
 from encore.session import prepare
 
@@ -64,3 +65,8 @@ def op5_subword_quality(spark, folder):
 @query
 def op9_benchmark_overlaps(spark, folder):
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op3_toxicity_grades(spark, folder):
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
