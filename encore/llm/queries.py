@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.decontaminate import contaminated
 from encore.llm.mixing import mix_sources, word_count
+from encore.llm.neighbours import nearest_neighbours
 from encore.llm.quality import score_quality
 from encore.llm.secrets import find_secrets
 from encore.llm.simhash import near_duplicates
@@ -70,3 +71,9 @@ def op9_benchmark_overlaps(spark, folder):
 @query
 def op3_toxicity_grades(spark, folder):
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_cross_polytope_neighbours(spark, folder):
+    """Queries: the ids divisible by 100, against every row."""
+    return nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
