@@ -13,6 +13,7 @@ from encore.llm.neighbours import nearest_neighbours
 from encore.llm.quality import score_quality
 from encore.llm.secrets import find_secrets
 from encore.llm.simhash import near_duplicates
+from encore.llm.tokenfiles import token_table
 from encore.llm.toxicity import score_toxicity
 from encore.llm.urls import judge_urls, rules_frame
 from encore.session import prepare
@@ -77,3 +78,8 @@ def op3_toxicity_grades(spark, folder):
 def op2_cross_polytope_neighbours(spark, folder):
     """Queries: the ids divisible by 100, against every row."""
     return nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op6_token_files(spark, folder):
+    return token_table(table(spark, folder, "documents"))
