@@ -135,7 +135,7 @@ def _encode(path: str, block_ids: int):
 
         for whole in batches:
             kind = whole.schema.field(0).type
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", 16 << 20):
                 edges, ids = token_ids(texts_of(batch.column("_text")), path)
                 at, names = 0, batch.column(0).to_pylist()
                 while at < len(names):

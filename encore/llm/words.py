@@ -24,7 +24,7 @@ def texts_of(column: pa.Array) -> pa.Array:
     return filled.take(pa.array(np.arange(len(filled))))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch whose texts hold about `limit` bytes; a longer single text is a range of its own."""
     if batch.num_rows == 0:
         return
@@ -33,6 +33,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 16 << 20) -
     edges = np.flatnonzero(np.diff(part)) + 1
     for start, end in zip(np.r_[0, edges], np.r_[edges, batch.num_rows], strict=True):
         yield batch.slice(int(start), int(end - start))
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
