@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.decontaminate import contaminated
 from encore.llm.mixing import mix_sources, word_count
+from encore.llm.mixscore import score_texts
 from encore.llm.neighbours import nearest_neighbours
 from encore.llm.quality import score_quality
 from encore.llm.secrets import find_secrets
@@ -83,3 +84,8 @@ def op2_cross_polytope_neighbours(spark, folder):
 @query
 def op6_token_files(spark, folder):
     return token_table(table(spark, folder, "documents"))
+
+
+@query
+def op1_context_mixing(spark, folder):
+    return score_texts(table(spark, folder, "documents"))
