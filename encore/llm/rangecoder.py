@@ -28,13 +28,13 @@ import numpy as np
 HEADER = struct.Struct("<4sIQIII")
 MAGIC = b"TIDB"
 VERSION = 1
-LANES = 4096
+LANES = 8192
 LEAST_STEPS = 64
 MAX_ID = 65535
 PAIR_BITS = 18
 CLASS_BITS, ID_BITS = 12, 16
 ONE = 1 << CLASS_BITS
-REFRESH = 8
+REFRESH = 12
 U = np.uint64
 LOW32 = U(0xFFFFFFFF)
 
@@ -44,6 +44,10 @@ STRETCH = np.rint(np.log(_P / (1 - _P)) * 256).astype(np.int64)
 SQUASH = np.clip(np.rint(ONE / (1 + np.exp(-(np.arange(4096) - 2048) / 256.0))), 1, ONE - 1).astype(np.int64)
 
 
+# By confidence and whether the prediction held: how the entry moves; 2 stands for a new prediction.
+MOVES = np.array([2, 1, -1, 1, -1, 1, -1, 0])
+
+
 def _squash(x: np.ndarray) -> np.ndarray:
     return SQUASH[np.clip(x, -2047, 2047) + 2048]
 
@@ -78,6 +82,11 @@ class Model:
         else:
             self.by_slot = np.zeros(size, np.int64)
         self.start = np.cumsum(self.frequency) - self.frequency
+        # By id: outcome if not predicted, start and width of its part of that outcome.
+        seen = self.frequency > 0
+        self.kind = np.where(seen, 2, 3)
+        self.inner = np.where(seen, self.start, np.arange(MAX_ID + 1))
+        self.share = np.where(seen, self.frequency, 1)
 
     def _classes(self) -> None:
         """Frequencies of the four outcomes in each of the 32 situations, `ONE` in all."""
@@ -95,6 +104,7 @@ class Model:
         classes[:, 2] += ONE - classes.sum(axis=1)
         self.classes = classes
         self.class_start = np.cumsum(classes, axis=1) - classes
+        self.wide, self.origin = classes.ravel(), self.class_start.ravel() << ID_BITS
         self.odds, self.mixed = odds, mixed
 
     def situation(self) -> None:
@@ -104,18 +114,18 @@ class Model:
         self.guess2, self.guess1 = self.two >> 2, self.one >> 2
         self.where = ((self.two & 3) << 3) | ((self.one & 3) << 1) | (self.guess1 == self.guess2)
 
-    @staticmethod
-    def _moved(entry: np.ndarray, guess: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        sure = entry & 3
-        held = guess == ids
-        return np.where(held, entry + (sure < 3), np.where(sure > 0, entry - 1, ids << 2))
-
-    def update(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        self.second[self.slot] = self._moved(self.two, self.guess2, ids)
-        self.first[self.last] = self._moved(self.one, self.guess1, ids)
+    def update(self, ids: np.ndarray, outcome: np.ndarray, held2: np.ndarray, held1: np.ndarray) -> None:
+        """held2, held1: whether the predictions were right."""
+        fresh = ids << 2
+        for table, at, entry, held in ((self.second, self.slot, self.two, held2), (self.first, self.last, self.one, held1)):
+            move = MOVES.take(((entry & 3) << 1) | held)
+            moved = entry + move
+            # A prediction without confidence gives way.
+            np.copyto(moved, fresh, where=move == 2)
+            table[at] = moved
         self.before, self.last = self.last, ids
         self.said.append(ids)
-        self.outcomes.append((self.where << 2) | outcome | ((self.guess1 == ids) << 7))
+        self.outcomes.append((self.where << 2) | outcome | (held1.astype(np.int64) << 7))
         self.steps += 1
         if self.steps == self.next_refresh:
             self._refresh()
@@ -148,6 +158,27 @@ class Model:
         self.said, self.outcomes = [], []
 
 
+def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Lanes whose top 16 bits are settled, or whose width is too small to go on."""
+    return np.flatnonzero((((low ^ (low + width)) >> U(48)) == 0) | (width < U(1 << 32)))
+
+
+def _narrowed(low: np.ndarray, width: np.ndarray, todo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Low and width of these lanes; a width too small across a border is cut at it, so that no carry can come."""
+    some, span = low[todo], width[todo]
+    across = ((some ^ (some + span)) >> U(48)) != 0
+    if across.any():
+        np.copyto(span, np.minimum(span, (~some + U(1)) & LOW32), where=across)
+    return some, span
+
+
+def _shifted(low: np.ndarray, width: np.ndarray, todo: np.ndarray, some: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Drop the top 16 bits of these lanes; those that are still not ready."""
+    some, span = some << U(16), span << U(16)
+    low[todo], width[todo] = some, span
+    return todo[_unsettled(some, span)]
+
+
 def _shape(count: int) -> tuple[int, int]:
     lanes = max(1, min(LANES, count // LEAST_STEPS))
     return lanes, -(-count // lanes)
@@ -168,29 +199,26 @@ def encode(ids: np.ndarray) -> bytes:
     model = Model(lanes)
     for now in grid:
         model.situation()
-        hit2, hit1 = now == model.guess2, now == model.guess1
-        frequency = model.frequency[now]
-        outcome = np.where(hit2, 0, np.where(hit1, 1, np.where(frequency > 0, 2, 3)))
+        held2, held1 = now == model.guess2, now == model.guess1
+        outcome, inner, share = model.kind.take(now), model.inner.take(now), model.share.take(now)
+        held = held2 | held1
+        np.copyto(outcome, 1, where=held1)
+        np.copyto(outcome, 0, where=held2)
+        np.copyto(inner, 0, where=held)
+        np.copyto(share, 1 << ID_BITS, where=held)
         cell = (model.where << 2) | outcome
-        wide = model.classes.ravel()[cell]
-        plain = outcome == 2
-        inner = np.where(plain, model.start[now], np.where(outcome == 3, now, 0))
-        share = np.where(plain, frequency, np.where(outcome == 3, 1, 1 << ID_BITS))
-        start = (model.class_start.ravel()[cell] << ID_BITS) + wide * inner
+        wide = model.wide.take(cell)
         unit = width >> U(CLASS_BITS + ID_BITS)
-        low += unit * start.astype(U)
-        width = unit * (wide * share).astype(U)
-        while True:
-            same = ((low ^ (low + width)) >> U(48)) == 0
-            todo = np.flatnonzero(same | (width < U(1 << 32)))
-            if not len(todo):
-                break
-            some, span = low[todo], width[todo]
-            span = np.where(same[todo], span, np.minimum(span, (~some + U(1)) & LOW32))
-            out[at[todo]] = (some >> U(48)).astype(np.uint16)
-            at[todo] += 1
-            low[todo], width[todo] = some << U(16), span << U(16)
-        model.update(now, outcome)
+        low += unit * (model.origin.take(cell) + wide * inner).view(U)
+        width = unit * (wide * share).view(U)
+        todo = _unsettled(low, width)
+        while len(todo):
+            some, span = _narrowed(low, width, todo)
+            place = at[todo]
+            out[place] = (some >> U(48)).astype(np.uint16)
+            at[todo] = place + 1
+            todo = _shifted(low, width, todo, some, span)
+        model.update(now, outcome, held2, held1)
     for shift in (48, 32, 16, 0):
         out[at] = ((low >> U(shift)) & U(0xFFFF)).astype(np.uint16)
         at += 1
@@ -224,32 +252,32 @@ def decode(block: bytes) -> np.ndarray:
     for step in range(steps):
         model.situation()
         unit = width >> U(CLASS_BITS + ID_BITS)
-        value = np.minimum((code - low) // unit, U((1 << CLASS_BITS + ID_BITS) - 1)).astype(np.int64)
-        starts = model.class_start[model.where]
-        upper = value >> ID_BITS
-        outcome = (upper >= starts[:, 1]).astype(np.int64) + (upper >= starts[:, 2]) + (upper >= starts[:, 3])
+        value = np.minimum((code - low) // unit, U((1 << CLASS_BITS + ID_BITS) - 1)).view(np.int64)
+        starts, upper = model.class_start.take(model.where, axis=0), value >> ID_BITS
+        outcome = (upper >= starts[:, 1]).astype(np.int64)
+        outcome += upper >= starts[:, 2]
+        outcome += upper >= starts[:, 3]
         cell = (model.where << 2) | outcome
-        wide = model.classes.ravel()[cell]
-        origin = model.class_start.ravel()[cell] << ID_BITS
+        wide, origin = model.wide.take(cell), model.origin.take(cell)
         slot = ((value - origin) / wide).astype(np.int64)
-        now = np.where(outcome == 0, model.guess2, model.guess1)
-        plain, fresh = outcome == 2, outcome == 3
-        now = np.where(plain, model.by_slot[slot & MAX_ID], np.where(fresh, slot, now))
-        inner = np.where(plain, model.start[now], np.where(fresh, now, 0))
-        share = np.where(plain, model.frequency[now], np.where(fresh, 1, 1 << ID_BITS))
-        low += unit * (origin + wide * inner).astype(U)
-        width = unit * (wide * share).astype(U)
-        while True:
-            same = ((low ^ (low + width)) >> U(48)) == 0
-            todo = np.flatnonzero(same | (width < U(1 << 32)))
-            if not len(todo):
-                break
-            some, span = low[todo], width[todo]
-            span = np.where(same[todo], span, np.minimum(span, (~some + U(1)) & LOW32))
-            code[todo] = (code[todo] << U(16)) | words[at[todo]]
-            at[todo] += 1
-            low[todo], width[todo] = some << U(16), span << U(16)
-        model.update(now, outcome)
+        now = model.by_slot.take(slot & MAX_ID)
+        np.copyto(now, slot, where=outcome == 3)
+        held = outcome < 2
+        np.copyto(now, model.guess1, where=outcome == 1)
+        np.copyto(now, model.guess2, where=outcome == 0)
+        inner, share = model.inner.take(now), model.share.take(now)
+        np.copyto(inner, 0, where=held)
+        np.copyto(share, 1 << ID_BITS, where=held)
+        low += unit * (origin + wide * inner).view(U)
+        width = unit * (wide * share).view(U)
+        todo = _unsettled(low, width)
+        while len(todo):
+            some, span = _narrowed(low, width, todo)
+            place = at[todo]
+            code[todo] = (code[todo] << U(16)) | words[place]
+            at[todo] = place + 1
+            todo = _shifted(low, width, todo, some, span)
+        model.update(now, outcome, now == model.guess2, now == model.guess1)
         grid[step] = now
     ids = grid.T.reshape(-1)[:count]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:

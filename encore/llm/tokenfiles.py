@@ -13,6 +13,7 @@ space always ends a word for this tokenizer, and marks after a word are a word o
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,13 +25,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from encore.llm import rangecoder
-from encore.llm.words import slices, split_words, texts_of
+from encore.llm.words import buffer_of, slices, split_words, texts_of
 from encore.storage import scratch_path
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 END_ID = 2
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1_000_000
 MARK = "\x01"
+# ASCII marks but for the apostrophe, which may begin a contraction.
+IS_MARK = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8))
 BLOCKS = "part int, block int, n_ids long, keys array<{key}>, lengths array<long>, data binary"
 
 _tokenizers: dict = {}
@@ -53,12 +56,38 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+class _Letters(dict):
+    """The byte-level spelling of each letter, as the library gives it."""
+
+    def __missing__(self, code: int) -> str:
+        from tokenizers import pre_tokenizers
+
+        self[code] = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
+_letters = _Letters()
+
+
+def _is_simple(word: str) -> bool:
+    """Small Latin letters that normalization leaves alone."""
+    return word.islower() and (word.isascii() or (max(word) < "\u0250" and word.lower() == word and unicodedata.is_normalized("NFC", word)))
+
+
 def _ids_of_words(words: list[str], path: str) -> list[bytes]:
     """Ids of each word as unsigned 16-bit numbers. Many words are one call with a mark between them."""
     tokenizer, known = _tokenizer(path), _known[path]
-    missing = [w for w in words if w not in known]
+    held = list(map(known.get, words))
+    missing = [w for w, v in zip(words, held, strict=True) if v is None]
     fresh: dict[str, bytes] = {}
-    plain = [w for w in missing if MARK not in w]
+    plain = []
+    for word in missing:
+        if word.isalpha() and _is_simple(word):
+            # A run of small letters is one word to the tokenizer as it is: only its merges are left to do.
+            found = tokenizer.model.tokenize(word.translate(_letters))
+            fresh[word] = np.array([t.id for t in found], np.uint16).tobytes()
+        elif MARK not in word:
+            plain.append(word)
     mark = np.array(tokenizer.encode(MARK, add_special_tokens=False).ids)
     for at in range(0, len(plain), 20_000):
         part = plain[at : at + 20_000]
@@ -75,7 +104,7 @@ def _ids_of_words(words: list[str], path: str) -> list[bytes]:
         if word not in fresh:
             fresh[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
     room = KNOWN_WORDS - len(known)
-    out = [known.get(w) or fresh.get(w, b"") for w in words]
+    out = [v if v is not None else fresh[w] for w, v in zip(words, held, strict=True)]
     known.update(list(fresh.items())[: max(0, room)])
     return out
 
@@ -86,10 +115,14 @@ def _cores(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     Only words of plain letters are lower-cased here: elsewhere a small letter may combine with an accent that a
     capital does not combine with, and the tokenizer looks for such first.
     """
-    parts = pc.extract_regex(words, r"^(?P<core>.*[\pL\pN])(?P<marks>[!-&(-/:-@\[-`{-~]+)$")
-    core = pc.fill_null(pc.struct_field(parts, "core"), "")
+    raw, edges = buffer_of(words)
+    # Only words that end in a mark need a closer look.
+    marked = pa.array(IS_MARK[raw[edges[1:] - 1]]) if len(words) else pa.array([], pa.bool_())
+    parts = pc.extract_regex(words.filter(marked), r"^(?P<core>.*[\pL\pN])(?P<marks>[!-&(-/:-@\[-`{-~]+)$")
+    core = pc.coalesce(pc.struct_field(parts, "core"), words.filter(marked))
+    core = pc.replace_with_mask(words, marked, core)
     marks = pc.fill_null(pc.struct_field(parts, "marks"), "")
-    core = pc.if_else(pc.equal(core, ""), words, core)
+    marks = pc.replace_with_mask(pa.array([""] * len(words), pa.large_string()), marked, marks)
     return pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), marks
 
 
@@ -135,7 +168,7 @@ def _encode(path: str, block_ids: int):
 
         for whole in batches:
             kind = whole.schema.field(0).type
-            for batch in slices(whole, "_text", 16 << 20):
+            for batch in slices(whole, "_text", 20 << 20):
                 edges, ids = token_ids(texts_of(batch.column("_text")), path)
                 at, names = 0, batch.column(0).to_pylist()
                 while at < len(names):
