@@ -62,30 +62,29 @@ def _play(chances: np.ndarray, sizes: np.ndarray, luck: np.ndarray) -> tuple[np.
     """Pivotal rounding, largest first: (0 or 1 per row, the undecided row or -1, its chance).
 
     Each document is paired with the pool of the smaller ones. Mass, counted in words, moves one way or the other, with
-    odds that leave every chance as it was on average, until the document or the whole pool is at 0 or 1. So a large
-    document is decided first and the smaller ones make up for it, and the words of the leaf stay the same throughout.
+    odds that leave every chance as it was on average, until the document is at 0 or 1, or a part of the pool is (with
+    equal chances, all of it at once); then on with the rest. So a large document is decided first and the smaller ones
+    make up for it, and the words of the leaf stay the same throughout. `luck` holds two numbers per row.
     """
     p = np.where(sizes > 0, chances, 0.0)
+    p[p < 1e-9], p[p > 1 - 1e-9] = 0.0, 1.0
+    draw = 0
     for row in range(len(p)):
-        size, rest = sizes[row], p[row + 1 :]
-        if not 1e-9 < p[row] < 1 - 1e-9:
-            p[row] = round(p[row])
-            continue
-        words = sizes[row + 1 :]
-        held, room = float(rest @ words), float((1 - rest) @ words)
-        up, down = min(1 - p[row], held / size), min(p[row], room / size)
-        if up + down <= 1e-12:
-            return np.rint(np.where(np.arange(len(p)) == row, 0, p)).astype(np.int64), row, float(p[row])
-        if luck[row] * (up + down) < down:
-            p[row] += up
-            rest *= max(0.0, 1 - up * size / held)
-        else:
-            p[row] -= down
-            rest[:] = 1 - (1 - rest) * max(0.0, 1 - down * size / room)
-        rest[words == 0] = 0.0
-        if 1e-9 < p[row] < 1 - 1e-9:
-            return np.rint(np.where(np.arange(len(p)) == row, 0, p)).astype(np.int64), row, float(p[row])
-        p[row] = round(p[row])
+        while 0 < p[row] < 1:
+            pool = row + 1 + np.flatnonzero((p[row + 1 :] > 0) & (p[row + 1 :] < 1))
+            if not len(pool):
+                left = float(p[row])
+                p[row] = 0.0
+                return p.astype(np.int64), row, left
+            q = p[pool]
+            way = q * (1 - q)
+            words = float(way @ sizes[pool]) / sizes[row]
+            up, down = min(1 / q.max(), p[row] / words), min(1 / (1 - q).max(), (1 - p[row]) / words)
+            step = up if luck[draw % len(luck)] * (up + down) < down else -down
+            draw += 1
+            p[pool] = q + step * way
+            p[row] -= step * words
+            p[p < 1e-9], p[p > 1 - 1e-9] = 0.0, 1.0
     return p.astype(np.int64), -1, 0.0
 
 
@@ -94,7 +93,7 @@ def _round_group(seed: int, level: int):
         order = table.sort_by([("_size", "descending"), ("_key", "ascending")])
         chances = order["_chance"].to_numpy()
         first = int(order["_key"][0].as_py()) & 0xFFFFFFFF
-        luck = np.random.default_rng([seed, level, first, len(chances)]).random(len(chances))
+        luck = np.random.default_rng([seed, level, first, len(chances)]).random(2 * len(chances))
         won, holder, left = _play(chances, order["_size"].to_numpy().astype(float), luck)
         chance = np.full(len(won), -1.0)
         if holder >= 0:

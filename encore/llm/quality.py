@@ -23,13 +23,14 @@ from encore.llm.words import segment_sums, slices, split_words, texts_of
 ROWS_BITS = 16
 GRAMS = (3, 4, 5)
 DIM = 8
-PER_CLASS = 1500
+PER_CLASS = 1000
 EPOCHS = 5
 RATE = 0.5
 BATCH = 16
 FOLDS = 5
 THRESHOLD = 0.3
 REPEAT = 2 << ROWS_BITS
+PART = 16_384  # words whose n-grams are cut at a time
 # A repeated word counts as many vectors as a word has n-grams, about.
 REPEAT_WEIGHT = 16
 
@@ -41,8 +42,12 @@ def held_out(key: str = "doc_id", folds: int = FOLDS) -> Column:
 
 def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(edges of each distinct word, table rows): the word's own row, then its n-grams with `<` and `>` around it."""
-    if not len(words):
-        return np.zeros(1, np.int64), np.zeros(0, np.int64)
+    parts = [_subwords(words.slice(at, PART)) for at in range(0, len(words), PART)]
+    counts = np.concatenate([np.zeros(1, np.int64), *(np.diff(edges) for edges, _ in parts)])
+    return np.cumsum(counts), np.concatenate([np.zeros(0, np.int32), *(rows for _, rows in parts)])
+
+
+def _subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     text = pc.binary_join_element_wise("<", pc.cast(words, pa.string()), ">", "")
     lengths = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
     letters = np.frombuffer("".join(text.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -69,7 +74,7 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             owner.append(word[:count][inside])
     owner, rows = np.concatenate(owner), np.concatenate(rows)
     order = np.argsort(owner, kind="stable")
-    return np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))]), rows[order]
+    return np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))]), rows[order].astype(np.int32)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

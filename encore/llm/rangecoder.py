@@ -29,7 +29,7 @@ HEADER = struct.Struct("<4sIQIII")
 MAGIC = b"TIDB"
 VERSION = 1
 LANES = 8192
-LEAST_STEPS = 64
+LEAST_STEPS = 256
 MAX_ID = 65535
 PAIR_BITS = 18
 CLASS_BITS, ID_BITS = 12, 16

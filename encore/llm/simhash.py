@@ -173,7 +173,7 @@ def _similar(words: int, least: float):
 
 
 def similar_groups(
-    docs: DataFrame, row: str, text: str = "text", words: int = 5, similarity: float = 0.8, views: int = 4, spread: float = 0.22
+    docs: DataFrame, row: str, text: str = "text", words: int = 5, similarity: float = 0.8, views: int = 5, spread: float = 0.22
 ) -> DataFrame:
     """(row, group): documents that a chain of pairs of `similarity` or more (Jaccard, distinct shingles) ties together.
 

@@ -109,27 +109,32 @@ def _ids_of_words(words: list[str], path: str) -> list[bytes]:
     return out
 
 
-def _cores(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+def _cores(words: pa.Array, special: list[str]) -> tuple[pa.Array, pa.Array]:
     """Each word as what is before its last marks, and these marks; letters A-Z of plain words lower-cased.
 
-    Only words of plain letters are lower-cased here: elsewhere a small letter may combine with an accent that a
-    capital does not combine with, and the tokenizer looks for such first.
+    Marks are cut off after plain and Latin letters and digits only: some other letters decompose, and what they decompose
+    into would join the marks. Only words of plain letters are lower-cased here: elsewhere a small letter may combine with an accent that a
+    capital does not combine with, and the tokenizer looks for such first. Words that hold the text of a `special` token
+    in letters of any case stay as they are.
     """
     raw, edges = buffer_of(words)
+    whole = pa.array(np.zeros(len(words), bool))
+    for text in special:
+        whole = pc.or_(whole, pc.match_substring(words, text, ignore_case=True))
     # Only words that end in a mark need a closer look.
-    marked = pa.array(IS_MARK[raw[edges[1:] - 1]]) if len(words) else pa.array([], pa.bool_())
-    parts = pc.extract_regex(words.filter(marked), r"^(?P<core>.*[\pL\pN])(?P<marks>[!-&(-/:-@\[-`{-~]+)$")
+    marked = pc.and_not(pa.array(IS_MARK[raw[edges[1:] - 1]]), whole) if len(words) else pa.array([], pa.bool_())
+    parts = pc.extract_regex(words.filter(marked), r"^(?P<core>.*[A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])(?P<marks>[!-&(-/:-@\[-`{-~]+)$")
     core = pc.coalesce(pc.struct_field(parts, "core"), words.filter(marked))
     core = pc.replace_with_mask(words, marked, core)
     marks = pc.fill_null(pc.struct_field(parts, "marks"), "")
     marks = pc.replace_with_mask(pa.array([""] * len(words), pa.large_string()), marked, marks)
-    return pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), marks
+    return pc.if_else(pc.and_not(pc.string_is_ascii(core), whole), pc.ascii_lower(core), core), marks
 
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(edges of each text, ids) with the end id after each text."""
     edges, codes, words = split_words(texts)
-    core, marks = _cores(words)
+    core, marks = _cores(words, [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()])
     coded = [part.dictionary_encode() for part in (core, marks)]
     flat, offsets, index = [], [], []
     base = 0
