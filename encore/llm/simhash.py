@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.components import components
 from encore.llm.decontaminate import mixed
+from encore.llm.scratch import freed
 from encore.llm.words import slices, texts_of
 from encore.storage import materialize
 
@@ -172,6 +173,19 @@ def _similar(words: int, least: float):
     return run
 
 
+def _met(prints: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
+    """(fingerprint, other): each fingerprint with the smallest and the largest of each bucket it lies in, if near."""
+    index = prints.select("fingerprint").distinct().select("fingerprint", F.inline(_variants(F.col("fingerprint"), cuts)))
+    ends = index.groupBy("variant", "rest").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
+    ends = ends.filter("low < high").withColumnsRenamed({"variant": "v", "rest": "r"})
+    near = [
+        (F.col("fingerprint") != F.col(c)) & (F.bit_count(F.col("fingerprint").bitwiseXOR(F.col(c))) <= BITS // 4) for c in ("low", "high")
+    ]
+    met = index.join(ends, (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & (near[0] | near[1]))
+    others = F.array(F.when(near[0], F.col("low")), F.when(near[1], F.col("high")))
+    return met.select("fingerprint", F.explode(F.array_compact(others)).alias("other")).distinct()
+
+
 def similar_groups(
     docs: DataFrame, row: str, text: str = "text", words: int = 5, similarity: float = 0.8, views: int = 5, spread: float = 0.22
 ) -> DataFrame:
@@ -192,19 +206,12 @@ def similar_groups(
     classes = materialize(seen.groupBy("views").agg(F.min("row").alias("id")), "classes")
     cuts = segments(DISTANCE)
     single = classes.select("id", F.posexplode("views").alias("view", "fingerprint"))
-    index = single.select("view", "fingerprint").distinct().select(
-        "fingerprint", F.inline(F.transform(_variants(F.col("fingerprint"), cuts), lambda v: F.struct(
-            (F.col("view") * (BITS * len(cuts)) + v["variant"]).alias("variant"), v["rest"].alias("rest")))),
-    )
-    ends = index.groupBy("variant", "rest").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-    ends = ends.filter("low < high").withColumnsRenamed({"variant": "v", "rest": "r"})
-    near = [
-        (F.col("fingerprint") != F.col(c)) & (F.bit_count(F.col("fingerprint").bitwiseXOR(F.col(c))) <= BITS // 4) for c in ("low", "high")
-    ]
-    met = index.join(ends, (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & (near[0] | near[1]))
-    view = F.floor(F.col("variant") / (BITS * len(cuts))).cast("int").alias("view")
-    met = met.select(view, "fingerprint", F.explode(F.array_compact(F.array(F.when(near[0], F.col("low")), F.when(near[1], F.col("high"))))).alias("other"))
-    met = materialize(met.distinct(), "met")
+    met = None
+    for view in range(views):
+        # One view after the other, so that the disk holds the index of one.
+        found = materialize(_met(single.filter(F.col("view") == view), cuts).withColumn("view", F.lit(view)), "met")
+        met = found if met is None else met.union(found)
+        freed(docs.sparkSession)
     # A fingerprint of one view may belong to several classes, as one class's own views differ: tie them to the smallest.
     owners = single.groupBy("view", "fingerprint").agg(F.min("id").alias("owner"))
     same = single.join(owners, ["view", "fingerprint"]).filter("id <> owner").select(F.col("id").alias("a"), F.col("owner").alias("b"))
