@@ -25,7 +25,7 @@ def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
     """Add `accepted` and the five action columns to every record; unknown fields are ignored.
 
     Rules: userId, songId and action must be present, and a string or null. The rating must be a number
-    or numeric text, the timestamp a whole number or digits. `action_ms` keeps the timestamp as sent.
+    or numeric text, the timestamp a whole number or digits that a timestamp can hold. `action_ms` keeps it as sent.
     """
     fields = [c for name in ACTION_JSON_FIELDS
               for c in (_json_type(name).alias(f"_type_{name}"), _json_text(name).alias(f"_text_{name}"))]
@@ -36,7 +36,7 @@ def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
     rating, sent = _rating(), _whole_number()
     texts = [F.col(f"_type_{name}").isin("STRING", "VOID") for name in ("userId", "songId", "action")]
     # A missing field has a null type, so the comparison is null: not accepted.
-    accepted = texts[0] & texts[1] & texts[2] & rating.isNotNull() & sent.isNotNull()
+    accepted = texts[0] & texts[1] & texts[2] & rating.isNotNull() & sent.between(-MAX_MILLIS, MAX_MILLIS)
     values = {
         "user_id": F.col("_text_userId"), "song_id": F.col("_text_songId"), "action_type": F.col("_text_action"),
         "action_ms": sent, "rating": rating,
@@ -49,10 +49,8 @@ def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
 
 
 def accepted_actions(decoded: DataFrame) -> DataFrame:
-    """The rows of the action table. A time no timestamp can hold becomes null."""
-    in_range = F.col("action_ms").between(-MAX_MILLIS, MAX_MILLIS)
-    time = F.when(in_range, F.timestamp_millis("action_ms"))
-    timed = decoded.filter("accepted").withColumn("action_time", time)
+    """The rows of the action table."""
+    timed = decoded.filter("accepted").withColumn("action_time", F.timestamp_millis("action_ms"))
     return timed.select(*USER_ACTION.names)
 
 

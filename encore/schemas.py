@@ -99,6 +99,7 @@ POPULAR_SONGS = 100
 SONGS_PER_USER = 10
 ALS_ITERATIONS, ALS_REGULARISATION = 10, 0.1
 SONG_BUCKETS = 50
+ALS_BLOCKS = 24
 
 # ---------------------------------------------------------------------------
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import json
+import numbers
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,21 +21,6 @@ def decode_json(content: bytes) -> dict:
     return json.loads(content)
 
 
-def decode_hdf5(content: bytes) -> dict:
-    """Scalar groups and arrays of one HDF5 song file as one flat record. Needs the h5py package."""
-    import h5py
-
-    record: dict = {}
-    with h5py.File(io.BytesIO(content), "r") as file:
-        for group in file.values():
-            for name, data in group.items():
-                if data.dtype.names:
-                    record.update(zip(data.dtype.names, data[0].tolist()))
-                else:
-                    record[name] = data[:].tolist()
-    return record
-
-
 def record_files(
     spark: SparkSession,
     folder: str,
@@ -71,16 +56,28 @@ def _decode_one(path: str, content: bytes, decoder: Decoder, schema: T.StructTyp
 
 
 def _plain(value, data_type: T.DataType):
-    """Plain Python values of the declared type: bytes become text, whole numbers doubles where asked."""
+    """The value as plain Python of the declared type. Anything that the type cannot hold exactly raises.
+
+    Bytes count as text, whole numbers as doubles, and doubles without a fraction as whole numbers.
+    """
     if value is None:
         return None
     if isinstance(data_type, T.ArrayType):
+        if isinstance(value, (str, bytes, dict)):
+            raise TypeError(f"{type(value).__name__} where an array is declared")
         return [_plain(item, data_type.elementType) for item in value]
     if isinstance(data_type, T.StringType):
-        return value.decode("utf-8") if isinstance(value, bytes) else str(value)
+        if not isinstance(value, (str, bytes)):
+            raise TypeError(f"{type(value).__name__} where text is declared")
+        return value.decode("utf-8") if isinstance(value, bytes) else value
+    if isinstance(value, bool) or not isinstance(value, numbers.Real):
+        raise TypeError(f"{type(value).__name__} where a number is declared")
     if isinstance(data_type, T.DoubleType):
         return float(value)
-    return int(value)
+    whole, bits = int(value), 31 if isinstance(data_type, T.IntegerType) else 63
+    if whole != value or not -(1 << bits) <= whole < 1 << bits:
+        raise ValueError(f"{value!r} does not fit {data_type.simpleString()}")
+    return whole
 
 
 def ingest(

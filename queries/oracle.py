@@ -195,7 +195,7 @@ SELECT DISTINCT user_id, song_id FROM actions s WHERE action_type = 'skipped' AN
     "cells_to_rows": _with(SONGS_CTE, select=(
         "SELECT song_id AS row_key, title AS song_name, artist_name, album_name, CAST(year AS VARCHAR) AS year FROM songs")),
     "record_ingest": f"""
-WITH flagged AS (SELECT *, CAST(s_suppkey AS VARCHAR) AS id, s_acctbal < 0 AS rejected FROM supplier)
+WITH flagged AS (SELECT *, CAST(s_suppkey AS VARCHAR) AS id, (s_acctbal < 0 OR s_suppkey % 12 IN (3, 5, 7, 9)) AS rejected FROM supplier)
 SELECT id AS file, rejected, CASE WHEN NOT rejected THEN id END AS song_id,
        CASE WHEN NOT rejected THEN s_name END AS title, CASE WHEN NOT rejected THEN CAST(s_nationkey AS INT) END AS key,
        CASE WHEN NOT rejected THEN {_six('s_acctbal')} END AS tempo,
@@ -206,3 +206,17 @@ FROM flagged""",
     "partition_bucket_roundtrip": _with(SONGS_CTE, select=(
         f"SELECT song_id, title, CAST(floor(year / 10) AS INT) AS decade, album_name, {_round(['tempo'])} FROM songs")),
 }
+
+ORACLE["topk_dot"] = f"""
+WITH parts AS (
+    SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+), means AS (SELECT label, i, AVG(x) AS m FROM parts GROUP BY label, i),
+products AS (SELECT m.label, p.vec_id, SUM(p.x * m.m) AS score FROM parts p JOIN means m USING (i) GROUP BY m.label, p.vec_id)
+SELECT label, vec_id, {_six("round(score, 9)")} AS score, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(score, 9) DESC, vec_id) AS rank FROM products) ranked
+WHERE rank <= 10"""
+
+# Every user who rated a song of the song table is trained and gets ten songs.
+ORACLE["als_checks"] = _with(SONGS_CTE, ACTIONS_CTE, select="""
+SELECT DISTINCT user_id, 10 AS rows, 10 AS songs, 1 AS first_rank, 10 AS last_rank, 0 AS rises, 0 AS negative, 10 AS known
+FROM actions JOIN songs USING (song_id) WHERE user_id IS NOT NULL AND rating IS NOT NULL""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from encore.functions import vectors as vec
@@ -13,6 +13,7 @@ from encore.functions.actions import accepted_actions, decode_actions, encode_ac
 from encore.operators import tables as ops
 from encore.operators.catalogue import Catalogue
 from encore.operators.impute import impute
+from encore.operators.topk import index_items, top_k
 from encore.plans import content, feed, live
 from encore.plans.collab import als_matches
 from encore.plans.popularity import popular_recommendations, popular_songs
@@ -30,6 +31,7 @@ from queries import views
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 FEED_USER = "42"
+EMBEDDING_DIMS = 64
 
 
 def query(function: Query) -> Query:
@@ -204,6 +206,38 @@ def als_recs(spark, folder):
     return rounded(matches, "predicted_rating")
 
 
+@query
+def topk_dot(spark, folder):
+    """Each label's ten vectors of greatest product with the label's mean vector, as for users and songs by factors."""
+    table = views.table(spark, folder, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    names = [f"f{i}" for i in range(EMBEDDING_DIMS)]
+    items = table.select("vec_id", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    means = table.groupBy("label").agg(*[F.avg(F.col("embedding")[i]).alias(n) for i, n in enumerate(names)])
+    index = index_items(items, "vec_id", names, metric="dot", broadcast_rows=0, chunk_rows=256)
+    return rounded(top_k(means, index, user="label", k=10).select("label", "vec_id", "score", "rank"), "score")
+
+
+@query
+def als_checks(spark, folder):
+    """What must hold for any trained model: every trained user has ten rows of known songs, ranks 1 to 10, scores not
+    below zero and falling, and the details of the song table."""
+    actions, songs = views.actions(spark, folder), views.songs(spark, folder)
+    matches = als_matches(actions, songs)
+    order = Window.partitionBy("user_id").orderBy("rank")
+    rows = matches.withColumn("rises", F.col("predicted_rating") > F.lag("predicted_rating").over(order))
+    known = songs.select("song_id", F.col("title").alias("known_title"), F.col("year").cast("string").alias("known_year"))
+    rows = rows.join(known, "song_id", "left")
+    per_user = rows.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.countDistinct("song_id").alias("songs"), F.min("rank").alias("low"), F.max("rank").alias("high"),
+        F.count_if("rises").alias("rises"), F.count_if(F.col("predicted_rating") < 0).alias("negative"),
+        F.count_if(F.col("title").eqNullSafe(F.col("known_title")) & F.col("year").cast("string").eqNullSafe(F.col("known_year"))).alias("known"),
+    )
+    return per_user.select(
+        "user_id", F.col("n").alias("rows"), "songs", F.col("low").cast("long").alias("first_rank"), F.col("high").cast("long").alias("last_rank"),
+        "rises", "negative", "known",
+    )
+
+
 # -- preparation -----------------------------------------------------------------------------------
 
 
@@ -357,8 +391,13 @@ def union_feeds(spark, folder):
 
 @query
 def prefix_feed(spark, folder):
-    """One user's feed, as the web page asks for it: their keys' prefix is the feature."""
-    return feed.user_feed(FEED_USER, *_result_tables(spark, folder), seed=1)
+    """One user's feed from the serving tables, as the web page asks for it: their keys' prefix is the feature."""
+    paths = []
+    for tables in _result_tables(spark, folder):
+        paths.append({name: scratch_path(spark, f"serving-{name}") for name in tables})
+        for name, path in paths[-1].items():
+            files.replace_keyed(tables[name], path)
+    return feed.served_feed(spark, FEED_USER, *paths, seed=1)
 
 
 @query
@@ -374,7 +413,8 @@ def cells_to_rows(spark, folder):
 
 @query
 def record_ingest(spark, folder):
-    """One JSON file per supplier, those in debt cut short, decoded under the raw song schema."""
+    """One JSON file per supplier, decoded under the raw song schema. Those in debt are cut short; of the others some hold
+    a number out of range, a fraction where a whole number is declared, a word for a number, or an object for a text."""
     path = scratch_path(spark, "records")
     suppliers = views.table(spark, folder, "supplier").select(
         F.col("s_suppkey").cast("string").alias("song_id"), F.col("s_name").alias("title"),
@@ -383,6 +423,9 @@ def record_ingest(spark, folder):
         F.array(F.array("s_acctbal", F.lit(1)), F.array(F.lit(0.5), F.lit(2.0))).alias("segments_pitches"),
     )
     text = F.to_json(F.struct(*suppliers.columns))
+    kind = F.col("song_id").cast("long") % 12
+    for value, field, wrong in ((3, "key", "3000000000"), (5, "key", "2.5"), (7, "tempo", '"fast"'), (9, "title", "{}")):
+        text = F.when(kind == value, F.regexp_replace(text, f'"{field}":("[^"]*"|[^,}}]*)', f'"{field}":{wrong}')).otherwise(text)
     records = suppliers.select(
         F.when(F.col("tempo") < 0, F.substring(text, 1, 20)).otherwise(text).alias("value"), F.col("song_id").alias("file")
     )

@@ -108,9 +108,9 @@ def test_json_rules(spark):
 def test_accepted_and_rejected_split(spark):
     records = spark.createDataFrame([(record(),), (record(timestamp="9223372036854775807"),), ("x",)], "value string")
     decoded = decode_actions(records)
-    times = [r.action_time for r in accepted_actions(decoded).orderBy(F.desc_nulls_last("action_time")).collect()]
-    assert times[0] is not None and times[1] is None
-    assert [r.value for r in rejected_records(decoded).collect()] == ["x"]
+    # A time beyond what a timestamp can hold is not lost: the record goes to the rejects.
+    assert [r.action_time is not None for r in accepted_actions(decoded).collect()] == [True]
+    assert [r.value for r in rejected_records(decoded).collect()] == [record(timestamp="9223372036854775807"), "x"]
 
 
 def test_encode_round_trip(spark):
@@ -124,3 +124,12 @@ def test_encode_round_trip(spark):
 def test_unknown_policy(spark, wrong):
     with pytest.raises(ValueError):
         feature_sql("x", wrong)
+
+
+def test_times_no_timestamp_can_hold_are_rejected(spark):
+    line = '{"userId":"u","songId":"s","rating":"1","action":"listened","timestamp":%d}'
+    sent = [0, (2**63 - 1) // 1000, -((2**63 - 1) // 1000), (2**63 - 1) // 1000 + 1, 2**63 - 1, -(2**63)]
+    decoded = decode_actions(spark.createDataFrame([(line % t,) for t in sent], "value string"))
+    assert [r.accepted for r in decoded.collect()] == [True] * 3 + [False] * 3
+    assert accepted_actions(decoded).filter("action_time IS NULL").count() == 0
+    assert rejected_records(decoded).count() == 3

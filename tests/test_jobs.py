@@ -2,6 +2,9 @@
 
 import os
 
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -194,3 +197,26 @@ def test_scratch_scope_removes_its_tables(spark):
         assert table.count() == 3
     path = table.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
     assert not os.path.exists(path)
+
+
+ALS_SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+from encore.session import prepare
+from encore.plans.collab import als_matches
+from queries import views
+spark = prepare(SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8").getOrCreate())
+rows = als_matches(views.actions(spark, sys.argv[2]), views.songs(spark, sys.argv[2])).select("user_id", "rank", "song_id").collect()
+print("ROWS", hash(tuple(sorted(map(tuple, rows)))))
+"""
+
+
+def test_als_does_not_depend_on_cores():
+    said = []
+    for master in ("local[2]", "local[8]"):
+        run = subprocess.run(
+            [sys.executable, "-c", ALS_SCRIPT, master, FOLDER], capture_output=True, text=True, timeout=600,
+            env=os.environ | {"PYTHONHASHSEED": "1", "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))},
+        )
+        said.append([line for line in run.stdout.splitlines() if line.startswith("ROWS")])
+    assert len(said[0]) == 1 and said[0] == said[1]

@@ -13,15 +13,15 @@ def duck():
     return duck_connection(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE))
 def test_equals_sql(spark, duck, name):
-    rows = entry.queries()[name](spark, FOLDER).toPandas()
+    rows = entry.QUERIES[name](spark, FOLDER).toPandas()
     assert len(rows) > 0
-    assert difference(rows, duck.execute(entry.oracle_sql()[name]).df()) == ""
+    assert difference(rows, duck.execute(entry.ORACLE[name]).df()) == ""
 
 
 def test_only_factorisation_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"als_recs"}
+    assert set(entry.QUERIES) - set(entry.ORACLE) == {"als_recs"}
 
 
 def test_entry(spark):

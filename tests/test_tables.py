@@ -188,3 +188,46 @@ def test_replay_changes_nothing(spark, catalogue, tmp_path):
     process_batch(batch.limit(0), 1, "q", catalogue, tables)
     assert spark.read.parquet(tables.lake).count() == lake
     assert rows(files.read_keyed(spark, tables.serving)) == serving
+
+
+@pytest.mark.parametrize("field, value", [
+    ("key", "3000000000"), ("key", "2.5"), ("key", "true"), ("key", '"1"'), ("year", "1e400"), ("tempo", '"fast"'), ("title", "{}"), ("title", "5"),
+    ("artist_terms", '"one"'), ("bars_start", '[1, "x"]'), ("track_7digitalid", "9223372036854775808"),
+])
+def test_no_file_stops_an_ingest(spark, tmp_path, field, value):
+    (tmp_path / "good.rec").write_text('{"song_id": "a", "key": 3.0, "tempo": 7}')
+    (tmp_path / "bad.rec").write_text('{"song_id": "b", "%s": %s}' % (field, value))
+    table, rejects = records.ingest(spark, str(tmp_path), "*.rec", records.decode_json)
+    assert [(r.song_id, r.key, r.tempo) for r in table.collect()] == [("a", 3, 7.0)]
+    assert [r.path.rpartition("/")[2] for r in rejects.collect()] == ["bad.rec"]
+
+
+def test_seeded_order_does_not_depend_on_partitions(spark):
+    rows = spark.range(200).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("song_id"))
+    orders = [[r.song_id for r in feed.shuffled(rows.repartition(n), 5).collect()] for n in (1, 4)]
+    assert orders[0] == orders[1] != sorted(orders[0])
+    assert [r.song_id for r in feed.shuffled(rows, 6).collect()] != orders[0]
+
+
+def test_feed_of_one_key_with_two_details_is_stable(spark):
+    rows = [("u#s", "old", "a", "b", "1"), ("u#s", "new", "a", "b", "1")]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "row_key string, song_name string, artist_name string, album_name string, year string")
+        assert [r.song_name for r in feed.as_feed(table, "x").collect()] == ["old"]
+
+
+def test_serving_scan_skips_files(spark, tmp_path):
+    table = spark.range(20_000).select(
+        F.concat_ws("#", (F.col("id") % 500).cast("string"), F.col("id").cast("string")).alias("row_key"),
+        *[F.lit("x").alias(c) for c in ("song_name", "artist_name", "album_name", "year")],
+    )
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # a table this small would be one file
+    try:
+        files.upsert(table, f"{tmp_path}/t", "s", 0, 1)
+    finally:
+        spark.conf.unset(coalesce)
+    ranges = spark.read.parquet(f"{tmp_path}/t").groupBy(F.input_file_name().alias("f")).agg(F.min("row_key").alias("a"), F.max("row_key").alias("b"))
+    holding = ranges.filter((F.col("a") < "42$") & (F.col("b") >= "42#")).count()
+    assert ranges.count() > 2 and holding <= 2
+    assert files.read_keyed(spark, f"{tmp_path}/t", F.col("row_key").startswith("42#")).count() == 40
