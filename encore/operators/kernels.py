@@ -42,11 +42,14 @@ def best_matches(
         yield row[chosen] + start, item[chosen], score[chosen], rank[chosen]
 
 
-def score_bounds(users: np.ndarray, low: np.ndarray, high: np.ndarray, longest: np.ndarray) -> np.ndarray:
+def score_bounds(
+    users: np.ndarray, low: np.ndarray, high: np.ndarray, longest: np.ndarray, centre: np.ndarray, radius: np.ndarray
+) -> np.ndarray:
     """Upper bound of the dot product of every user with any item of every box (users x boxes).
 
-    Two bounds hold, and the smaller one is used. The corner bound is tight for long vectors. The other
-    follows from |u - x|^2 = |u|^2 + |x|^2 - 2 u.x and is tight for unit vectors.
+    Three bounds hold, and the smallest one is used. The corner bound is tight for long vectors. The second follows
+    from |u - x|^2 = |u|^2 + |x|^2 - 2 u.x and is tight for unit vectors. The ball around the centre that holds all
+    items is smaller than the box in many dimensions, where nothing lies in the corners.
     """
     corner = np.zeros((len(users), len(low)))
     gap = np.zeros_like(corner)
@@ -56,4 +59,5 @@ def score_bounds(users: np.ndarray, low: np.ndarray, high: np.ndarray, longest:
         gap += np.square(np.maximum(np.maximum(low[:, d] - u, u - high[:, d]), 0.0))
     squared = np.square(users).sum(axis=1)[:, None]
     near = (squared + np.square(longest)[None, :] - gap) / 2
-    return np.minimum(corner, near) + SLACK * (1.0 + np.sqrt(squared) * longest[None, :])
+    ball = users @ centre.T + np.sqrt(squared) * radius[None, :]
+    return np.minimum(np.minimum(corner, near), ball) + SLACK * (1.0 + np.sqrt(squared) * longest[None, :])

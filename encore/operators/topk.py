@@ -5,8 +5,9 @@ Two plans give the same rows:
 * a catalogue whose size is checked against fixed limits is broadcast, and the user side streams
   past it without a shuffle;
 * a larger one is clustered into chunks of neighbouring items, written once. A user first meets the
-  one chunk nearest to them. Their k-th best score there bounds the search: only chunks whose
-  bounding box can still hold a better item are visited in a second step.
+  one chunk nearest to them. Their k-th best score so far bounds the search: they go on to the chunks
+  whose bounds promise most, a few at first and then more in each round, and stop as soon as no
+  chunk that is left can hold a better item. A round makes a bounded number of rows per user.
 
 Users and items of a chunk meet in groups of bounded size: a chunk many users ask for is copied to
 several groups, and copies of one vector are spread over chunks in id order, of which a user needs
@@ -43,6 +44,8 @@ MIN_GROUP_USERS, MAX_GROUP_USERS = 1 << 8, 1 << 16
 # Enough cells to tell MAX_CHUNKS places apart even if only three dimensions vary.
 CELLS_PER_DIMENSION = 1 << 6
 POSITION_BITS = 60
+# Chunks a user may visit in a round: few while the bound is loose.
+FIRST_VISITS, MOST_VISITS = 4, 256
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -93,6 +96,8 @@ class Directory:
     longest: np.ndarray
     rows: np.ndarray
     first_key: np.ndarray
+    centre: np.ndarray
+    radius: np.ndarray
 
 
 def index_items(
@@ -151,10 +156,16 @@ def _cluster(index: ItemIndex, rows: int, chunk_rows: int | None) -> ItemIndex:
         .toPandas()
         .sort_values(["first_key", "chunk"], ignore_index=True)
     )
+    low = entries[[f"low_{d}" for d in index.dims]].to_numpy(np.float64)
+    high = entries[[f"high_{d}" for d in index.dims]].to_numpy(np.float64)
+    centre = (low + high) / 2
+    centres = pd.DataFrame(centre, columns=[f"centre_{d}" for d in index.dims]).assign(chunk=entries["chunk"])
+    apart = " + ".join(f"pow({d} - centre_{d}, 2)" for d in index.dims)
+    far = clustered.join(F.broadcast(spark.createDataFrame(centres)), "chunk").groupBy("chunk").agg(F.expr(f"sqrt(max({apart})) AS radius"))
+    entries = entries.merge(far.toPandas(), on="chunk", how="left")
     directory = Directory(
-        chunk=entries["chunk"].to_numpy(),
-        low=entries[[f"low_{d}" for d in index.dims]].to_numpy(np.float64),
-        high=entries[[f"high_{d}" for d in index.dims]].to_numpy(np.float64),
+        chunk=entries["chunk"].to_numpy(), low=low, high=high, centre=centre,
+        radius=entries["radius"].to_numpy(np.float64),
         longest=entries["longest"].to_numpy(np.float64),
         rows=entries["rows"].to_numpy(),
         first_key=entries["first_key"].to_numpy(),
@@ -255,7 +266,7 @@ def _scan(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) ->
 
 
 def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
-    """Visit each user's nearest chunk, then every other chunk that may still improve the result."""
+    """Visit each user's nearest chunk, then, round by round, the chunks that may still improve the result."""
     item, dims, directory = index.item.name, index.dims, index.shared
     visit = T.StructType([
         users.schema[user],
@@ -264,8 +275,9 @@ def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool)
         T.StructField("floor", T.DoubleType()),
         *[T.StructField(d, T.DoubleType()) for d in dims],
     ])
-    # A hit carries chunk -1. A visit still to be made carries its chunk, and no item of its own.
-    hit_or_visit = T.StructType([index.item, T.StructField("score", T.DoubleType()), *visit])
+    hit = T.StructType([
+        users.schema[user], index.item, T.StructField("score", T.DoubleType()), T.StructField("wanted", T.IntegerType()),
+    ])
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = directory.value
@@ -274,55 +286,51 @@ def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool)
             chunk = known.chunk[_nearest_chunk(vectors, wanted, known)]
             yield batch.assign(chunk=chunk, floor=-np.inf)[visit.names]
 
-    def meet_first(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        if visitors.empty:
-            return pd.DataFrame(columns=hit_or_visit.names)
-        known, members = directory.value, members.sort_values(item, kind="stable")
-        keys, vectors = members[item].to_numpy(), visitors[dims].to_numpy(np.float64)
-        wanted = visitors["wanted"].to_numpy()
-        worst = np.full(len(visitors), -np.inf)
-        last_chunk = np.zeros(len(visitors), dtype=np.int64)
-        parts = []
-        for row, col, score, rank in best_matches(
-            vectors, members[dims].to_numpy(np.float64), wanted, worst.copy(), positive_only
-        ):
-            full = rank == wanted[row] - 1
-            worst[row[full]] = score[full]
-            # At an equal score only chunks that start at or before this key can hold a better item.
-            last_chunk[row[full]] = np.searchsorted(known.first_key, keys[col[full]], side="right")
-            blank = {d: 0.0 for d in dims}
-            parts.append(pd.DataFrame({
-                item: keys[col], "score": score, user: visitors[user].to_numpy()[row],
-                "chunk": -1, "wanted": 0, "floor": 0.0, **blank,
-            }))
-        row, col = _chunks_to_visit(vectors, worst, last_chunk, known, key[0], positive_only)
-        if len(row):
-            parts.append(
-                visitors.iloc[row].assign(
-                    **{item: keys[0], "score": 0.0, "floor": worst[row], "chunk": known.chunk[col]}
-                )
-            )
-        return pd.concat(parts)[hit_or_visit.names] if parts else pd.DataFrame(columns=hit_or_visit.names)
-
-    def meet_again(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    def meet(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if visitors.empty:
             return pd.DataFrame(columns=hit.names)
         members = members.sort_values(item, kind="stable")
-        keys, names = members[item].to_numpy(), visitors[user].to_numpy()
+        keys, names, wanted = members[item].to_numpy(), visitors[user].to_numpy(), visitors["wanted"].to_numpy()
         parts = [
-            pd.DataFrame({user: names[row], item: keys[col], "score": score})
+            pd.DataFrame({user: names[row], item: keys[col], "score": score, "wanted": wanted[row]})
             for row, col, score, _ in best_matches(
-                visitors[dims].to_numpy(np.float64), members[dims].to_numpy(np.float64),
-                visitors["wanted"].to_numpy(), visitors["floor"].to_numpy(), positive_only,
+                visitors[dims].to_numpy(np.float64), members[dims].to_numpy(np.float64), wanted,
+                visitors["floor"].to_numpy(), positive_only,
             )
         ]
         return pd.concat(parts)
 
-    hit = T.StructType([users.schema[user], index.item, T.StructField("score", T.DoubleType())])
+    def onward(done: int, visits: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = directory.value
+            step = max(1, (1 << 20) // len(known.chunk))
+            for batch in batches:
+                for start in range(0, len(batch), step):
+                    part = batch.iloc[start : start + step]
+                    row, col = _next_chunks(part, dims, known, done, visits, positive_only)
+                    yield part.iloc[row].assign(chunk=known.chunk[col])[visit.names]
+
+        return run
+
     located = materialize(users.mapInPandas(nearest, visit), "located")
-    first = materialize(_meet(located, index, user, meet_first, hit_or_visit), "first-hits")
-    second = _meet(first.filter("chunk >= 0").select(visit.names), index, user, meet_again, hit)
-    return first.filter("chunk < 0").select(hit.names).unionByName(second)
+    order = Window.partitionBy(user).orderBy(F.desc("score"), item)
+    best, visits, done, many = None, located, 0, FIRST_VISITS
+    while True:
+        found = _meet(visits, index, user, meet, hit)
+        found = found if best is None else best.unionByName(found)
+        best = found.withColumn("_place", F.row_number().over(order)).filter("_place <= wanted")
+        best = materialize(best.select(*hit.names, "_place"), "hits")
+        if done >= len(index.directory.chunk):
+            break
+        # The last of a full list is the score to beat.
+        floors = best.filter("_place = wanted").select(user, F.col("score").alias("_worst"), F.col(item).alias("_last"))
+        best = best.select(*hit.names)
+        states = located.join(floors, user, "left").withColumn("floor", F.coalesce("_worst", "floor"))
+        visits = materialize(states.mapInPandas(onward(done, many), visit), "visits")
+        if visits.isEmpty():
+            break
+        done, many = done + many, min(4 * many, MOST_VISITS)
+    return best.select(user, item, "score")
 
 
 def _meet(users: DataFrame, index: ItemIndex, user: str, meet, schema: T.StructType) -> DataFrame:
@@ -356,11 +364,11 @@ def _meet(users: DataFrame, index: ItemIndex, user: str, meet, schema: T.StructT
 def _nearest_chunk(vectors: np.ndarray, wanted: np.ndarray, known: Directory) -> np.ndarray:
     """Directory row to start from: best bound, then most central, among chunks with enough rows."""
     chosen = np.empty(len(vectors), dtype=np.int64)
-    centre = (known.low + known.high) / 2
+    centre = known.centre
     step = max(1, (1 << 20) // len(known.chunk))
     for start in range(0, len(vectors), step):
         block = slice(start, start + step)
-        bound = score_bounds(vectors[block], known.low, known.high, known.longest)
+        bound = score_bounds(vectors[block], known.low, known.high, known.longest, known.centre, known.radius)
         enough = known.rows[None, :] >= wanted[block][:, None]
         enough |= ~enough.any(axis=1, keepdims=True)
         bound[~enough] = -np.inf
@@ -369,23 +377,27 @@ def _nearest_chunk(vectors: np.ndarray, wanted: np.ndarray, known: Directory) ->
     return chosen
 
 
-def _chunks_to_visit(
-    vectors: np.ndarray, worst: np.ndarray, last_chunk: np.ndarray, known: Directory, own: int, positive_only: bool
+def _next_chunks(
+    states: pd.DataFrame, dims: list[str], known: Directory, done: int, visits: int, positive_only: bool
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(user row, directory row) of all chunks that can hold an item better than the user's worst hit."""
-    order = np.arange(len(known.chunk))
-    step = max(1, (1 << 20) // len(known.chunk))
-    rows, cols = [], []
-    for start in range(0, len(vectors), step):
-        block = slice(start, start + step)
-        bound = score_bounds(vectors[block], known.low, known.high, known.longest)
-        limit = worst[block][:, None]
-        open_ = bound >= limit + HALF_TIE
-        open_ |= (bound >= limit - HALF_TIE) & (order[None, :] < last_chunk[block][:, None])
-        open_[:, known.chunk == own] = False
-        if positive_only:
-            open_ &= bound > 0.0
-        row, col = np.nonzero(open_)
-        rows.append(row + start)
-        cols.append(col)
-    return np.concatenate(rows), np.concatenate(cols)
+    """(user row, directory row) of the chunks to visit next: of those that can hold an item better than the user's
+    worst hit, the `visits` that come after the first `done` in order of their bounds.
+
+    A floor only rises, so chunks passed over once stay closed, and the order of bounds stays the same.
+    """
+    vectors, floor = states[dims].to_numpy(np.float64), states["floor"].to_numpy()[:, None]
+    # At an equal score only chunks that start at or before the last key can hold a better item.
+    full = states["_last"].notna().to_numpy()
+    last_chunk = np.zeros(len(states), dtype=np.int64)
+    if full.any():
+        last_chunk[full] = np.searchsorted(known.first_key, states["_last"].to_numpy()[full].astype(known.first_key.dtype), side="right")
+    bound = score_bounds(vectors, known.low, known.high, known.longest, known.centre, known.radius)
+    open_ = bound >= floor + HALF_TIE
+    open_ |= (bound >= floor - HALF_TIE) & (np.arange(len(known.chunk))[None, :] < last_chunk[:, None])
+    if positive_only:
+        open_ &= bound > 0.0
+    own = states["chunk"].to_numpy()[:, None] == known.chunk[None, :]
+    open_ &= ~own
+    order = np.argsort(np.where(own, np.inf, -bound), axis=1, kind="stable")[:, done : done + visits]
+    row, place = np.nonzero(np.take_along_axis(open_, order, axis=1))
+    return row, order[row, place]
