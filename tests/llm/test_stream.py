@@ -187,9 +187,11 @@ def test_probabilities_of_all_continuations_add_up():
     words = sorted(["the", "then", "than", "a", "\n"], key=str.encode)
     tokens = mixscore.Tokens.of(pa.array(words, pa.large_string()), np.array([5, 9, 2, 1, 4]))
     table = np.zeros((mixscore.ORDERS, 1 << mixscore.TABLE_BITS, 2), np.float32)
-    mixer, _ = mixscore.fit(tokens, mixscore.node_counts(tokens), table, 1)
+    counts = mixscore.by_bit(mixscore.node_counts(tokens))
+    mixer, _ = mixscore.fit(tokens, counts, table, 1)
     # A bit and its opposite at one node share all inputs, so the chances of both add up to one.
-    x, gate, _ = mixscore.inputs_of(tokens, mixscore.node_counts(tokens), table, np.arange(len(tokens.symbols)), mixscore.contexts(tokens), 3, None)
+    odds = mixscore.log_odds(table[:, :, 0], table[:, :, 1])
+    x, gate, _ = mixscore.inputs_of(tokens, counts, odds, np.arange(len(tokens.symbols)), mixscore.contexts(tokens), 3, None)
     p = mixer.refine(np.clip(mixer.mix(x, gate), 1e-7, 1 - 1e-7), gate)
     assert ((p > 0) & (p < 1)).all()
 
