@@ -34,7 +34,7 @@ MAX_ID = 65535
 PAIR_BITS = 18
 CLASS_BITS, ID_BITS = 12, 16
 ONE = 1 << CLASS_BITS
-REFRESH = 12
+REFRESH = 16
 U = np.uint64
 LOW32 = U(0xFFFFFFFF)
 
@@ -63,6 +63,7 @@ class Model:
         self.steps, self.next_refresh = 0, 1
         self.said: list[np.ndarray] = []
         self.outcomes: list[np.ndarray] = []
+        self.held: list[np.ndarray] = []
         self.rates = np.full((2, 4), ONE // 4, np.int64)  # how often order 2 and 1 held, by confidence
         self.weights = np.full((2, 2), 1 << 15, np.int64)  # by whether they agree; 1 << 16 is one
         self.happened = np.tile(np.array([4, 3, 6, 3], np.int64), (32, 1))  # outcomes by situation
@@ -109,23 +110,27 @@ class Model:
 
     def situation(self) -> None:
         """Look both predictions up for the next step."""
-        self.slot = (self.before * 0x9E3B + self.last * 0x85EB + (self.before >> 3)) & ((1 << PAIR_BITS) - 1)
-        self.two, self.one = self.second[self.slot], self.first[self.last]
+        self.slot = (self.before * 0x9E3B + self.last) & ((1 << PAIR_BITS) - 1)
+        self.two, self.one = self.second.take(self.slot), self.first.take(self.last)
         self.guess2, self.guess1 = self.two >> 2, self.one >> 2
-        self.where = ((self.two & 3) << 3) | ((self.one & 3) << 1) | (self.guess1 == self.guess2)
+        self.sure2, self.sure1 = (self.two & 3) << 1, (self.one & 3) << 1
+        self.where = (self.sure2 << 2) | self.sure1 | (self.guess1 == self.guess2)
 
-    def update(self, ids: np.ndarray, outcome: np.ndarray, held2: np.ndarray, held1: np.ndarray) -> None:
-        """held2, held1: whether the predictions were right."""
+    def update(self, ids: np.ndarray, cell: np.ndarray, held2: np.ndarray, held1: np.ndarray) -> None:
+        """cell: situation and outcome. held2, held1: whether the predictions were right."""
         fresh = ids << 2
-        for table, at, entry, held in ((self.second, self.slot, self.two, held2), (self.first, self.last, self.one, held1)):
-            move = MOVES.take(((entry & 3) << 1) | held)
-            moved = entry + move
+        for table, at, entry, sure, held in (
+            (self.second, self.slot, self.two, self.sure2, held2), (self.first, self.last, self.one, self.sure1, held1)
+        ):
+            move = MOVES.take(sure | held)
+            entry += move
             # A prediction without confidence gives way.
-            np.copyto(moved, fresh, where=move == 2)
-            table[at] = moved
+            np.copyto(entry, fresh, where=move == 2)
+            table[at] = entry
         self.before, self.last = self.last, ids
         self.said.append(ids)
-        self.outcomes.append((self.where << 2) | outcome | (held1.astype(np.int64) << 7))
+        self.outcomes.append(cell)
+        self.held.append(held1)
         self.steps += 1
         if self.steps == self.next_refresh:
             self._refresh()
@@ -134,15 +139,16 @@ class Model:
     def _refresh(self) -> None:
         self.seen += np.bincount(np.concatenate(self.said), minlength=MAX_ID + 1)
         self._frequencies()
-        table = np.bincount(np.concatenate(self.outcomes), minlength=256).reshape(2, 32, 4)
-        counts = table.sum(axis=0)
+        cells, held = np.concatenate(self.outcomes), np.concatenate(self.held)
+        counts = np.bincount(cells, minlength=128).reshape(32, 4)
+        right1 = np.bincount(cells[held] >> 2, minlength=32)
         self.happened += counts
         large = self.happened.sum(axis=1) > 1 << 20
         self.happened[large] = (self.happened[large] >> 1) + 1
         situation = np.arange(32)
         total, hits = counts.sum(axis=1), counts[:, 0]
         for order, level in ((0, situation >> 3), (1, (situation >> 1) & 3)):
-            right = np.bincount(level, hits if order == 0 else table[1].sum(axis=1), 4).astype(np.int64)
+            right = np.bincount(level, hits if order == 0 else right1, 4).astype(np.int64)
             tries = np.bincount(level, total, 4).astype(np.int64)
             target = np.clip(right * ONE // np.maximum(1, tries), 1, ONE - 1)
             self.rates[order] += np.where(tries > 0, target - self.rates[order], 0) >> 2
@@ -155,7 +161,7 @@ class Model:
             self.weights[:, agree] += (self.odds[:, part] * error[part]).sum(axis=1) // many >> 2
         self.weights = np.clip(self.weights, -(1 << 18), 1 << 18)
         self._classes()
-        self.said, self.outcomes = [], []
+        self.said, self.outcomes, self.held = [], [], []
 
 
 def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -218,7 +224,7 @@ def encode(ids: np.ndarray) -> bytes:
             out[place] = (some >> U(48)).astype(np.uint16)
             at[todo] = place + 1
             todo = _shifted(low, width, todo, some, span)
-        model.update(now, outcome, held2, held1)
+        model.update(now, cell, held2, held1)
     for shift in (48, 32, 16, 0):
         out[at] = ((low >> U(shift)) & U(0xFFFF)).astype(np.uint16)
         at += 1
@@ -277,7 +283,7 @@ def decode(block: bytes) -> np.ndarray:
             code[todo] = (code[todo] << U(16)) | words[place]
             at[todo] = place + 1
             todo = _shifted(low, width, todo, some, span)
-        model.update(now, outcome, now == model.guess2, now == model.guess1)
+        model.update(now, cell, now == model.guess2, now == model.guess1)
         grid[step] = now
     ids = grid.T.reshape(-1)[:count]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
