@@ -202,10 +202,10 @@ def score_quality(
     and with one class the share of label 1 (within 0.01 and 0.99). An empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit_on_sample(docs, labels, key, text, label, per_class, folds))
-    docs = docs.drop("held_out", "score", "predicted").withColumn("_scored", F.col(text))
-    keep = [c for c in docs.columns if c != "_scored"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_scored")
-    scored = docs.mapInArrow(_score_batches(model, "_scored", keep), f"{schema}, _score double")
+    docs = docs.drop("held_out", "score", "predicted")
+    keep = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    scored = docs.mapInArrow(_score_batches(model, text, keep), f"{schema}, _score double")
     return scored.select(
         *keep, held_out(key, folds).alias("held_out"), F.col("_score").alias("score"),
         (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
