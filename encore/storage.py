@@ -55,7 +55,46 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_scopes().pop()
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
-            location = hadoop.Path(path)
-            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+            delete_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    location, system = _file_system(spark, path)
+    system.delete(location, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    location, system = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(location) if s.isDirectory()) if system.exists(location) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; null if there is none."""
+    location, system = _file_system(spark, path)
+    if not system.exists(location):
+        return None
+    stream = system.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def switch_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place in one step: readers see the old text or the new one."""
+    java, context = spark.sparkContext._jvm, spark.sparkContext
+    location, system = _file_system(spark, path)
+    draft, _ = _file_system(spark, f"{path}-{uuid.uuid4().hex}")
+    stream = system.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(java.org.apache.hadoop.fs, "Options$Rename")
+    options = context._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    java.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), context._jsc.hadoopConfiguration()).rename(draft, location, options)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,13 +14,14 @@ from encore.operators.catalogue import Catalogue
 from encore.plans.content import as_recommendations
 from encore.plans.live import live_matches
 from encore.schemas import SONGS_PER_USER
-from encore.sinks.files import upsert, write_batch
+from encore.sinks.catalog import write_actions
+from encore.sinks.files import newest_version, upsert, write_batch
 from encore.storage import scratch_scope
 
 
 @dataclass(frozen=True)
 class LiveTables:
-    """Folders the live job writes."""
+    """Folders the live job writes. The lake may be the name of an `action_lake` table instead."""
 
     lake: str
     serving: str
@@ -29,30 +29,39 @@ class LiveTables:
 
 
 def process_batch(
-    records: DataFrame, batch: int, stream: str, catalogue: Catalogue, tables: LiveTables, k: int = SONGS_PER_USER
+    records: DataFrame, batch: int, stream: str, catalogue: Catalogue, tables: LiveTables, k: int = SONGS_PER_USER,
+    first_version: int = 0,
 ) -> None:
-    """Everything that happens to one micro-batch. A replay of the batch leaves the same tables."""
+    """Everything that happens to one micro-batch. A replay of the batch leaves the same tables.
+
+    Versions of recommendations count up from `first_version` by batch, so no clock decides which row is newer.
+    """
     if records.isEmpty():
         return
     # Records are parsed once for the lake, the rejects and the recommendations.
     decoded = decode_actions(records).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         actions = accepted_actions(decoded)
-        write_batch(actions, tables.lake, stream, batch)
+        if "/" in tables.lake:
+            write_batch(actions, tables.lake, stream, batch)
+        else:
+            write_actions(actions, tables.lake, stream, batch)
         write_batch(rejected_records(decoded), tables.rejects, stream, batch)
         with scratch_scope(records.sparkSession):
             matches = as_recommendations(live_matches(actions, catalogue, k))
-            upsert(matches, tables.serving, stream, batch, version=time.time_ns() // 1_000_000)
+            upsert(matches, tables.serving, stream, batch, version=first_version + batch)
     finally:
         decoded.unpersist()
 
 
-def on_batch(catalogue: Catalogue, tables: LiveTables, k: int = SONGS_PER_USER) -> Callable[[DataFrame, int], None]:
+def on_batch(
+    catalogue: Catalogue, tables: LiveTables, k: int = SONGS_PER_USER, first_version: int = 0
+) -> Callable[[DataFrame, int], None]:
     def run(records: DataFrame, batch: int) -> None:
         # The query id stays the same across restarts from one checkpoint, so a replay overwrites its own
         # folder, and another query never does.
         stream = records.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        process_batch(records, batch, stream, catalogue, tables, k)
+        process_batch(records, batch, stream, catalogue, tables, k, first_version)
 
     return run
 
@@ -69,7 +78,10 @@ def start(
 
     Offsets are committed to `checkpoint` only after a batch went through, so a failed one is replayed.
     """
-    writer = records.writeStream.foreachBatch(on_batch(catalogue, tables, k)).option("checkpointLocation", checkpoint)
+    # Above all versions so far, whatever batch number this query begins with.
+    first_version = newest_version(records.sparkSession, tables.serving) + 1
+    handle = on_batch(catalogue, tables, k, first_version)
+    writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if interval_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{interval_seconds} seconds").start()

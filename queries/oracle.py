@@ -220,3 +220,8 @@ WHERE rank <= 10"""
 ORACLE["als_checks"] = _with(SONGS_CTE, ACTIONS_CTE, select="""
 SELECT DISTINCT user_id, 10 AS rows, 10 AS songs, 1 AS first_rank, 10 AS last_rank, 0 AS rises, 0 AS negative, 10 AS known
 FROM actions JOIN songs USING (song_id) WHERE user_id IS NOT NULL AND rating IS NOT NULL""")
+
+ORACLE["stream_rejects"] = _with(*PARSED_CTES, select="SELECT value FROM parsed WHERE NOT accepted")
+ORACLE["live_to_daily"] = _with(
+    CONTENT_CTES[0], *PARSED_CTES, "actions AS (SELECT * FROM sent WHERE user_id IS NOT NULL)", *CONTENT_CTES[2:], select=_matches("content")
+)

@@ -364,6 +364,26 @@ def stream_live_recs(spark, folder):
     return files.read_keyed(spark, _stream(spark, folder).serving)
 
 
+@query
+def stream_rejects(spark, folder):
+    return spark.read.parquet(_stream(spark, folder).rejects).select("value")
+
+
+@query
+def live_to_daily(spark, folder):
+    """The live job fills the declared action table, its batches are merged, and the daily content job reads the table."""
+    name, base = table_name(), scratch_path(spark, "loop")
+    catalog.action_lake(spark, name, f"{base}/lake")
+    views.records(spark, folder).select("value").write.text(f"{base}/in")
+    tables = LiveTables(name, f"{base}/serving", f"{base}/rejects")
+    query = start(file_actions(spark, f"{base}/in"), live.live_catalogue(views.songs(spark, folder)), tables, f"{base}/checkpoint", None)
+    query.awaitTermination()
+    catalog.compact_lake(spark, name, str(query.id))
+    files.compact_keyed(spark, tables.serving)
+    songs = views.filled_songs(spark, folder)
+    return content.content_matches(catalog.lake_actions(spark, name), songs)
+
+
 # -- serving ---------------------------------------------------------------------------------------
 
 

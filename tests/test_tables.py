@@ -231,3 +231,39 @@ def test_serving_scan_skips_files(spark, tmp_path):
     holding = ranges.filter((F.col("a") < "42$") & (F.col("b") >= "42#")).count()
     assert ranges.count() > 2 and holding <= 2
     assert files.read_keyed(spark, f"{tmp_path}/t", F.col("row_key").startswith("42#")).count() == 40
+
+
+def test_failed_replacement_leaves_the_old_rows(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    files.replace_keyed(recommendations(spark, ["a", "b"]), path)
+    broken = recommendations(spark, ["c"]).withColumn("song_name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        files.replace_keyed(broken, path)
+    assert rows(files.read_keyed(spark, path).select("row_key")) == [("a",), ("b",)]
+    files.replace_keyed(recommendations(spark, ["d"]), path)
+    assert rows(files.read_keyed(spark, path).select("row_key")) == [("d",)]
+
+
+def test_compaction_keeps_rows_and_order_of_versions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for batch in range(5):
+        files.upsert(recommendations(spark, ["a", f"b{batch}"], f"n{batch}"), path, "s", batch, version=batch)
+    before = rows(files.read_keyed(spark, path))
+    files.compact_keyed(spark, path)
+    assert rows(files.read_keyed(spark, path)) == before and files.newest_version(spark, path) == 4
+    files.upsert(recommendations(spark, ["a"], "late"), path, "t", 0, version=5)
+    assert ("late",) in rows(files.read_keyed(spark, path).select("song_name"))
+
+
+def test_lake_replays_and_merges(spark, tmp_path):
+    catalog.action_lake(spark, "t_lake", f"{tmp_path}/lake")
+    action = spark.createDataFrame([("u", "s", "listened", None, 1.0)], USER_ACTION)
+    for batch in (0, 1, 1):
+        catalog.write_actions(action, "t_lake", "q", batch)
+    assert catalog.lake_actions(spark, "t_lake").columns == USER_ACTION.names
+    assert catalog.lake_actions(spark, "t_lake").count() == 2
+    catalog.compact_lake(spark, "t_lake", "q")
+    catalog.compact_lake(spark, "t_lake", "q")
+    catalog.write_actions(action, "t_lake", "r", 0)
+    assert catalog.lake_actions(spark, "t_lake").count() == 3
+    spark.sql("DROP TABLE t_lake")
