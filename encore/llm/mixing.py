@@ -128,10 +128,8 @@ def mix_sources(
         "_copies": whole.cast("long"), "_chance": F.greatest(share - whole, F.lit(0.0)), "_key": hashed,
         "_leaf": F.pmod(hashed, F.greatest(F.ceil(F.col("_rows") / leaf_rows), F.lit(1))),
     }).drop("_rows")
-    # Arrow tables of a group name columns as the frame does; a fixed order keeps caller's names apart.
     rows = materialize(rows.groupBy("_source", "_leaf").applyInArrow(_round_group(seed, 0), rows.schema), "mix-0")
-    final = ["_chance < 0 OR _chance IS NULL"]
-    decided = [rows.filter(final[0])]
+    decided = [rows.filter("_chance < 0")]
     most = targets.agg(F.max("_rows")).first()[0] or 0
     leaves, level = math.ceil(most / leaf_rows), 0
     left = rows.filter("_chance >= 0")
@@ -139,7 +137,7 @@ def mix_sources(
         leaves, level = math.ceil(leaves / fan_in), level + 1
         left = left.withColumn("_leaf", F.floor(F.col("_leaf") / fan_in))
         played = materialize(left.groupBy("_source", "_leaf").applyInArrow(_round_group(seed, level), left.schema), f"mix-{level}")
-        decided.append(played.filter(final[0]))
+        decided.append(played.filter("_chance < 0"))
         left = played.filter("_chance >= 0")
     draw = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_key")), F.lit(1 << 30)) / float(1 << 30)
     decided.append(left.withColumn("_copies", F.col("_copies") + (draw < F.col("_chance")).cast("long")))

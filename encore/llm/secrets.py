@@ -43,7 +43,6 @@ FILTERS = {
 AROUND = 160
 DICTIONARY_WORDS = 4096
 NOVEL_SHARE = 0.55
-FOUND = "base array<struct<kind:int,start:long,end:long>>, candidates array<struct<start:long,end:long,before:string,after:string>>"
 
 
 def base_spans(text: str, wanted=(True, True, True)) -> list[tuple[int, int, int]]:

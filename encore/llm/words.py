@@ -11,9 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORD = r"[^\x20\x09-\x0D]+"
-SPARK_WORD = r"[^\x20\x09-\x0D]+"
-
+SPARK_
 
 def texts_of(column: pa.Array) -> pa.Array:
     """The column as large strings, nulls as empty texts."""
