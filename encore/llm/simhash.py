@@ -28,6 +28,7 @@ from encore.storage import materialize
 BITS = 64
 DISTANCE = 4
 WORDS = 4
+BEST = 3  # candidates of a document that are checked on the texts
 
 
 def shingle_hashes(text: bytes, words: int, seed: int = 42) -> np.ndarray:
@@ -183,7 +184,10 @@ def _met(prints: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
     ]
     met = index.join(ends, (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & (near[0] | near[1]))
     others = F.array(F.when(near[0], F.col("low")), F.when(near[1], F.col("high")))
-    return met.select("fingerprint", F.explode(F.array_compact(others)).alias("other")).distinct()
+    found = met.select("fingerprint", F.explode(F.array_compact(others)).alias("other")).distinct()
+    # The best few of each, so that a large group of near copies keeps a bounded number of candidates a member.
+    nearest = Window.partitionBy("fingerprint").orderBy(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))), "other")
+    return found.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= BEST).drop("_n")
 
 
 def similar_groups(
@@ -226,7 +230,7 @@ def similar_groups(
         .select("a", "b", far.alias("far")).filter(F.col("far") <= int(spread * BITS * views))
     )
     order = Window.partitionBy("a").orderBy("far", "b")
-    best = materialize(tied.withColumn("n", F.row_number().over(order)).filter("n <= 3").select("a", "b"), "tied")
+    best = materialize(tied.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= BEST).select("a", "b"), "tied")
     ends = best.select(F.col("a").alias("e")).union(best.select("b")).distinct()
     texts = materialize(narrow.join(ends, F.col("_row") == F.col("e")).groupBy("_row").agg(F.min("_text").alias("_text")), "texts")
     both = best.join(texts.select(F.col("_row").alias("a"), F.col("_text").alias("text_a")), "a")
