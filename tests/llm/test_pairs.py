@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+from encore.llm import simhash
 from encore.llm.components import components
 from encore.llm.neighbours import hadamard, nearest_neighbours
 from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments, similar_groups
@@ -87,6 +88,28 @@ def test_similar_groups(spark):
     assert kept.columns == docs.columns and kept.count() == len(of)
 
 
+def alike(a: str, b: str) -> bool:
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def changed(base: list[str], places) -> str:
+    return " ".join(f"x{random.getrandbits(40)}" if i in places else w for i, w in enumerate(base))
+
+
+def test_similar_groups_in_crowded_buckets(spark, monkeypatch):
+    # Keys of 4 bits: some 20 unrelated fingerprints in every bucket, so a pair is hardly ever at its ends.
+    monkeypatch.setattr(simhash, "segments", lambda distance: [(i, 5) for i in range(0, 60, 5)])
+    random.seed(9)
+    bases = [[f"v{random.randrange(3000)}" for _ in range(200)] for _ in range(150)]
+    texts = [t for base in bases for t in (" ".join(base), changed(base, set(random.sample(range(200), 3))))]
+    pairs = [i for i in range(0, 300, 2) if alike(texts[i], texts[i + 1])]
+    assert len(pairs) > 140
+    groups = {r["doc_id"]: r["group"] for r in similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect()}
+    assert sum(groups[i] == groups[i + 1] for i in pairs) >= 0.97 * len(pairs)
+    assert len(set(groups.values())) >= 150
+
+
 def test_representatives_edges(edges, nothing):
     kept = keep_representatives(edges)
     assert kept.columns == edges.columns
