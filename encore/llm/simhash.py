@@ -287,8 +287,10 @@ def similar_groups(
     right = owners.select("view", F.col("fingerprint").alias("other"), F.col("owner").alias("b"))
     tied = met.join(left, ["view", "fingerprint"]).join(right, ["view", "other"]).filter("a <> b").select("a", "b").union(same)
     tied = within(tied.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    order = Window.partitionBy("a").orderBy("far", "b")
-    best = materialize(tied.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= BEST).select("a", "b"), "tied")
+    # The nearest of either end: a bucket's end has many members, each of which keeps its own three.
+    of_a, of_b = Window.partitionBy("a").orderBy("far", "b"), Window.partitionBy("b").orderBy("far", "a")
+    best = tied.withColumns({"of_a": F.row_number().over(of_a), "of_b": F.row_number().over(of_b)})
+    best = materialize(best.filter(F.least("of_a", "of_b") <= BEST).select("a", "b"), "tied")
     names = _renamed(classes.select("n", F.col("n").alias("group")), checked(best))
     named = classes.join(names, "n")
     rest = None

@@ -110,6 +110,16 @@ def test_similar_groups_in_crowded_buckets(spark, monkeypatch):
     assert len(set(groups.values())) >= 150
 
 
+def test_all_copies_of_one_document_are_found(spark):
+    # Each copy is similar to the document of the largest id only, which must not keep just three of them.
+    random.seed(4)
+    base = [f"v{random.randrange(3000)}" for _ in range(300)]
+    texts = [changed(base, range(7 * i, 7 * i + 20)) for i in range(40)] + [" ".join(base)]
+    assert all(alike(t, texts[-1]) for t in texts)
+    groups = {r["doc_id"]: r["group"] for r in similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect()}
+    assert sum(g == groups[40] for g in groups.values()) >= 40
+
+
 def test_representatives_edges(edges, nothing):
     kept = keep_representatives(edges)
     assert kept.columns == edges.columns
