@@ -181,6 +181,17 @@ def test_scores(spark, monkeypatch):
     assert rows.score.sum() / rows.n_tokens.sum() > -4.6
 
 
+def test_scores_do_not_depend_on_blocks(spark):
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0)
+    source = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10)
+    text = " ".join(f"w{i * i % 701}" for i in range(600))
+    parts = [spark.createDataFrame([(k, text)], "doc_id long, text string").coalesce(1) for k in (source, held)]
+    apart = parts[0].union(parts[1])
+    scores = [{r["doc_id"]: r["score"] for r in mixscore.score_texts(d).collect()} for d in (apart, apart.coalesce(1))]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)
+    assert scores[0][held] > scores[0][source]  # the copy is predicted, the source is not
+
+
 def test_probabilities_of_all_continuations_add_up():
     import pyarrow as pa
 
