@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm.centroids import centroid_clusters
 from encore.llm.decontaminate import contaminated
+from encore.llm.dialogue import repair_conversations
 from encore.llm.mixing import mix_sources, word_count
 from encore.llm.mixscore import score_texts
 from encore.llm.neighbours import nearest_neighbours
@@ -17,6 +19,7 @@ from encore.llm.simhash import near_duplicates
 from encore.llm.tokenfiles import token_table
 from encore.llm.toxicity import score_toxicity
 from encore.llm.urls import judge_urls, rules_frame
+from encore.llm.voronoi import top_products
 from encore.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +92,19 @@ def op6_token_files(spark, folder):
 @query
 def op1_context_mixing(spark, folder):
     return score_texts(table(spark, folder, "documents"))
+
+
+@query
+def op11_glr_repair(spark, folder):
+    return repair_conversations(table(spark, folder, "conversations"))
+
+
+@query
+def op12_hadamard_clusters(spark, folder):
+    return centroid_clusters(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_voronoi_top_k(spark, folder):
+    """Queries: the ids divisible by 100, against every row."""
+    return top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
