@@ -5,59 +5,62 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 SCORES_PER_BLOCK = 1 << 20
 TIE_DIGITS = 9
 HALF_TIE = 0.5 * 10.0**-TIE_DIGITS
-SLACK = 1e-12
+
+
+def vector_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of equal length as the rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
 def best_matches(
-    users: np.ndarray, items: np.ndarray, wanted: np.ndarray, floor: np.ndarray, positive_only: bool
+    users: np.ndarray, items: np.ndarray, k: int, floor: np.ndarray, positive_only: bool,
+    hidden: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Yield (user row, item row, score, rank) of each user's `wanted` best items that reach its `floor`.
+    """Yield (user row, item row, score, rank) of each user's `k` best items that reach its `floor`.
 
-    Rows of `items` must be in key order: scores equal after rounding rank by item row. Rows come
-    out per user, best first; rank counts from 0.
+    Rows of `items` must be in key order: scores equal after rounding rank by item row. Rows come out per user, best first;
+    rank counts from 0. `hidden` lists (user rows, item rows), by user row, of pairs that never match: they are masked
+    before the cut, so however many they are, a user gets `k` others.
     """
     if not len(items):
         return
-    step = max(1, SCORES_PER_BLOCK // len(items))
+    step, most = max(1, SCORES_PER_BLOCK // len(items)), min(k, len(items))
     for start in range(0, len(users), step):
         block = slice(start, start + step)
-        ks = wanted[block]
-        widest = min(int(ks.max()), len(items))
         scores = users[block] @ items.T
-        cut = np.partition(scores, len(items) - widest, axis=1)[:, len(items) - widest]
-        # Everything that can round to at least the cut: ties are settled below, by key.
-        least = np.maximum(cut, floor[block]) - 2 * HALF_TIE
-        if positive_only:
-            least = np.maximum(least, np.nextafter(0.0, 1.0))
+        if hidden is not None:
+            first, last = np.searchsorted(hidden[0], (start, start + step))
+            scores[hidden[0][first:last] - start, hidden[1][first:last]] = -np.inf
+        # Everything that can round to at least the cut: ties are settled below, by key. A floor is cut enough.
+        least = floor[block]
+        if not np.isfinite(least).all():
+            least = np.maximum(least, np.partition(scores, len(items) - most, axis=1)[:, len(items) - most])
+        least = least - 2 * HALF_TIE
+        least = np.maximum(least, np.nextafter(0.0, 1.0) if positive_only else np.finfo(np.float64).min)
         row, item = np.nonzero(scores >= least[:, None])
         score = np.round(scores[row, item], TIE_DIGITS) + 0.0
         order = np.lexsort((item, -score, row))
         row, item, score = row[order], item[order], score[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
-        chosen = rank < ks[row]
+        chosen = rank < k
         yield row[chosen] + start, item[chosen], score[chosen], rank[chosen]
 
 
-def score_bounds(
-    users: np.ndarray, low: np.ndarray, high: np.ndarray, longest: np.ndarray, centre: np.ndarray, radius: np.ndarray
-) -> np.ndarray:
-    """Upper bound of the dot product of every user with any item of every box (users x boxes).
-
-    Three bounds hold, and the smallest one is used. The corner bound is tight for long vectors. The second follows
-    from |u - x|^2 = |u|^2 + |x|^2 - 2 u.x and is tight for unit vectors. The ball around the centre that holds all
-    items is smaller than the box in many dimensions, where nothing lies in the corners.
-    """
-    corner = np.zeros((len(users), len(low)))
-    gap = np.zeros_like(corner)
-    for d in range(users.shape[1]):
-        u = users[:, d : d + 1]
-        corner += np.maximum(u * low[:, d], u * high[:, d])
-        gap += np.square(np.maximum(np.maximum(low[:, d] - u, u - high[:, d]), 0.0))
-    squared = np.square(users).sum(axis=1)[:, None]
-    near = (squared + np.square(longest)[None, :] - gap) / 2
-    ball = users @ centre.T + np.sqrt(squared) * radius[None, :]
-    return np.minimum(np.minimum(corner, near), ball) + SLACK * (1.0 + np.sqrt(squared) * longest[None, :])
+def kth_best(users: np.ndarray, items: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The score at each user's place (from 1) among the items; minus infinity where there are fewer items."""
+    found = np.full(len(users), -np.inf)
+    step = max(1, SCORES_PER_BLOCK // max(1, len(items)))
+    for start in range(0, len(users), step):
+        place = places[start : start + step]
+        enough = np.flatnonzero(place <= len(items))
+        if len(enough):
+            scores = np.sort(users[start + enough] @ items.T, axis=1)
+            found[start + enough] = scores[np.arange(len(enough)), len(items) - place[enough]]
+    return found

@@ -4,68 +4,58 @@ Two plans give the same rows:
 
 * a catalogue whose size is checked against fixed limits is broadcast, and the user side streams
   past it without a shuffle;
-* a larger one is clustered into chunks of neighbouring items, written once. A user first meets the
-  one chunk nearest to them. Their k-th best score so far bounds the search: they go on to the chunks
-  whose bounds promise most, a few at first and then more in each round, and stop as soon as no
-  chunk that is left can hold a better item. A round makes a bounded number of rows per user.
-
-Users and items of a chunk meet in groups of bounded size: a chunk many users ask for is copied to
-several groups, and copies of one vector are spread over chunks in id order, of which a user needs
-only the first.
+* a larger one is cut into chunks of neighbouring items with a directory of bounds (see `chunks`). A user
+  starts with a floor from a small sample and the list of chunks whose bound reaches it, best first. This
+  frontier travels with the user: each round visits the next chunks of the list, merges what they hold into
+  the user's best k, raises the floor and closes the chunks below it. A user without open chunks is finished,
+  is written apart and read again only for the result.
+
+Users and items of a chunk meet in groups of bounded size: a chunk never has more than a fixed number of
+rows, and one many users ask for is copied to several groups. Copies of one vector are spread over chunks in
+id order, of which a user needs only the first. Items to leave out are masked inside the chunk, so a user
+who has seen thousands of items still gets k rows from each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.vectors import feature_sql
-from encore.operators.kernels import HALF_TIE, best_matches, score_bounds
+from encore.operators.chunks import Chunks, Directory, cut_into_chunks, partitions
+from encore.operators.kernels import HALF_TIE, SCORES_PER_BLOCK, best_matches, kth_best, vector_rows
 from encore.storage import materialize
 
 # Limits of a broadcast catalogue.
 BROADCAST_ROWS = 1 << 16
 BROADCAST_BYTES = 64 << 20
-# Limits of a clustered one: the chunk directory every task sees stays below a few MB, so chunks
-# grow with the catalogue instead.
-MAX_CHUNKS = 1 << 14
-DIRECTORY_BYTES = 8 << 20
-MIN_CHUNK_ROWS = 1 << 11
 # Users in one group of the clustered plan.
-MIN_GROUP_USERS, MAX_GROUP_USERS = 1 << 8, 1 << 16
-# Enough cells to tell MAX_CHUNKS places apart even if only three dimensions vary.
-CELLS_PER_DIMENSION = 1 << 6
-POSITION_BITS = 60
-# Chunks a user may visit in a round: few while the bound is loose.
-FIRST_VISITS, MOST_VISITS = 4, 256
+CROWD = 1 << 12
+# Chunks a user may visit in a round: few while the floor is low.
+FIRST_VISITS, MORE_VISITS, MOST_VISITS = 2, 32, 256
+# Open chunks that travel with a user.
+MOST_OPEN = 1 << 8
 
 
-def parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
-def as_vectors(df: DataFrame, key: str, features: list[str], metric: str, on_missing: str) -> DataFrame:
-    """`key` and one double column per dimension, scaled to length 1 for cosine (zero stays zero)."""
-    dims = [f"v{i}" for i in range(len(features))]
+def as_vectors(df: DataFrame, key: str, features: list[str], metric: str, on_missing: str, name: str) -> DataFrame:
+    """(`name`, v): the key and all features as one array, scaled to length 1 for cosine (zero stays zero)."""
     checked = df.filter(F.col(key).isNotNull()).selectExpr(
-        f"`{key}`", *[f"{feature_sql(c, on_missing)} AS {d}" for c, d in zip(features, dims)]
+        f"`{key}` AS {name}", f"array({', '.join(feature_sql(c, on_missing) for c in features)}) AS v"
     )
     if metric == "dot":
         return checked
     if metric != "cosine":
         raise ValueError(f"metric must be 'cosine' or 'dot', not {metric!r}")
-    measured = checked.selectExpr("*", f"sqrt({' + '.join(f'{d} * {d}' for d in dims)}) AS _length")
-    return measured.selectExpr(
-        f"`{key}`", *[f"CASE WHEN _length > 0 THEN {d} / _length ELSE 0D END AS {d}" for d in dims]
-    )
+    measured = checked.selectExpr("*", "sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) AS _length")
+    return measured.selectExpr(name, "transform(v, x -> CASE WHEN _length > 0 THEN x / _length ELSE 0D END) AS v")
 
 
 @dataclass(frozen=True)
@@ -77,27 +67,13 @@ class ItemIndex:
     metric: str
     on_missing: str
     vectors: DataFrame
-    directory: "Directory | None" = None
-    # Sent to the executors once per index, not once per search: (keys, matrix), or the directory.
+    chunks: Chunks | None = None
+    # Sent to the executors once per index, not once per search: (keys, matrix), or (directory, sample).
     shared: Broadcast | None = field(default=None, repr=False)
 
     @property
-    def dims(self) -> list[str]:
-        return [f"v{i}" for i in range(len(self.features))]
-
-
-@dataclass(frozen=True)
-class Directory:
-    """One entry per chunk, ordered by smallest key: bounded by MAX_CHUNKS plus one per file."""
-
-    chunk: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    longest: np.ndarray
-    rows: np.ndarray
-    first_key: np.ndarray
-    centre: np.ndarray
-    radius: np.ndarray
+    def directory(self) -> Directory | None:
+        return self.chunks and self.chunks.directory
 
 
 def index_items(
@@ -109,98 +85,23 @@ def index_items(
     on_missing: str = "error",
     broadcast_rows: int = BROADCAST_ROWS,
     chunk_rows: int | None = None,
+    directory_entries: int | None = None,
 ) -> ItemIndex:
     """Prepare a catalogue for `top_k`. `broadcast_rows=0` forces the clustered plan.
 
-    `items` is read up to three times, so it should be a stored table.
+    `items` is read a few times, so it should be a stored table.
     """
-    vectors = as_vectors(items, item, features, metric, on_missing)
+    vectors = as_vectors(items, item, features, metric, on_missing, "item")
     known = items.filter(F.col(item).isNotNull())
     rows, key_bytes = known.agg(F.count("*"), F.max(F.octet_length(F.col(item).cast("string")))).first()
-    index = ItemIndex(vectors.schema[item], list(features), metric, on_missing, vectors)
+    index = ItemIndex(items.schema[item], list(features), metric, on_missing, vectors)
     row_bytes = 8 * len(features) + (key_bytes or 0)
+    context = items.sparkSession.sparkContext
     if rows == 0 or (rows <= broadcast_rows and rows * row_bytes <= BROADCAST_BYTES):
-        local = vectors.toPandas().sort_values(item, kind="stable")
-        shared = (local[item].to_numpy(), local[index.dims].to_numpy(np.float64))
-        return _with(index, shared=items.sparkSession.sparkContext.broadcast(shared))
-    return _cluster(index, rows, chunk_rows)
-
-
-def _with(index: ItemIndex, **changes) -> ItemIndex:
-    return ItemIndex(**{**index.__dict__, **changes})
-
-
-def _cluster(index: ItemIndex, rows: int, chunk_rows: int | None) -> ItemIndex:
-    """Sort by position in space and cut the order into chunks of equal row count."""
-    spark, item = index.vectors.sparkSession, index.item.name
-    chunks = max(1, min(MAX_CHUNKS, DIRECTORY_BYTES // (16 * len(index.dims) + 64)))
-    shift = (max(chunk_rows or MIN_CHUNK_ROWS, -(-rows // chunks)) - 1).bit_length()
-    files = max(1, min(rows >> shift, max(parallelism(spark), rows >> (shift + 4))))
-    clustered = materialize(
-        _with_position(index.vectors, index.dims)
-        # The item key makes the sort key unique, so copies of one vector cannot pile up in a range.
-        .repartitionByRange(files, "_position", item)
-        .sortWithinPartitions("_position", item)
-        # Row numbers restart at a multiple of 2^33 in each partition, so a shift cuts even chunks.
-        .select(F.shiftright(F.monotonically_increasing_id(), shift).alias("chunk"), item, *index.dims),
-        "chunks",
-    )
-    squares = " + ".join(f"{d} * {d}" for d in index.dims)
-    entries = (
-        clustered.groupBy("chunk")
-        .agg(
-            F.expr("count(*)").alias("rows"), F.min(item).alias("first_key"), F.expr(f"sqrt(max({squares}))").alias("longest"),
-            *[F.expr(f"min({d}) AS low_{d}") for d in index.dims],
-            *[F.expr(f"max({d}) AS high_{d}") for d in index.dims],
-        )
-        .toPandas()
-        .sort_values(["first_key", "chunk"], ignore_index=True)
-    )
-    low = entries[[f"low_{d}" for d in index.dims]].to_numpy(np.float64)
-    high = entries[[f"high_{d}" for d in index.dims]].to_numpy(np.float64)
-    centre = (low + high) / 2
-    centres = pd.DataFrame(centre, columns=[f"centre_{d}" for d in index.dims]).assign(chunk=entries["chunk"])
-    apart = " + ".join(f"pow({d} - centre_{d}, 2)" for d in index.dims)
-    far = clustered.join(F.broadcast(spark.createDataFrame(centres)), "chunk").groupBy("chunk").agg(F.expr(f"sqrt(max({apart})) AS radius"))
-    entries = entries.merge(far.toPandas(), on="chunk", how="left")
-    directory = Directory(
-        chunk=entries["chunk"].to_numpy(), low=low, high=high, centre=centre,
-        radius=entries["radius"].to_numpy(np.float64),
-        longest=entries["longest"].to_numpy(np.float64),
-        rows=entries["rows"].to_numpy(),
-        first_key=entries["first_key"].to_numpy(),
-    )
-    return _with(index, vectors=clustered, directory=directory, shared=spark.sparkContext.broadcast(directory))
-
-
-def _with_position(vectors: DataFrame, dims: list[str]) -> DataFrame:
-    """Add a sort key under which neighbours in space are mostly neighbours in order.
-
-    Each dimension is cut at its own quantiles, so dense regions get as many cells as they have rows.
-    The bits of the cell numbers are then strung together, always taking the next bit from the
-    dimension whose cells are still the widest.
-    """
-    fractions = ", ".join(str(i / CELLS_PER_DIMENSION) for i in range(1, CELLS_PER_DIMENSION))
-    quantiles = vectors.selectExpr(
-        *[f"percentile_approx({d}, array({fractions}), {4 * CELLS_PER_DIMENSION}) AS {d}" for d in dims]
-    ).first()
-    cuts = {d: sorted(set(quantiles[d])) for d in dims}
-    bucketed = Bucketizer(
-        splitsArray=[[-float("inf"), *cuts[d], float("inf")] for d in dims],
-        inputCols=dims, outputCols=[f"_cell_{d}" for d in dims],
-    ).transform(vectors)
-    width = {d: cuts[d][-1] - cuts[d][0] for d in dims}
-    bits_left = {d: len(cuts[d]).bit_length() for d in dims}
-    bits = ["0L"]
-    for place in range(POSITION_BITS - 1, -1, -1):
-        open_dims = [d for d in dims if bits_left[d]]
-        if not open_dims:
-            break
-        widest = max(open_dims, key=width.get)
-        bits_left[widest] -= 1
-        width[widest] /= 2
-        bits.append(f"shiftleft(shiftright(CAST(_cell_{widest} AS BIGINT), {bits_left[widest]}) & 1L, {place})")
-    return bucketed.withColumn("_position", F.expr(" | ".join(bits)))
+        local = vectors.toArrow().sort_by("item")
+        return replace(index, shared=context.broadcast((local.column("item").combine_chunks(), vector_rows(local.column("v")))))
+    chunks = cut_into_chunks(vectors, rows, len(features), chunk_rows, directory_entries)
+    return replace(index, chunks=chunks, shared=context.broadcast((chunks.directory, chunks.sample)))
 
 
 def top_k(
@@ -217,187 +118,259 @@ def top_k(
     `profiles` holds one row per user with the index's feature columns. `exclude` lists (user, item)
     pairs to leave out. Scores equal to TIE_DIGITS decimals rank by item key.
     """
-    item = index.item.name
-    vectors = as_vectors(profiles, user, index.features, index.metric, index.on_missing)
-    if exclude is None:
-        hits = _hits(vectors.withColumn("wanted", F.lit(k)), index, user, positive_only)
-        if index.directory is None:
-            return hits
-    else:
-        # A user who may lose n items to the exclusion needs the best k + n before it.
-        seen = exclude.select(user, item).distinct()
-        counts = seen.groupBy(user).agg(F.count("*").alias("_seen"))
-        wanted = (F.lit(k) + F.coalesce("_seen", F.lit(0))).cast("int")
-        users = vectors.join(counts, user, "left").withColumn("wanted", wanted).drop("_seen")
-        hits = _hits(users, index, user, positive_only).join(seen, [user, item], "left_anti")
-    order = Window.partitionBy(user).orderBy(F.desc("score"), item)
-    return (
-        hits.select(user, item, "score")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-    )
+    users = as_vectors(profiles, user, index.features, index.metric, index.on_missing, "user")
+    seen = exclude and exclude.select(F.col(user).alias("user"), F.col(index.item.name).alias("item")).distinct()
+    find = _scan if index.chunks is None else _search
+    found = find(users, index, k, seen, positive_only)
+    return found.withColumnsRenamed({"user": user, "item": index.item.name})
 
 
-def _hits(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
-    spread = users.repartition(2 * parallelism(users.sparkSession), user)
-    if index.directory is None:
-        return _scan(spread, index, user, positive_only)
-    return _search(spread, index, user, positive_only)
+def _kind(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
 
 
-def _scan(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
-    """Stream the users past a broadcast catalogue."""
-    item, dims = index.item.name, index.dims
-    catalogue = index.shared
+def _hidden(lists: pa.Array, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place among `keys`) of the keys in each row's list; keys that are not there are passed over."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    rows = pc.list_parent_indices(lists).to_numpy()
+    places = pc.index_in(lists.flatten(), value_set=keys)
+    there = pc.is_valid(places).to_numpy(zero_copy_only=False)
+    return rows[there], places.drop_null().to_numpy().astype(np.int64)
+
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(users: DataFrame, index: ItemIndex, k: int, seen: DataFrame | None, positive_only: bool) -> DataFrame:
+    """Stream the users past a broadcast catalogue."""
+    catalogue, item, masked = index.shared, index.item.dataType.simpleString(), seen is not None
+    if masked:
+        # Only items of the catalogue count, so a user's list is bounded by it.
+        known = seen.join(F.broadcast(index.vectors.select("item")), "item")
+        users = users.join(known.groupBy("user").agg(F.collect_set("item").alias("seen")), "user", "left")
+    spread = users.repartition(2 * partitions(users.sparkSession), "user")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, matrix = catalogue.value
         for batch in batches:
-            names, floor = batch[user].to_numpy(), np.full(len(batch), -np.inf)
-            found = best_matches(
-                batch[dims].to_numpy(np.float64), matrix, batch["wanted"].to_numpy(), floor, positive_only
-            )
-            for row, col, score, rank in found:
-                yield pd.DataFrame({user: names[row], item: keys[col], "score": score, "rank": rank + 1})
-
-    return users.mapInPandas(scan, T.StructType([
-        users.schema[user], index.item, T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()),
-    ]))
-
-
-def _search(users: DataFrame, index: ItemIndex, user: str, positive_only: bool) -> DataFrame:
-    """Visit each user's nearest chunk, then, round by round, the chunks that may still improve the result."""
-    item, dims, directory = index.item.name, index.dims, index.shared
-    visit = T.StructType([
-        users.schema[user],
-        T.StructField("chunk", T.LongType()),
-        T.StructField("wanted", T.IntegerType()),
-        T.StructField("floor", T.DoubleType()),
-        *[T.StructField(d, T.DoubleType()) for d in dims],
-    ])
-    hit = T.StructType([
-        users.schema[user], index.item, T.StructField("score", T.DoubleType()), T.StructField("wanted", T.IntegerType()),
-    ])
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = directory.value
-        for batch in batches:
-            vectors, wanted = batch[dims].to_numpy(np.float64), batch["wanted"].to_numpy()
-            chunk = known.chunk[_nearest_chunk(vectors, wanted, known)]
-            yield batch.assign(chunk=chunk, floor=-np.inf)[visit.names]
-
-    def meet(key: tuple, visitors: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        if visitors.empty:
-            return pd.DataFrame(columns=hit.names)
-        members = members.sort_values(item, kind="stable")
-        keys, names, wanted = members[item].to_numpy(), visitors[user].to_numpy(), visitors["wanted"].to_numpy()
-        parts = [
-            pd.DataFrame({user: names[row], item: keys[col], "score": score, "wanted": wanted[row]})
-            for row, col, score, _ in best_matches(
-                visitors[dims].to_numpy(np.float64), members[dims].to_numpy(np.float64), wanted,
-                visitors["floor"].to_numpy(), positive_only,
-            )
-        ]
-        return pd.concat(parts)
-
-    def onward(done: int, visits: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known = directory.value
-            step = max(1, (1 << 20) // len(known.chunk))
-            for batch in batches:
-                for start in range(0, len(batch), step):
-                    part = batch.iloc[start : start + step]
-                    row, col = _next_chunks(part, dims, known, done, visits, positive_only)
-                    yield part.iloc[row].assign(chunk=known.chunk[col])[visit.names]
-
-        return run
-
-    located = materialize(users.mapInPandas(nearest, visit), "located")
-    order = Window.partitionBy(user).orderBy(F.desc("score"), item)
-    best, visits, done, many = None, located, 0, FIRST_VISITS
+            hidden = _hidden(batch.column("seen"), keys) if masked else None
+            vectors = vector_rows(batch.column("v"))
+            for row, col, score, rank in best_matches(vectors, matrix, k, np.full(len(vectors), -np.inf), positive_only, hidden):
+                yield pa.RecordBatch.from_pydict({
+                    "user": batch.column("user").take(pa.array(row)), "item": keys.take(pa.array(col)),
+                    "score": pa.array(score), "rank": pa.array(rank + 1, pa.int32()),
+                })
+
+    return spread.mapInArrow(scan, f"user {_kind(users, 'user')}, item {item}, score double, rank int")
+
+
+# -- the clustered plan ----------------------------------------------------------------------------
+
+
+def _search(users: DataFrame, index: ItemIndex, k: int, seen: DataFrame | None, positive_only: bool) -> DataFrame:
+    """Rounds of visits until no user has an open chunk left."""
+    chunks, key, item = index.chunks, _kind(users, "user"), index.item.dataType.simpleString()
+    masks, users = _masks(users, chunks, seen)
+    best = f"array<struct<loss:double,item:{item}>>"
+    # What a user takes from round to round. `best` sorts by loss (minus the score), then item.
+    frontier = f"user {key}, v array<double>, least double, open array<struct<bound:double,target:bigint,low:{item}>>, listed array<bigint>, more int"
+    state = users.mapInArrow(_beginning(index.shared, k, positive_only), frontier).withColumn("best", F.expr(f"CAST(array() AS {best})"))
+    state = materialize(_judged(state, index, k, positive_only), "frontier", "finished")
+    finished, visits = [], FIRST_VISITS
     while True:
-        found = _meet(visits, index, user, meet, hit)
-        found = found if best is None else best.unionByName(found)
-        best = found.withColumn("_place", F.row_number().over(order)).filter("_place <= wanted")
-        best = materialize(best.select(*hit.names, "_place"), "hits")
-        if done >= len(index.directory.chunk):
-            break
-        # The last of a full list is the score to beat.
-        floors = best.filter("_place = wanted").select(user, F.col("score").alias("_worst"), F.col(item).alias("_last"))
-        best = best.select(*hit.names)
-        states = located.join(floors, user, "left").withColumn("floor", F.coalesce("_worst", "floor"))
-        visits = materialize(states.mapInPandas(onward(done, many), visit), "visits")
-        if visits.isEmpty():
+        finished.append(state.filter("finished").select("user", "best"))
+        active = state.filter("NOT finished").drop("finished")
+        if not active.head(1):
             break
-        done, many = done + many, min(4 * many, MOST_VISITS)
-    return best.select(user, item, "score")
-
-
-def _meet(users: DataFrame, index: ItemIndex, user: str, meet, schema: T.StructType) -> DataFrame:
-    """Bring the users who asked for a chunk together with its items, in groups of bounded size."""
-    spark, item = users.sparkSession, index.item.name
-    # One row per chunk asked for, so bounded by the directory.
-    asked = users.groupBy("chunk").agg(F.count("*").alias("n")).toPandas()
-    if asked.empty:
-        return spark.createDataFrame([], schema)
-    crowd = min(max(int(asked["n"].sum()) // (4 * parallelism(spark)), MIN_GROUP_USERS), MAX_GROUP_USERS)
-    asked["copies"] = -(-asked["n"] // crowd)
-    groups, most = int(asked["copies"].sum()), int(asked["copies"].max())
-    tasks = min(groups, max(2 * parallelism(spark), groups // 8))
-    asked = asked[["chunk", "copies"]]
-    visitors = (
-        users.join(F.broadcast(spark.createDataFrame(asked)), "chunk")
-        .withColumn("part", F.pmod(F.xxhash64(user), "copies"))
+        state = materialize(_judged(_turn(active, index, masks, k, positive_only, visits, best), index, k, positive_only), "frontier", "finished")
+        visits = min(MORE_VISITS * visits, MOST_VISITS)
+    done = finished[0]
+    for part in finished[1:]:
+        done = done.union(part)
+    # A table of its own: written rows have no partitioning by user that would keep later joins from splitting a hot key.
+    return done.select("user", F.posexplode("best").alias("place", "hit")).select(
+        "user", "hit.item", (0.0 - F.col("hit.loss")).alias("score"), (F.col("place") + 1).alias("rank")
     )
-    members = index.vectors.join(F.broadcast(spark.createDataFrame(asked)), "chunk")
-    if most > 32:
-        # The rows of a sought-after chunk lie in one file: spread them before they multiply.
-        members = members.repartition(tasks, item)
-    members = members.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return (
-        visitors.repartition(tasks, "chunk", "part").groupBy("chunk", "part")
-        .cogroup(members.repartition(tasks, "chunk", "part").groupBy("chunk", "part"))
-        .applyInPandas(meet, schema)
+
+
+def _masks(users: DataFrame, chunks: Chunks, seen: DataFrame | None) -> tuple[DataFrame | None, DataFrame]:
+    """(seen items per user and chunk, users with the number of their seen items in the sample)."""
+    if seen is None:
+        return None, users.withColumn("lost", F.lit(0).cast("long"))
+    # A list is bounded by the rows of a chunk.
+    masks = seen.join(chunks.members.select("item", "target"), "item").groupBy("user", "target").agg(F.collect_set("item").alias("mask"))
+    masks = materialize(masks, "masks")
+    lost = masks.select("user", F.explode("mask").alias("item")).join(F.broadcast(chunks.sample_keys), "item")
+    users = users.join(lost.groupBy("user").agg(F.count("*").alias("lost")), "user", "left")
+    return masks, users.withColumn("lost", F.coalesce("lost", F.lit(0)))
+
+
+def _open_struct(known: Directory, rows: np.ndarray, cols: np.ndarray, bounds: np.ndarray, count: int) -> pa.Array:
+    """One list of open entries per user from entries in order by user."""
+    entries = pa.StructArray.from_arrays(
+        [pa.array(bounds), pa.array(known.target[cols]), known.first_key.take(pa.array(cols))], ["bound", "target", "low"]
     )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(count + 1)), pa.int32()), entries)
+
+
+def _beginning(shared: Broadcast, k: int, positive_only: bool):
+    """Users with a floor from the sample and their most promising entries of the directory, all bounds looked at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sample = shared.value
+        step = max(1, SCORES_PER_BLOCK // len(known.target))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                vectors = vector_rows(batch.column("v"))
+                # Among k and as many as may be masked, k remain.
+                least = np.round(kth_best(vectors, sample, k + batch.column("lost").to_numpy()), 9)
+                bounds = known.bounds(vectors)
+                promising = bounds >= (least - HALF_TIE)[:, None]
+                if positive_only:
+                    promising &= bounds > 0.0
+                bounds[~promising] = -np.inf
+                order = np.argsort(-bounds, axis=1, kind="stable")[:, :MOST_OPEN]
+                ordered = np.take_along_axis(bounds, order, axis=1)
+                rows, place = np.nonzero(ordered > -np.inf)
+                more = promising.sum(axis=1) > MOST_OPEN
+                open_ = _open_struct(known, rows, order[rows, place], ordered[rows, place], len(vectors))
+                # Who has more than travels goes on in the directory's order afterwards, past those listed here.
+                listed = [known.target[order[row]] if more[row] else [] for row in range(len(vectors))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("user"), batch.column("v"), pa.array(least), open_, pa.array(listed, pa.list_(pa.int64())), pa.array(np.where(more, 0, -1), pa.int32())],
+                    names=["user", "v", "least", "open", "listed", "more"],
+                )
+
+    return run
+
+
+def _going_on(shared: Broadcast, positive_only: bool):
+    """Users who are through their list: the next entries of the directory from place `more` on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, _ = shared.value
+        for whole in batches:
+            for start in range(whole.num_rows):
+                batch = whole.slice(start, 1)
+                at, floor = batch.column("more")[0].as_py(), batch.column("floor")[0].as_py()
+                bounds = known.bounds(vector_rows(batch.column("v")))[0]
+                promising = bounds >= max(floor, np.nextafter(0.0, 1.0)) - HALF_TIE if positive_only else bounds >= floor - HALF_TIE
+                promising &= ~np.isin(known.target, batch.column("listed")[0].as_py())
+                promising[:at] = False
+                places = np.flatnonzero(promising)
+                left, places = len(places) > MOST_OPEN, places[:MOST_OPEN]
+                open_ = _open_struct(known, np.zeros(len(places), np.int64), places, bounds[places], 1)
+                names = ["user", "v", "least", "listed", "best"]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n) for n in names] + [open_, pa.array([int(places[-1]) + 1 if left else -1], pa.int32())], names=[*names, "open", "more"]
+                )
+
+    return run
+
+
+def _floor(k: int) -> Column:
+    """The score to beat: the last of a full list, else what the sample promises."""
+    return F.when(F.size("best") >= k, F.greatest("least", 0.0 - F.get("best", F.lit(k - 1))["loss"])).otherwise(F.col("least"))
+
+
+def _judged(state: DataFrame, index: ItemIndex, k: int, positive_only: bool) -> DataFrame:
+    """Close the entries that cannot hold a better item any more; a user without open ones is finished.
+
+    At an equal score only entries that start at or before the last key can hold a better item. A floor only rises, so
+    what is closed once stays closed.
+    """
+    last = F.when(F.size("best") >= k, F.get("best", F.lit(k - 1))["item"])
+    floored = state.withColumns({"floor": _floor(k), "last": last})
 
+    def reaches(entry: Column) -> Column:
+        tie = (entry["bound"] >= F.col("floor") - HALF_TIE) & (F.col("last").isNull() | (entry["low"] <= F.col("last")))
+        return (entry["bound"] >= F.col("floor") + HALF_TIE) | tie
 
-def _nearest_chunk(vectors: np.ndarray, wanted: np.ndarray, known: Directory) -> np.ndarray:
-    """Directory row to start from: best bound, then most central, among chunks with enough rows."""
-    chosen = np.empty(len(vectors), dtype=np.int64)
-    centre = known.centre
-    step = max(1, (1 << 20) // len(known.chunk))
-    for start in range(0, len(vectors), step):
-        block = slice(start, start + step)
-        bound = score_bounds(vectors[block], known.low, known.high, known.longest, known.centre, known.radius)
-        enough = known.rows[None, :] >= wanted[block][:, None]
-        enough |= ~enough.any(axis=1, keepdims=True)
-        bound[~enough] = -np.inf
-        best = bound >= bound.max(axis=1, keepdims=True) - HALF_TIE
-        chosen[block] = np.where(best, vectors[block] @ centre.T, -np.inf).argmax(axis=1)
-    return chosen
-
-
-def _next_chunks(
-    states: pd.DataFrame, dims: list[str], known: Directory, done: int, visits: int, positive_only: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """(user row, directory row) of the chunks to visit next: of those that can hold an item better than the user's
-    worst hit, the `visits` that come after the first `done` in order of their bounds.
-
-    A floor only rises, so chunks passed over once stay closed, and the order of bounds stays the same.
+    closed = floored.withColumn("open", F.filter("open", reaches))
+    columns = ["user", "v", "least", "open", "listed", "more", "best"]
+    if len(index.directory.target) > MOST_OPEN:
+        schema = ", ".join(f"{n} {_kind(closed, n)}" for n in ("user", "v", "least", "listed", "best", "open", "more"))
+        through = (F.size("open") == 0) & (F.col("more") >= 0)
+        onward = closed.filter(through).mapInArrow(_going_on(index.shared, positive_only), schema)
+        closed = closed.filter(~through).select(*columns).unionByName(onward.select(*columns))
+    return closed.select(*columns, (F.size("open") == 0).alias("finished"))
+
+
+def _turn(
+    active: DataFrame, index: ItemIndex, masks: DataFrame | None, k: int, positive_only: bool, visits: int, best: str
+) -> DataFrame:
+    """One round: each user's next entries, what they hold, and the two put together."""
+    asked = active.select("user", "v", _floor(k).alias("floor"), F.explode(F.slice("open", 1, visits)).alias("entry"))
+    asked = asked.select("user", "v", "floor", F.col("entry.target").alias("target"))
+    hits = visited(asked, index, masks, k, positive_only, best)
+    rest = active.withColumn("open", F.slice("open", visits + 1, MOST_OPEN))
+    blank = [F.lit(None).cast(_kind(rest, n)).alias(n) for n in ("v", "least", "open", "listed", "more")]
+    both = rest.unionByName(hits.select("user", "best", *blank))
+    first = [F.first(n, ignorenulls=True).alias(n) for n in ("v", "least", "open", "listed", "more")]
+    merged = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
+    return both.groupBy("user").agg(*first, merged.alias("best"))
+
+
+def visited(asked: DataFrame, index: ItemIndex, masks: DataFrame | None, k: int, positive_only: bool, best: str) -> DataFrame:
+    """(user, best): for every (user, v, floor, target) asked, the k best items of the target that reach the floor."""
+    key = _kind(asked, "user")
+    if index.chunks.children is not None:
+        asked = _meet(asked, index.chunks.children.withColumnsRenamed({"target": "chunk", "node": "target"}), _descend(positive_only), f"user {key}, v array<double>, floor double, target bigint", True)
+    if masks is not None:
+        asked = asked.join(masks, ["user", "target"], "left")
+    return _meet(asked, index.chunks.members, _matches(k, positive_only, masks is not None), f"user {key}, best {best}", index.chunks.children is None)
+
+
+def _meet(asked: DataFrame, members: DataFrame, function, schema: str, few: bool) -> DataFrame:
+    """Bring those who asked for a target together with its rows, in groups of bounded size.
+
+    `few`: the targets are those of the directory, so their counts may be broadcast.
     """
-    vectors, floor = states[dims].to_numpy(np.float64), states["floor"].to_numpy()[:, None]
-    # At an equal score only chunks that start at or before the last key can hold a better item.
-    full = states["_last"].notna().to_numpy()
-    last_chunk = np.zeros(len(states), dtype=np.int64)
-    if full.any():
-        last_chunk[full] = np.searchsorted(known.first_key, states["_last"].to_numpy()[full].astype(known.first_key.dtype), side="right")
-    bound = score_bounds(vectors, known.low, known.high, known.longest, known.centre, known.radius)
-    open_ = bound >= floor + HALF_TIE
-    open_ |= (bound >= floor - HALF_TIE) & (np.arange(len(known.chunk))[None, :] < last_chunk[:, None])
-    if positive_only:
-        open_ &= bound > 0.0
-    own = states["chunk"].to_numpy()[:, None] == known.chunk[None, :]
-    open_ &= ~own
-    order = np.argsort(np.where(own, np.inf, -bound), axis=1, kind="stable")[:, done : done + visits]
-    row, place = np.nonzero(np.take_along_axis(open_, order, axis=1))
-    return row, order[row, place]
+    tasks = partitions(asked.sparkSession)
+
+    def counted(side: DataFrame) -> DataFrame:
+        counts = asked.groupBy(F.col("target").alias("t")).agg(F.ceil(F.count("*") / CROWD).cast("int").alias("copies"))
+        return side.join(F.broadcast(counts) if few else counts, F.col("target") == F.col("t")).drop("t")
+
+    left = counted(asked).withColumn("part", F.pmod(F.xxhash64("user"), "copies").cast("int")).drop("copies")
+    right = counted(members).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    return (
+        left.repartition(tasks, "target", "part").groupBy("target", "part")
+        .cogroup(right.repartition(tasks, "target", "part").groupBy("target", "part"))
+        .applyInArrow(function, schema)
+    )
+
+
+def _descend(positive_only: bool):
+    """From a node to those of its chunks that can reach the floor."""
+
+    def run(_, asked: pa.Table, children: pa.Table) -> pa.Table:
+        known = Directory.of(children.rename_columns(["target" if n == "chunk" else "node" if n == "target" else n for n in children.column_names]))
+        floor, vectors, parts = asked.column("floor").to_numpy(), vector_rows(asked.column("v")), []
+        step = max(1, SCORES_PER_BLOCK // max(1, len(known.target)))
+        for start in range(0, len(vectors), step):
+            bounds = known.bounds(vectors[start : start + step])
+            promising = bounds >= floor[start : start + step, None] - HALF_TIE
+            row, col = np.nonzero(promising & (bounds > 0.0) if positive_only else promising)
+            part = asked.select(["user", "v", "floor"]).take(pa.array(row + start))
+            parts.append(part.append_column("target", pa.array(known.target[col])))
+        return pa.concat_tables(parts) if parts else asked.select(["user", "v", "floor", "target"])
+
+    return run
+
+
+def _matches(k: int, positive_only: bool, masked: bool):
+    """The users of a group with the items of its chunk: one row with at most k hits per user."""
+
+    def run(_, asked: pa.Table, members: pa.Table) -> pa.Table:
+        members = members.sort_by("item")
+        keys = members.column("item").combine_chunks()
+        hidden = _hidden(asked.column("mask"), keys) if masked and asked.num_rows else None
+        found = best_matches(vector_rows(asked.column("v")), vector_rows(members.column("v")), k, asked.column("floor").to_numpy(), positive_only, hidden)
+        parts = list(found) if asked.num_rows else []
+        row, col, score = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
+        who, first = np.unique(row, return_index=True)
+        hits = pa.StructArray.from_arrays([pa.array(0.0 - score, pa.float64()), keys.take(pa.array(col, pa.int64()))], ["loss", "item"])
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), hits)
+        return pa.table({"user": asked.column("user").take(pa.array(who, pa.int64())), "best": lists})
+
+    return run

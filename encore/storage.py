@@ -37,12 +37,15 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/encore/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: computed once, and it survives lost executors."""
+def materialize(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
+    """Write `df` to the shared folder and read it back: computed once, and it survives lost executors.
+
+    A reader that asks for one value of `partition_by` opens no file of another one.
+    """
     path = scratch_path(df.sparkSession, purpose)
     if _open_scopes():
         _open_scopes()[-1].append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -209,10 +209,11 @@ def als_recs(spark, folder):
 @query
 def topk_dot(spark, folder):
     """Each label's ten vectors of greatest product with the label's mean vector, as for users and songs by factors."""
-    table = views.table(spark, folder, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
     names = [f"f{i}" for i in range(EMBEDDING_DIMS)]
-    items = table.select("vec_id", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
-    means = table.groupBy("label").agg(*[F.avg(F.col("embedding")[i]).alias(n) for i, n in enumerate(names)])
+    parts = [f"CAST(embedding[{i}] AS DOUBLE)" for i in range(EMBEDDING_DIMS)]
+    table = views.table(spark, folder, "embeddings")
+    items = spark.sql("SELECT vec_id, " + ", ".join(f"{p} AS {n}" for p, n in zip(parts, names)) + " FROM {t}", t=table)
+    means = spark.sql("SELECT label, " + ", ".join(f"avg({p}) AS {n}" for p, n in zip(parts, names)) + " FROM {t} GROUP BY label", t=table)
     index = index_items(items, "vec_id", names, metric="dot", broadcast_rows=0, chunk_rows=256)
     return rounded(top_k(means, index, user="label", k=10).select("label", "vec_id", "score", "rank"), "score")
 

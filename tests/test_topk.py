@@ -70,8 +70,7 @@ def test_exclusion_reaches_past_the_excluded(spark, plan):
 
 
 def test_hot_chunk_is_split_into_groups(spark, monkeypatch):
-    monkeypatch.setattr(topk, "MIN_GROUP_USERS", 1)
-    monkeypatch.setattr(topk, "MAX_GROUP_USERS", 2)
+    monkeypatch.setattr(topk, "CROWD", 2)
     rng = np.random.default_rng(9)
     songs, users = vectors(rng, "song_id", 64, 2), vectors(rng, "user_id", 90, 2, copies=80)
     index = index_items(spark.createDataFrame(songs), "song_id", ["f0", "f1"], broadcast_rows=0, chunk_rows=8)
@@ -97,6 +96,84 @@ def test_chunks_hold_equal_numbers_of_rows(spark):
     songs = vectors(rng, "song_id", 1000, 3, copies=400)
     index = index_items(spark.createDataFrame(songs), "song_id", ["f0", "f1", "f2"], broadcast_rows=0, chunk_rows=32)
     assert index.directory.rows.max() == 32 and index.directory.rows.sum() == 1000
+    members = index.chunks.members.groupBy("target").count().toPandas()
+    assert sorted(members["count"]) == sorted(index.directory.rows)
+
+
+def test_two_levels_of_directory(spark):
+    """A directory of a few entries: nodes over chunks, and no group of more rows than a chunk has."""
+    rng = np.random.default_rng(13)
+    songs, users = vectors(rng, "song_id", 600, 3, copies=200), vectors(rng, "user_id", 40, 3)
+    for metric in ("cosine", "dot"):
+        index = index_items(spark.createDataFrame(songs), "song_id", ["f0", "f1", "f2"], metric=metric, broadcast_rows=0, chunk_rows=8, directory_entries=16)
+        chunks = index.chunks.children.count()
+        assert len(index.directory.rows) < chunks / 4 and index.directory.rows.sum() == 600
+        assert index.chunks.children.agg({"rows": "max"}).first()[0] == 8
+        assert found(top_k(spark.createDataFrame(users), index, k=5)) == brute_force(users, songs, 5, metric)
+        seen = [(f"u{i}", s) for i in range(9) for s in songs.song_id[i::2]]
+        exclude = spark.createDataFrame(seen, "user_id string, song_id string")
+        assert found(top_k(spark.createDataFrame(users), index, k=5, exclude=exclude)) == brute_force(users, songs, 5, metric, exclude=seen)
+
+
+def test_more_open_chunks_than_travel(spark, monkeypatch):
+    monkeypatch.setattr(topk, "MOST_OPEN", 3)
+    rng = np.random.default_rng(14)
+    songs, users = vectors(rng, "song_id", 300, 8), vectors(rng, "user_id", 20, 8)
+    index = index_items(spark.createDataFrame(songs), "song_id", [f"f{i}" for i in range(8)], broadcast_rows=0, chunk_rows=16)
+    assert found(top_k(spark.createDataFrame(users), index, k=6)) == brute_force(users, songs, 6)
+
+
+class Visits:
+    """Collects what each round asks for and gets."""
+
+    def __init__(self, monkeypatch):
+        self.asked, self.got = [], []
+        plain = topk.visited
+
+        def spy(asked, *rest):
+            self.asked.append(asked.select("user", "target").toPandas())
+            hits = plain(asked, *rest)
+            self.got.append(hits.selectExpr("user", "size(best) AS hits").toPandas())
+            return hits
+
+        monkeypatch.setattr(topk, "visited", spy)
+
+
+def test_bounds_leave_few_chunks_at_rank_ten(spark, monkeypatch):
+    """100,000 vectors of non-negative factors: at most 30 % of the chunks are visited, none twice, and finished users rest."""
+    rng = np.random.default_rng(15)
+    names = [f"f{i}" for i in range(10)]
+    songs = pd.DataFrame(np.abs(rng.normal(size=(100_000, 10))), columns=names).assign(song_id=np.arange(100_000))
+    users = pd.DataFrame(np.abs(rng.normal(size=(60, 10))), columns=names).assign(user_id=np.arange(60))
+    index = index_items(spark.createDataFrame(songs), "song_id", names, metric="dot", broadcast_rows=0)
+    assert index.directory.rows.max() <= topk.CROWD and index.chunks.children is None
+    visits = Visits(monkeypatch)
+    result = found(top_k(spark.createDataFrame(users), index, k=10))
+    scores = users[names].to_numpy() @ songs[names].to_numpy().T
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+    assert result == sorted((u, int(s), r + 1) for u in range(60) for r, s in enumerate(best[u]))
+    asked = pd.concat(visits.asked)
+    assert not asked.duplicated().any()
+    assert len(asked) / 60 <= 0.3 * len(index.directory.rows)
+    for before, after in zip(visits.asked, visits.asked[1:]):
+        assert set(after.user) <= set(before.user)
+
+
+def test_heavy_user_gets_k_rows_from_each_chunk(spark, monkeypatch):
+    """A user who has seen a quarter of all songs, the best ones: masked in the chunk, not fetched and dropped."""
+    rng = np.random.default_rng(16)
+    names = ["f0", "f1", "f2"]
+    songs, users = vectors(rng, "song_id", 20_000, 3), vectors(rng, "user_id", 6, 3)
+    u, x = users[names].to_numpy()[0], songs[names].to_numpy()
+    nearest = np.argsort(-(x @ u) / np.linalg.norm(x, axis=1))[:5000]
+    seen = [("u0", songs.song_id[i]) for i in nearest] + [("u1", "s5"), ("u2", "unknown")]
+    exclude = spark.createDataFrame(seen, "user_id string, song_id string")
+    want = brute_force(users, songs, 10, exclude=seen)
+    for options in ({}, {"broadcast_rows": 0}):
+        index = index_items(spark.createDataFrame(songs), "song_id", names, **options)
+        visits = Visits(monkeypatch)
+        assert found(top_k(spark.createDataFrame(users), index, k=10, exclude=exclude)) == want
+        assert all(got.hits.max() <= 10 for got in visits.got if len(got))
 
 
 @pytest.mark.parametrize("bad", [None, float("nan")])
