@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from encore.schemas import ACTION_JSON_FIELDS, USER_ACTION
 
 # A timestamp counts microseconds in 64 bits.
 MAX_MILLIS = (2**63 - 1) // 1000
+# Why a record is rejected; the first that holds counts.
+REASONS = ("no_record", "user", "song", "action", "rating", "timestamp")
 
 
 def encode_action(actions: DataFrame, now_ms: Column | None = None) -> DataFrame:
@@ -22,10 +24,11 @@ def encode_action(actions: DataFrame, now_ms: Column | None = None) -> DataFrame
 
 
 def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
-    """Add `accepted` and the five action columns to every record; unknown fields are ignored.
+    """Add `accepted`, `reason` and the five action columns to every record; unknown fields are ignored.
 
     Rules: userId, songId and action must be present, and a string or null. The rating must be a number
     or numeric text, the timestamp a whole number or digits that a timestamp can hold. `action_ms` keeps it as sent.
+    `reason` names the first rule that a record breaks, in the order of REASONS; accepted ones have none.
     """
     fields = [c for name in ACTION_JSON_FIELDS
               for c in (_json_type(name).alias(f"_type_{name}"), _json_text(name).alias(f"_text_{name}"))]
@@ -35,15 +38,20 @@ def decode_actions(records: DataFrame, column: str = "value") -> DataFrame:
     )
     rating, sent = _rating(), _whole_number()
     texts = [F.col(f"_type_{name}").isin("STRING", "VOID") for name in ("userId", "songId", "action")]
-    # A missing field has a null type, so the comparison is null: not accepted.
-    accepted = texts[0] & texts[1] & texts[2] & rating.isNotNull() & sent.between(-MAX_MILLIS, MAX_MILLIS)
+    kinds = [F.col(f"_type_{name}") for name in ACTION_JSON_FIELDS]
+    # A missing field has a null type; so has every field of what is no object, or no JSON.
+    broken = {
+        "no_record": F.coalesce(*kinds).isNull(), "user": ~texts[0], "song": ~texts[1], "action": ~texts[2],
+        "rating": rating.isNull(), "timestamp": ~sent.between(-MAX_MILLIS, MAX_MILLIS),
+    }
+    reason = F.coalesce(*[F.when(F.coalesce(broken[name], F.lit(True)), name) for name in REASONS])
     values = {
         "user_id": F.col("_text_userId"), "song_id": F.col("_text_songId"), "action_type": F.col("_text_action"),
         "action_ms": sent, "rating": rating,
     }
     return parsed.select(
         *records.columns,
-        F.coalesce(accepted, F.lit(False)).alias("accepted"),
+        reason.isNull().alias("accepted"), reason.alias("reason"),
         *[value.alias(name) for name, value in values.items()],
     )
 
@@ -55,7 +63,15 @@ def accepted_actions(decoded: DataFrame) -> DataFrame:
 
 
 def rejected_records(decoded: DataFrame, column: str = "value") -> DataFrame:
-    return decoded.filter("not accepted").select(column)
+    """The rejected records as they came, and why."""
+    return decoded.filter("not accepted").select(column, "reason")
+
+
+def reject_counts(decoded: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that counts them by reason, and the accepted ones, while they are written."""
+    counted = [F.count_if(F.col("reason") == name).alias(name) for name in REASONS]
+    seen = Observation()
+    return decoded.observe(seen, F.count_if("accepted").alias("accepted"), *counted), seen
 
 
 def _field(name: str, as_type: str) -> Column:

@@ -8,6 +8,7 @@ import threading
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Scopes of the current thread: two live jobs of one process must not delete each other's tables.
@@ -72,11 +73,6 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(location, True)
 
 
-def child_folders(spark: SparkSession, path: str) -> list[str]:
-    location, system = _file_system(spark, path)
-    return sorted(s.getPath().getName() for s in system.listStatus(location) if s.isDirectory()) if system.exists(location) else []
-
-
 def read_small(spark: SparkSession, path: str) -> str | None:
     """The text of a small file; null if there is none."""
     location, system = _file_system(spark, path)
@@ -89,15 +85,28 @@ def read_small(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def switch_small(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small file in place in one step: readers see the old text or the new one."""
+def file_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of the files of a folder and when they were written, in seconds."""
+    location, system = _file_system(spark, path)
+    found = system.listStatus(location) if system.exists(location) else []
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in found if s.isFile()}
+
+
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small new file in place in one step; False if there is one already."""
     java, context = spark.sparkContext._jvm, spark.sparkContext
     location, system = _file_system(spark, path)
-    draft, _ = _file_system(spark, f"{path}-{uuid.uuid4().hex}")
+    folder, _, name = path.rpartition("/")
+    draft, _ = _file_system(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
     stream = system.create(draft, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    rename = getattr(java.org.apache.hadoop.fs, "Options$Rename")
-    options = context._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    java.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), context._jsc.hadoopConfiguration()).rename(draft, location, options)
+    options = context._gateway.new_array(getattr(java.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        java.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), context._jsc.hadoopConfiguration()).rename(draft, location, options)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    return True

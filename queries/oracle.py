@@ -86,7 +86,12 @@ PARSED_CTES = (RECORDS_CTE, """fields AS (
     SELECT *, COALESCE(
         ut IN ('VARCHAR', 'NULL') AND st IN ('VARCHAR', 'NULL') AND kind IN ('VARCHAR', 'NULL')
         AND rt IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') AND TRY_CAST(r AS DOUBLE) IS NOT NULL
-        AND (tt IN ('UBIGINT', 'BIGINT') OR (tt = 'VARCHAR' AND regexp_full_match(t, '[+-]?[0-9]+'))), FALSE) AS accepted
+        AND (tt IN ('UBIGINT', 'BIGINT') OR (tt = 'VARCHAR' AND regexp_full_match(t, '[+-]?[0-9]+'))), FALSE) AS accepted,
+        CASE WHEN COALESCE(ut, st, kind, rt, tt) IS NULL THEN 'no_record'
+             WHEN COALESCE(ut, '') NOT IN ('VARCHAR', 'NULL') THEN 'user' WHEN COALESCE(st, '') NOT IN ('VARCHAR', 'NULL') THEN 'song'
+             WHEN COALESCE(kind, '') NOT IN ('VARCHAR', 'NULL') THEN 'action'
+             WHEN COALESCE(rt, '') NOT IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') OR TRY_CAST(r AS DOUBLE) IS NULL THEN 'rating'
+             ELSE 'timestamp' END AS broken
     FROM fields)""", """sent AS (
     SELECT event_id, json_extract_string(j, '$.userId') AS user_id, json_extract_string(j, '$.songId') AS song_id,
            json_extract_string(j, '$.action') AS action_type, CAST(t AS BIGINT) AS action_ms, CAST(r AS DOUBLE) AS rating
@@ -172,7 +177,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY action_ms DESC, song_id
 SELECT concat('{"userId":"', user_id, '","songId":"', song_id, '","rating":"', CAST(rating AS VARCHAR), '","action":"',
               action_type, '","timestamp":', epoch_ms(action_time), '}') AS value FROM actions"""),
     "parse_actions": _with(*PARSED_CTES, select="SELECT * FROM sent"),
-    "reject_actions": _with(*PARSED_CTES, select="SELECT value FROM parsed WHERE NOT accepted"),
+    "reject_actions": _with(*PARSED_CTES, select="SELECT value, broken AS reason FROM parsed WHERE NOT accepted"),
     "plays_per_user": _with(ACTIONS_CTE, select=(
         "SELECT user_id, song_id, COUNT(*) AS plays FROM actions WHERE action_type = 'listened' GROUP BY ALL")),
     "skipped_not_played": _with(ACTIONS_CTE, select="""
@@ -221,7 +226,11 @@ ORACLE["als_checks"] = _with(SONGS_CTE, ACTIONS_CTE, select="""
 SELECT DISTINCT user_id, 10 AS rows, 10 AS songs, 1 AS first_rank, 10 AS last_rank, 0 AS rises, 0 AS negative, 10 AS known
 FROM actions JOIN songs USING (song_id) WHERE user_id IS NOT NULL AND rating IS NOT NULL""")
 
-ORACLE["stream_rejects"] = _with(*PARSED_CTES, select="SELECT value FROM parsed WHERE NOT accepted")
+ORACLE["stream_rejects"] = _with(*PARSED_CTES, select="SELECT value, broken AS reason FROM parsed WHERE NOT accepted")
+ORACLE["stream_reject_counts"] = _with(*PARSED_CTES, select="""
+SELECT n.reason, COUNT(p.event_id) AS records
+FROM (VALUES ('accepted'), ('no_record'), ('user'), ('song'), ('action'), ('rating'), ('timestamp')) n(reason)
+LEFT JOIN parsed p ON n.reason = CASE WHEN accepted THEN 'accepted' ELSE broken END GROUP BY n.reason""")
 ORACLE["live_to_daily"] = _with(
     CONTENT_CTES[0], *PARSED_CTES, "actions AS (SELECT * FROM sent WHERE user_id IS NOT NULL)", *CONTENT_CTES[2:], select=_matches("content")
 )

@@ -20,7 +20,7 @@ from encore.plans.popularity import popular_recommendations, popular_songs
 from encore.plans.preprocess import preprocess
 from encore.schemas import BATCH_FEATURES, IMPUTE_FEATURES, LISTENED, LIVE_FEATURES, METADATA_COLUMNS, SKIPPED
 from encore.session import prepare
-from encore.sinks import catalog, files
+from encore.sinks import catalog, files, lake
 from encore.sources.cells import cells_from_rows, rows_from_cells
 from encore.sources.records import decode_json, decode_utf8, record_files
 from encore.sources.tables import file_actions
@@ -356,8 +356,8 @@ def _stream(spark, folder) -> LiveTables:
 
 @query
 def stream_action_lake(spark, folder):
-    lake = spark.read.parquet(_stream(spark, folder).lake)
-    return lake.select("user_id", "song_id", "action_type", F.unix_millis("action_time").alias("action_ms"), "rating")
+    rows = lake.read_lake(spark, _stream(spark, folder).lake)
+    return rows.select("user_id", "song_id", "action_type", F.unix_millis("action_time").alias("action_ms"), "rating")
 
 
 @query
@@ -367,19 +367,25 @@ def stream_live_recs(spark, folder):
 
 @query
 def stream_rejects(spark, folder):
-    return spark.read.parquet(_stream(spark, folder).rejects).select("value")
+    return spark.read.parquet(_stream(spark, folder).rejects).select("value", "reason")
+
+
+@query
+def stream_reject_counts(spark, folder):
+    """Records by why they were rejected, as the live job counts them while it writes."""
+    counts = spark.read.parquet(_stream(spark, folder).reject_counts)
+    return counts.groupBy("reason").agg(F.sum("records").alias("records"))
 
 
 @query
 def live_to_daily(spark, folder):
-    """The live job fills the declared action table, its batches are merged, and the daily content job reads the table."""
+    """The live job fills the declared action view, its batches are merged, and the daily content job reads the table."""
     name, base = table_name(), scratch_path(spark, "loop")
     catalog.action_lake(spark, name, f"{base}/lake")
     views.records(spark, folder).select("value").write.text(f"{base}/in")
     tables = LiveTables(name, f"{base}/serving", f"{base}/rejects")
-    query = start(file_actions(spark, f"{base}/in"), live.live_catalogue(views.songs(spark, folder)), tables, f"{base}/checkpoint", None)
-    query.awaitTermination()
-    catalog.compact_lake(spark, name, str(query.id))
+    start(file_actions(spark, f"{base}/in"), live.live_catalogue(views.songs(spark, folder)), tables, f"{base}/checkpoint", None).awaitTermination()
+    catalog.compact_lake(spark, name, fanout=2)
     files.compact_keyed(spark, tables.serving)
     songs = views.filled_songs(spark, folder)
     return content.content_matches(catalog.lake_actions(spark, name), songs)

@@ -1,6 +1,7 @@
 """Sources, sinks, the live job and the feed."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from encore.plans.content import as_recommendations
 from encore.plans.live import live_catalogue, live_matches
 from encore.functions.actions import accepted_actions, decode_actions
 from encore.schemas import RAW_SONG, RECOMMENDATION, USER_ACTION
-from encore.sinks import catalog, files
+from encore.sinks import catalog, files, lake, snapshots
+from encore.sinks.snapshots import newest_snapshot
 from encore.sources import records
 from encore.sources.cells import rows_from_cells
 from encore.sources.tables import file_actions, kafka_actions, read_parquet, read_table
@@ -165,10 +167,10 @@ def test_stream_equals_batches_and_survives_a_restart(spark, catalogue, tmp_path
     # Restarted from the same checkpoint, only the new file is read.
     groups[2].coalesce(1).write.mode("append").text(source)
     run()
-    lake = spark.read.parquet(tables.lake)
-    assert lake.select("stream", "batch").distinct().count() == 3
+    assert [list(p.covers.values()) for p in newest_snapshot(spark, tables.lake).parts] == [[[n, n]] for n in range(3)]
+    actions = lake.read_lake(spark, tables.lake)
     expected = accepted_actions(decode_actions(records_in.select("value")))
-    assert rows(lake.select(*USER_ACTION.names).fillna("-")) == rows(expected.fillna("-"))
+    assert rows(actions.fillna("-")) == rows(expected.fillna("-"))
     assert spark.read.parquet(tables.rejects).count() == records_in.count() - expected.count()
     # Each batch's recommendations come from that batch alone; the serving table keeps the union of keys.
     keys = set()
@@ -183,10 +185,13 @@ def test_replay_changes_nothing(spark, catalogue, tmp_path):
     tables = LiveTables(*[str(tmp_path / n) for n in ("lake", "serving", "rejects")])
     batch = views.records(spark, FOLDER).filter("event_id < 50").select("value")
     process_batch(batch, 0, "q", catalogue, tables)
-    lake, serving = spark.read.parquet(tables.lake).count(), rows(files.read_keyed(spark, tables.serving))
+    actions, serving = lake.read_lake(spark, tables.lake).count(), rows(files.read_keyed(spark, tables.serving))
+    counts = rows(spark.read.parquet(tables.reject_counts))
+    assert {r[0]: r[1] for r in counts}["accepted"] == actions
     process_batch(batch, 0, "q", catalogue, tables)
     process_batch(batch.limit(0), 1, "q", catalogue, tables)
-    assert spark.read.parquet(tables.lake).count() == lake
+    assert lake.read_lake(spark, tables.lake).count() == actions
+    assert rows(spark.read.parquet(tables.reject_counts)) == counts
     assert rows(files.read_keyed(spark, tables.serving)) == serving
 
 
@@ -227,10 +232,12 @@ def test_serving_scan_skips_files(spark, tmp_path):
         files.upsert(table, f"{tmp_path}/t", "s", 0, 1)
     finally:
         spark.conf.unset(coalesce)
-    ranges = spark.read.parquet(f"{tmp_path}/t").groupBy(F.input_file_name().alias("f")).agg(F.min("row_key").alias("a"), F.max("row_key").alias("b"))
-    holding = ranges.filter((F.col("a") < "42$") & (F.col("b") >= "42#")).count()
-    assert ranges.count() > 2 and holding <= 2
+    parts = newest_snapshot(spark, f"{tmp_path}/t").parts
+    assert len(parts) > 2 and len(files.files_of(parts, "42#")) <= 2
+    served = files.read_keyed(spark, f"{tmp_path}/t", prefix="42#")
+    assert len(served.inputFiles()) == len(files.files_of(parts, "42#")) and served.count() == 40
     assert files.read_keyed(spark, f"{tmp_path}/t", F.col("row_key").startswith("42#")).count() == 40
+    assert files.read_keyed(spark, f"{tmp_path}/t", prefix="no such user#").count() == 0
 
 
 def test_failed_replacement_leaves_the_old_rows(spark, tmp_path):
@@ -255,15 +262,136 @@ def test_compaction_keeps_rows_and_order_of_versions(spark, tmp_path):
     assert ("late",) in rows(files.read_keyed(spark, path).select("song_name"))
 
 
+ACTION = [("u", "s", "listened", None, 1.0)]
+
+
 def test_lake_replays_and_merges(spark, tmp_path):
+    """Compacted twice while the stream goes on, replayed before and after: every batch is there once."""
     catalog.action_lake(spark, "t_lake", f"{tmp_path}/lake")
-    action = spark.createDataFrame([("u", "s", "listened", None, 1.0)], USER_ACTION)
+    action = spark.createDataFrame(ACTION, USER_ACTION)
+    assert spark.table("t_lake").count() == 0 and catalog.lake_actions(spark, "t_lake").columns == USER_ACTION.names
     for batch in (0, 1, 1):
         catalog.write_actions(action, "t_lake", "q", batch)
-    assert catalog.lake_actions(spark, "t_lake").columns == USER_ACTION.names
     assert catalog.lake_actions(spark, "t_lake").count() == 2
-    catalog.compact_lake(spark, "t_lake", "q")
-    catalog.compact_lake(spark, "t_lake", "q")
+    assert catalog.compact_lake(spark, "t_lake", fanout=2) == 1
+    for batch in (1, 2, 3):  # the last merged batch comes again, as after a restart
+        catalog.write_actions(action, "t_lake", "q", batch)
     catalog.write_actions(action, "t_lake", "r", 0)
-    assert catalog.lake_actions(spark, "t_lake").count() == 3
-    spark.sql("DROP TABLE t_lake")
+    assert catalog.lake_actions(spark, "t_lake").count() == 5
+    assert catalog.compact_lake(spark, "t_lake", fanout=2) == 2
+    assert len(lake.folders(spark, f"{tmp_path}/lake")) == 1
+    assert catalog.lake_actions(spark, "t_lake").count() == 5 == spark.table("t_lake").count()
+    spark.sql("DROP VIEW t_lake")
+
+
+def test_readers_of_a_lake_see_old_or_new(spark, tmp_path, monkeypatch):
+    """A merge that fails half-way, or is overtaken by a replay, leaves the rows as they were."""
+    path, action = str(tmp_path), spark.createDataFrame(ACTION, USER_ACTION)
+    for batch in range(4):
+        lake.append_batch(action, path, "q", batch)
+    before, swap = lake.read_lake(spark, path), lake.swap
+    assert before.count() == 4
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(lake, "swap", crash)
+    with pytest.raises(RuntimeError):
+        lake.compact_lake(spark, path, 2)
+    assert lake.read_lake(spark, path).count() == 4 and len(lake.folders(spark, path)) == 4
+
+    def overtaken(*given):
+        lake.append_batch(action.union(action), path, "q", 3)
+        return swap(*given)
+
+    monkeypatch.setattr(lake, "swap", overtaken)
+    assert lake.compact_lake(spark, path, 2) == 0
+    assert lake.read_lake(spark, path).count() == 5
+    monkeypatch.setattr(lake, "swap", swap)
+    assert lake.compact_lake(spark, path, 2) == 1
+    assert lake.read_lake(spark, path).count() == 5 and before.count() == 4  # who read before still can
+
+
+def test_commits_do_not_overwrite_each_other(spark, tmp_path):
+    path, done = str(tmp_path), []
+
+    def late(now):
+        if not done:
+            done.append(snapshots.commit(spark, path, lambda parts: [*parts, snapshots.Part("data/first", {"a": [0, 0]})]))
+        return [*now, snapshots.Part("data/second", {"b": [0, 0]})]
+
+    assert snapshots.commit(spark, path, late)
+    assert [p.path for p in newest_snapshot(spark, path).parts] == ["data/first", "data/second"]
+    assert not snapshots.commit(spark, path, lambda now: None) and newest_snapshot(spark, path).number == 2
+
+
+def test_old_snapshots_expire_with_their_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "KEPT_SECONDS", -60)
+    path, action = str(tmp_path), spark.createDataFrame(ACTION, USER_ACTION)
+    for batch in range(6):
+        lake.append_batch(action, path, "q", batch)
+        lake.compact_lake(spark, path, 2)
+    assert lake.read_lake(spark, path).count() == 6
+    named = {p.path for n in snapshots._times(spark, path) for p in snapshots._read(spark, path, n).parts}
+    assert len(snapshots._times(spark, path)) == snapshots.KEPT
+    assert {f"data/{p.name}" for p in (tmp_path / "data").iterdir()} == named
+
+
+def test_levels_of_a_keyed_table(spark, tmp_path):
+    """The live job's merges keep the newest rows, and only files whose keys meet are rewritten."""
+    path = str(tmp_path)
+    for batch in range(9):
+        keys = [f"u{n:03}#s{(n + batch) % 3}" for n in range(batch * 10, batch * 10 + 40)]
+        files.upsert(recommendations(spark, keys, f"n{batch}"), path, "q", batch, version=batch)
+        files.compact_levels(spark, path, batches=3, level_rows=60, file_rows=25)
+    want = {}
+    for batch in range(9):
+        want |= {f"u{n:03}#s{(n + batch) % 3}": f"n{batch}" for n in range(batch * 10, batch * 10 + 40)}
+    got = files.read_keyed(spark, path)
+    assert {r.row_key: r.song_name for r in got.collect()} == want
+    assert {p.level for p in newest_snapshot(spark, path).parts} >= {2}
+    own = files.read_keyed(spark, path, prefix="u041#")
+    assert {r.row_key: r.song_name for r in own.collect()} == {k: v for k, v in want.items() if k.startswith("u041#")}
+
+
+def test_a_user_is_in_few_files_after_a_thousand_batches():
+    """The plan of merges alone, on parts without rows behind them: batches of a thousand rows, one file each."""
+    parts, most, rewritten = [], 0, 0
+    for batch in range(1000):
+        parts.append(snapshots.Part(f"b{batch}", {"q": [batch, batch]}, 0, 1000, "u0000", "u9999", batch))
+        while found := files.next_merge(parts, batches=8, level_rows=20_000):
+            old, level = found
+            rows = sum(p.rows for p in old)
+            rewritten += rows
+            count = max(1, rows // 1000)
+            edges = [f"u{round(i * 10_000 / count):04}" for i in range(count)] + ["u9999"]
+            new = [
+                snapshots.Part(f"m{batch}-{level}-{i}", snapshots.merged_covers(old), level, rows // count, edges[i], f"u{round((i + 1) * 10_000 / count) - 1:04}", batch)
+                for i in range(count)
+            ]
+            parts = [p for p in parts if p not in old] + new
+        most = max(most, len(files.files_of(parts, "u4242#")) if batch > 50 else 0)
+    assert most <= 8 + 4 and {p.level for p in parts} >= {1, 2, 3}
+    assert rewritten <= 1_000_000 * 16
+
+
+def test_live_job_with_an_interval(spark, catalogue, tmp_path):
+    """The running trigger: files that come while the job runs are batches of their own, and it merges by itself."""
+    tables, source = LiveTables(*[str(tmp_path / n) for n in ("lake", "serving", "rejects")]), str(tmp_path / "in")
+    records_in = views.records(spark, FOLDER).filter("event_id < 120").select("event_id", "value")
+    records_in.filter("event_id < 60").select("value").coalesce(1).write.text(source)
+    query = start(file_actions(spark, source), catalogue, tables, str(tmp_path / "checkpoint"), interval_seconds=1)
+    try:
+        waited = time.time() + 120
+        while not newest_snapshot(spark, tables.lake).parts and time.time() < waited and query.isActive:
+            time.sleep(0.5)
+        records_in.filter("event_id >= 60").select("value").coalesce(1).write.mode("append").text(source)
+        while len(newest_snapshot(spark, tables.lake).parts) < 2 and time.time() < waited and query.isActive:
+            time.sleep(0.5)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    expected = accepted_actions(decode_actions(records_in.select("value")))
+    assert rows(lake.read_lake(spark, tables.lake).fillna("-")) == rows(expected.fillna("-"))
+    assert {max(p.covers.values())[0] for p in newest_snapshot(spark, tables.lake).parts} == {0, 1}
