@@ -234,3 +234,4 @@ LEFT JOIN parsed p ON n.reason = CASE WHEN accepted THEN 'accepted' ELSE broken
 ORACLE["live_to_daily"] = _with(
     CONTENT_CTES[0], *PARSED_CTES, "actions AS (SELECT * FROM sent WHERE user_id IS NOT NULL)", *CONTENT_CTES[2:], select=_matches("content")
 )
+ORACLE["bucketed_join"] = ORACLE["high_rated_join"]

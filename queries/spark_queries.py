@@ -480,3 +480,14 @@ def partition_bucket_roundtrip(spark, folder):
         songs, table_name(), scratch_path(spark, "bucketed"), ["decade", "album_name"], "song_id", buckets=4
     )
     return rounded(saved.select("song_id", "title", "decade", "album_name", "tempo"), "tempo")
+
+
+@query
+def bucketed_join(spark, folder):
+    """Liked songs with their details by a join of buckets: the song table by decade and album, the actions by bucket alone."""
+    songs = views.songs(spark, folder).withColumn("decade", F.floor(F.col("year") / 10).cast("int"))
+    names = [table_name(), table_name()]
+    catalog.partitioned_bucketed(views.actions(spark, folder), names[0], scratch_path(spark, "bucketed"), [], "song_id", buckets=8)
+    catalog.partitioned_bucketed(songs, names[1], scratch_path(spark, "bucketed"), ["decade", "album_name"], "song_id", buckets=8)
+    liked = ops.rated_at_least(catalog.bucket_join(spark, *names, "song_id"))
+    return rounded(liked.select("song_id", "user_id", "rating", "title", "duration", "tempo"), "duration", "tempo")

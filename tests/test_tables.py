@@ -395,3 +395,24 @@ def test_live_job_with_an_interval(spark, catalogue, tmp_path):
     expected = accepted_actions(decode_actions(records_in.select("value")))
     assert rows(lake.read_lake(spark, tables.lake).fillna("-")) == rows(expected.fillna("-"))
     assert {max(p.covers.values())[0] for p in newest_snapshot(spark, tables.lake).parts} == {0, 1}
+
+
+def test_join_of_buckets_needs_no_shuffle(spark, tmp_path):
+    left = spark.range(3000).select((F.col("id") % 700).cast("string").alias("song_id"), F.col("id").alias("n"))
+    right = spark.range(700).select(F.col("id").cast("string").alias("song_id"), (F.col("id") % 3).alias("part"), F.col("id").alias("m"))
+    catalog.partitioned_bucketed(left, "t_left", f"{tmp_path}/left", [], "song_id", 5)
+    catalog.partitioned_bucketed(right, "t_right", f"{tmp_path}/right", ["part"], "song_id", 5)
+    joined = catalog.bucket_join(spark, "t_left", "t_right", "song_id")
+    assert rows(joined.select("n", "m")) == [(n, n % 700) for n in range(3000)]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    # A third of all rows on one song: shuffled, so that the key can be split.
+    hot = left.union(left.limit(1).crossJoin(spark.range(1500).select(F.col("id").alias("k"))).select("song_id", "k"))
+    catalog.partitioned_bucketed(hot, "t_left", f"{tmp_path}/left", [], "song_id", 5)
+    split = catalog.bucket_join(spark, "t_left", "t_right", "song_id", most_uneven=1.5)
+    assert split.count() == 4500 and "Exchange" in split._jdf.queryExecution().executedPlan().toString()
+    catalog.partitioned_bucketed(right, "t_right", f"{tmp_path}/right", ["part"], "song_id", 6)
+    with pytest.raises(ValueError, match="same number of buckets"):
+        catalog.bucket_join(spark, "t_left", "t_right", "song_id")
+    for name in ("t_left", "t_right"):
+        spark.sql(f"DROP TABLE {name}")
