@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from encore.schemas import BATCH_FEATURES, LIVE_FEATURES, POPULARITY_WEIGHTS
+from encore.schemas import BATCH_FEATURES, IMPUTE_FEATURES, LIVE_FEATURES, POPULARITY_WEIGHTS, RAW_SONG
 from queries.spark_queries import FEED_USER
-from queries.views import ACTIONS_CTE, FILLED_CTE, OFF_TIE, RECORDS_CTE, SONGS_CTE
+from queries.views import ACTIONS_CTE, FILLED_CTE, NOISY_CTE, OFF_TIE, RECORDS_CTE, SIGNED_CTE, SIGNED_FEATURES, SONGS_CTE, full_record
 
 DETAILS = "title, artist_name, album_name, year"
 
@@ -235,3 +235,63 @@ ORACLE["live_to_daily"] = _with(
     CONTENT_CTES[0], *PARSED_CTES, "actions AS (SELECT * FROM sent WHERE user_id IS NOT NULL)", *CONTENT_CTES[2:], select=_matches("content")
 )
 ORACLE["bucketed_join"] = ORACLE["high_rated_join"]
+
+
+def _fitted(table: str, label: str, features: list[str], complete: str) -> list[str]:
+    """Least squares in SQL: centred sums of products, then Gauss-Jordan elimination with one column per number."""
+    names = [*features, label]
+    steps = [f"fit AS (SELECT * FROM {table} WHERE {complete})", "centre AS (SELECT " + ", ".join(f"AVG({c}) AS m_{c}" for c in names) + " FROM fit)"]
+    size = len(features)
+    sums = [f"SUM(({names[i]} - m_{names[i]}) * ({names[j]} - m_{names[j]})) AS e{i}_{j}" for i in range(size) for j in range(size + 1)]
+    steps.append("step0 AS (SELECT " + ", ".join(sums) + " FROM fit, centre)")
+    for p in range(size):
+        cells = []
+        for i in range(size):
+            for j in range(size + 1):
+                own = f"e{p}_{j} / e{p}_{p}"
+                cells.append((own if i == p else f"e{i}_{j} - e{i}_{p} * {own}") + f" AS e{i}_{j}")
+        steps.append(f"step{p + 1} AS (SELECT " + ", ".join(cells) + f" FROM step{p})")
+    return steps
+
+
+_LINE = " + ".join(f"e{i}_{len(IMPUTE_FEATURES)} * ({c} - m_{c})" for i, c in enumerate(IMPUTE_FEATURES))
+ORACLE["impute_noisy_label"] = _with(
+    SONGS_CTE, NOISY_CTE, *_fitted("noisy", "label", IMPUTE_FEATURES, "label IS NOT NULL AND other IS NOT NULL"),
+    select=f"SELECT song_id, {_six(f'COALESCE(label, m_label + {_LINE})')} AS label_filled FROM noisy, centre, step{len(IMPUTE_FEATURES)}",
+)
+
+_SIGNED_ZERO = "zeroed AS (SELECT * REPLACE (" + ", ".join(f"COALESCE({c}, 0.0) AS {c}" for c in SIGNED_FEATURES) + ") FROM signed_songs)"
+
+
+def _signed(profile_rows: str, condition: str, name: str) -> tuple[str, ...]:
+    return (
+        f"{name}_profiles AS (SELECT user_id, {_means(SIGNED_FEATURES)} FROM {profile_rows} JOIN zeroed USING (song_id) GROUP BY user_id)",
+        f"""{name} AS (SELECT user_id, song_id, similarity,
+           row_number() OVER (PARTITION BY user_id ORDER BY round(similarity, 9) DESC, song_id) AS rank
+    FROM (SELECT p.user_id, s.song_id, {_cosine("p", "s", SIGNED_FEATURES)} AS similarity FROM {name}_profiles p, zeroed s) pairs
+    WHERE {condition} QUALIFY rank <= 10)""",
+    )
+
+
+ORACLE["signed_content_topk"] = _with(
+    SONGS_CTE, SIGNED_CTE, _SIGNED_ZERO, ACTIONS_CTE, "liked AS (SELECT user_id, song_id FROM actions WHERE rating >= 3.5)",
+    *_signed("liked", "round(similarity, 9) > 0", "content"), select=_matches("content"),
+)
+ORACLE["signed_live_topk"] = _with(
+    SONGS_CTE, SIGNED_CTE, _SIGNED_ZERO, ACTIONS_CTE, "played AS (SELECT user_id, song_id FROM actions WHERE action_type = 'listened')",
+    *_signed("played", "NOT EXISTS (SELECT 1 FROM played WHERE played.user_id = pairs.user_id AND played.song_id = pairs.song_id)", "live"),
+    select=_matches("live"),
+)
+
+
+def _told(name: str, sql: str, kind: str) -> str:
+    if not kind.startswith("array"):
+        return f"{sql} AS {name}"
+    flat = f"flatten({sql})" if kind.startswith("array<array") else sql
+    return f"array_to_string(list_transform({flat}, lambda x: CAST(x AS VARCHAR)), '|') AS {name}"
+
+
+_RECORD = full_record("s_suppkey", RAW_SONG, "VARCHAR", "DOUBLE", ("[", "]"))
+ORACLE["record_ingest_full"] = (
+    "SELECT FALSE AS rejected, " + ", ".join(_told(f.name, _RECORD[f.name], f.dataType.simpleString()) for f in RAW_SONG) + " FROM supplier"
+)

@@ -18,7 +18,7 @@ from encore.plans import content, feed, live
 from encore.plans.collab import als_matches
 from encore.plans.popularity import popular_recommendations, popular_songs
 from encore.plans.preprocess import preprocess
-from encore.schemas import BATCH_FEATURES, IMPUTE_FEATURES, LISTENED, LIVE_FEATURES, METADATA_COLUMNS, SKIPPED
+from encore.schemas import BATCH_FEATURES, IMPUTE_FEATURES, LISTENED, LIVE_FEATURES, METADATA_COLUMNS, RAW_SONG, SKIPPED
 from encore.session import prepare
 from encore.sinks import catalog, files, lake
 from encore.sources.cells import cells_from_rows, rows_from_cells
@@ -491,3 +491,45 @@ def bucketed_join(spark, folder):
     catalog.partitioned_bucketed(songs, names[1], scratch_path(spark, "bucketed"), ["decade", "album_name"], "song_id", buckets=8)
     liked = ops.rated_at_least(catalog.bucket_join(spark, *names, "song_id"))
     return rounded(liked.select("song_id", "user_id", "rating", "title", "duration", "tempo"), "duration", "tempo")
+
+
+@query
+def impute_noisy_label(spark, folder):
+    """A label off the line, with gaps; rows with a gap in another column take no part in the fit either."""
+    filled = impute(views.noisy_songs(spark, folder), "label", IMPUTE_FEATURES, complete=["label", "other"])
+    return rounded(filled.select("song_id", "label_filled"), "label_filled")
+
+
+@query
+def signed_content_topk(spark, folder):
+    """Content matches on signed features, zero for null: only similarities above zero count, also where few songs have one."""
+    songs = views.signed_songs(spark, folder).fillna(0.0, views.SIGNED_FEATURES)
+    catalogue = Catalogue.of(songs, views.SIGNED_FEATURES, broadcast_rows=0, chunk_rows=64)
+    return content.content_matches(views.actions(spark, folder), songs, views.SIGNED_FEATURES, catalogue=catalogue)
+
+
+@query
+def signed_live_topk(spark, folder):
+    """Live matches on signed features and nulls, which count as zero: similarities of any sign count."""
+    catalogue = live.live_catalogue(views.signed_songs(spark, folder), views.SIGNED_FEATURES)
+    return live.live_matches(views.actions(spark, folder), catalogue)
+
+
+@query
+def record_ingest_full(spark, folder):
+    """Records with all fields of the raw song table, each of its declared type, and back."""
+    path = scratch_path(spark, "full-records")
+    values = views.full_record("s_suppkey", RAW_SONG, "STRING", "DOUBLE", ("array(", ")"))
+    fields = ", ".join(f"{sql} AS `{name}`" for name, sql in values.items())
+    records = views.table(spark, folder, "supplier").selectExpr(f"to_json(struct({fields})) AS value", "CAST(s_suppkey AS STRING) AS file")
+    records.repartition("file").write.partitionBy("file").text(path)
+
+    def told(field):
+        kind, column = field.dataType.simpleString(), F.col(field.name)
+        if not kind.startswith("array"):
+            return column
+        flat = F.flatten(column) if kind.startswith("array<array") else column
+        return F.array_join(F.transform(flat, lambda x: x.cast("string")), "|").alias(field.name)
+
+    rows = record_files(spark, path, "*.txt", decode_json)
+    return rows.select(F.col("error").isNotNull().alias("rejected"), *[told(f) for f in RAW_SONG])

@@ -102,3 +102,52 @@ RECORDS_CTE = "records AS (SELECT event_id, {} FROM (SELECT {} FROM events) e)".
 # Means of decimal numbers often lie exactly on a rounding tie, where the last bit of a sum would decide.
 # Both engines add this before they round to six places, which moves such ties off the boundary.
 OFF_TIE = "0.00000002"
+
+# Songs whose features are whole numbers of either sign, zero or null: many equal similarities, opposite vectors, vectors
+# without length.
+SIGNED = """
+SELECT song_id, title, artist_name, album_name, year,
+       CAST(CASE WHEN n % 11 = 0 THEN 0 ELSE n * 7 % 5 - 2 END AS DOUBLE) AS danceability,
+       CAST(CASE WHEN n % 11 = 0 THEN 0 WHEN n % 17 = 0 THEN NULL ELSE n % 7 - 3 END AS DOUBLE) AS energy,
+       CAST(CASE WHEN n % 11 = 0 THEN 0 WHEN n % 19 = 0 THEN NULL ELSE year - 1990 END AS DOUBLE) AS tempo
+FROM (SELECT *, CAST(song_id AS INT) AS n FROM {songs}) numbered
+"""
+SIGNED_FEATURES = ["danceability", "energy", "tempo"]
+
+
+def signed_songs(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(SIGNED, songs=songs(spark, folder))
+
+
+SIGNED_CTE = f"signed_songs AS ({SIGNED.format(songs='songs')})"
+
+# Songs with a label that is no linear function of the features, and gaps in it and in another column.
+NOISY = """
+SELECT *, CAST(n % 23 AS DOUBLE) / 3 + energy * 4 - danceability * danceability + year % 6 AS whole,
+       CASE WHEN n % 4 = 1 THEN NULL ELSE CAST(n % 23 AS DOUBLE) / 3 + energy * 4 - danceability * danceability + year % 6 END AS label,
+       CASE WHEN n % 9 = 2 THEN NULL ELSE n END AS other
+FROM (SELECT *, CAST(song_id AS INT) AS n FROM {songs}) numbered
+"""
+
+
+def noisy_songs(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(NOISY, songs=songs(spark, folder)).drop("n", "whole")
+
+
+NOISY_CTE = f"noisy AS ({NOISY.format(songs='songs')})"
+
+
+def full_record(number: str, fields, text: str, double: str, array: str) -> dict[str, str]:
+    """SQL of a value for every field of a schema, from a whole number."""
+    values = {}
+    for place, field in enumerate(fields):
+        kind = field.dataType.simpleString()
+        whole, half = f"({number} * 10 + {place})", f"CAST({number} + {place} + 0.5 AS {double})"
+        name = f"concat('{field.name} ', CAST({number} AS {text}))"
+        values[field.name] = {
+            "string": name, "int": f"CAST({whole} AS INT)", "bigint": f"CAST({whole} AS BIGINT)", "double": half,
+            "array<string>": f"{array[0]}{name}, 'é{place}'{array[1]}", "array<bigint>": f"{array[0]}CAST({whole} AS BIGINT), CAST({place} AS BIGINT){array[1]}",
+            "array<double>": f"{array[0]}{half}, CAST(0.25 AS {double}){array[1]}",
+            "array<array<double>>": f"{array[0]}{array[0]}{half}, CAST(1.5 AS {double}){array[1]}, {array[0]}CAST(2.5 AS {double}), {half}{array[1]}{array[1]}",
+        }[kind]
+    return values
