@@ -245,5 +245,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """Rows of `docs` whose key is not among the contaminated ones."""
-    bad = contaminated(docs, benchmark, key, text, item).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(materialize(bad, "contaminated"), docs[key].eqNullSafe(F.col("_bad")), "left_anti")
+    bad = materialize(contaminated(docs, benchmark, key, text, item).select(F.col(key).alias("bad")).distinct(), "contaminated")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.join(bad, F.col(f"row.{key}").eqNullSafe(F.col("bad")), "left_anti").select("row.*")

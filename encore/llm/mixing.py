@@ -106,28 +106,29 @@ def _round_group(seed: int, level: int):
     return play
 
 
-def mix_sources(
-    docs: DataFrame, source: str = "source", size: str | None = None, key: str = "doc_id", weights=WEIGHTS,
-    max_copies: int = MAX_COPIES, seed: int = 7, leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN,
-) -> DataFrame:
-    """`docs` with columns size, source_size, target and copies (0 to `max_copies`); earlier columns of those names go.
-
-    Edge cases: a null source is a source, the last one. Null and empty texts have size 0; a source of size 0 has
-    target 0 and its documents no copies. An empty table gives an empty result. Repeated rows are documents of their
-    own, each with its own copies. The same rows and seed give the same copies; `key` orders documents of one size.
-    """
-    own = ["size", "source_size", "target", "copies"]
-    sized = docs.withColumn("_size", F.col(size).cast("long") if size else word_count())
-    sized = sized.drop(*own)
-    targets = materialize(source_targets(sized.withColumnRenamed(source, "_source"), "_source", "_size", weights, max_copies), "targets")
-    joined = sized.join(targets, sized[source].eqNullSafe(targets["_source"]))
+def _tagged(docs: DataFrame, kept: list[str], source: str, size: str | None, key: str) -> DataFrame:
+    """(row, source, size, key, id), written once: ids of rows that are read again stay the same."""
+    sized = F.col(size).cast("long") if size else word_count()
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(source).alias("source"), sized.alias("size"), F.col(key).alias("key"))
+    return materialize(rows.withColumn("id", F.monotonically_increasing_id()), "mix-rows")
+
+
+def _copies(rows: DataFrame, weights, max_copies: int, seed: int, leaf_rows: int, fan_in: int) -> DataFrame:
+    """(id, source_size, target, copies) of rows (id, source, size, key): only numbers pass through the leaves."""
+    targets = materialize(source_targets(rows, "source", "size", weights, max_copies).withColumnRenamed("source", "s"), "targets")
+    # Rows that key and size do not tell apart would all meet in one leaf: their ids spread them.
+    twins = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in ("source", "key", "size")]).agg(F.count("*").alias("_n")).filter("_n > 1")
+    same = [rows[c].eqNullSafe(twins[f"_{c}"]) for c in ("source", "key", "size")]
+    rows = rows.join(twins, same[0] & same[1] & same[2], "left").select("id", "source", "size", "key", F.when(F.col("_n") > 1, F.col("id")).otherwise(0).alias("twin"))
+    joined = rows.join(targets, F.col("source").eqNullSafe(F.col("s")))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.least(F.floor(share + 1e-12), F.lit(max_copies))
-    hashed = F.xxhash64(F.lit(seed), F.col(key), F.col("_size"))
-    rows = joined.withColumns({
-        "_copies": whole.cast("long"), "_chance": F.greatest(share - whole, F.lit(0.0)), "_key": hashed,
-        "_leaf": F.pmod(hashed, F.greatest(F.ceil(F.col("_rows") / leaf_rows), F.lit(1))),
-    }).drop("_rows")
+    hashed = F.when(F.col("twin") == 0, F.xxhash64(F.lit(seed), "key", "size")).otherwise(F.xxhash64(F.lit(seed), "key", "size", "twin"))
+    rows = joined.select(
+        "id", F.col("source").alias("_source"), F.col("size").alias("_size"), "source_size", "target", whole.cast("long").alias("_copies"),
+        F.greatest(share - whole, F.lit(0.0)).alias("_chance"), hashed.alias("_key"),
+        F.pmod(hashed, F.greatest(F.ceil(F.col("_rows") / leaf_rows), F.lit(1))).alias("_leaf"),
+    )
     rows = materialize(rows.groupBy("_source", "_leaf").applyInArrow(_round_group(seed, 0), rows.schema), "mix-0")
     decided = [rows.filter("_chance < 0")]
     most = targets.agg(F.max("_rows")).first()[0] or 0
@@ -144,12 +145,29 @@ def mix_sources(
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
-    kept = [c for c in docs.columns if c not in own]
-    return out.select(*kept, F.col("_size").alias("size"), "source_size", "target", F.col("_copies").alias("copies"))
+    return out.select("id", "source_size", "target", F.col("_copies").alias("copies"))
+
+
+def mix_sources(
+    docs: DataFrame, source: str = "source", size: str | None = None, key: str = "doc_id", weights=WEIGHTS,
+    max_copies: int = MAX_COPIES, seed: int = 7, leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN,
+) -> DataFrame:
+    """`docs` with columns size, source_size, target and copies (0 to `max_copies`); earlier columns of those names go.
+
+    Edge cases: a null source is a source, the last one. Null and empty texts have size 0; a source of size 0 has
+    target 0 and its documents no copies. An empty table gives an empty result. Repeated rows are documents of their
+    own, each with its own copies. The same rows and seed give the same copies, but for rows of one key and size, whose
+    place in the input decides; `key` orders documents of one size.
+    """
+    own = ["size", "source_size", "target", "copies"]
+    rows = _tagged(docs, [c for c in docs.columns if c not in own], source, size, key)
+    told = _copies(rows.select("id", "source", "size", "key"), weights, max_copies, seed, leaf_rows, fan_in)
+    return rows.join(told, "id").select("row.*", "size", "source_size", "target", "copies")
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per copy."""
-    return mixed.filter("copies > 0").select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-    ).drop("_copy")
+def mixed_copies(docs: DataFrame, source: str = "source", key: str = "doc_id", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 7) -> DataFrame:
+    """Every row of `docs` as often as `mix_sources` takes it: all its columns as they were, whatever their names."""
+    rows = _tagged(docs, docs.columns, source, None, key)
+    told = _copies(rows.select("id", "source", "size", "key"), weights, max_copies, seed, LEAF_ROWS, FAN_IN)
+    taken = rows.select("id", "row").join(told.filter("copies > 0").select("id", "copies"), "id")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

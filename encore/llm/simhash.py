@@ -16,21 +16,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.components import components
-from encore.llm.decontaminate import mixed
-from encore.llm.scratch import freed
 from encore.llm.words import slices, texts_of
 from encore.storage import materialize
 
 BITS = 64
 DISTANCE = 4
 WORDS = 4
-BEST = 3  # candidates of a document, or of two groups, that are checked on the texts first; the others follow
-MORE = 16  # each further turn checks so many times more
-CROWD = 8  # members of one group in a bucket from which on they are not joined among themselves
 
 
 def shingle_hashes(text: bytes, words: int, seed: int = 42) -> np.ndarray:
@@ -106,7 +101,9 @@ def _variants(value: Column, cuts: list[tuple[int, int]]) -> Column:
 def linked_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b, once each: all pairs of distinct values of column `fingerprint` within `distance` bits."""
     cuts = segments(distance)
-    index = prints.select("fingerprint").distinct().select("fingerprint", F.inline(_variants(F.col("fingerprint"), cuts)))
+    # Spread first: a few megabytes of fingerprints lie in few files, and each becomes as many rows as it has bits.
+    spread = prints.select("fingerprint").distinct().repartition("fingerprint")
+    index = spread.select("fingerprint", F.inline(_variants(F.col("fingerprint"), cuts)))
     left = index.select(F.col("fingerprint").alias("a"), "variant", "rest")
     right = index.select(F.col("fingerprint").alias("b"), F.col("variant").alias("v"), F.col("rest").alias("r"))
     apart = F.col("a").bitwiseXOR(F.col("b"))
@@ -142,189 +139,21 @@ def near_duplicates(
     return prints.join(labels, prints["fingerprint"] == labels["_f"]).select(key, "fingerprint", "component_id")
 
 
-def _view_batches(words: int, views: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "_text"):
-                lowered = pc.cast(pc.ascii_lower(texts_of(batch.column("_text"))), pa.large_binary())
-                rows = []
-                for text in lowered:
-                    hashes = shingle_hashes(text.as_py(), words)
-                    rows.append([majority(hashes if not v else mixed(hashes ^ np.uint64(v))) for v in range(views)])
-                table = np.array(rows, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(list(table), pa.list_(pa.int64()))], ["row", "views"])
-
-    return run
-
-
-def _similar(words: int, least: float):
-    """Rows (a, b, texts) whose sets of shingles have a Jaccard similarity of `least` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [pc.cast(pc.ascii_lower(texts_of(batch.column(n))), pa.large_binary()) for n in ("text_a", "text_b")]
-            kept = []
-            for row in range(batch.num_rows):
-                a, b = (np.unique(shingle_hashes(t[row].as_py(), words)) for t in texts)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                union = len(a) + len(b) - both
-                if not union or both / union >= least - 1e-12:
-                    kept.append(row)
-            rows = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(n).take(rows) for n in ("a", "b")], ["a", "b"])
-
-    return run
-
-
-def _met(prints: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
-    """(fingerprint, other): each fingerprint with the smallest and the largest of each bucket it lies in, if near.
+def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """Rows of `docs`, one per group of `near_duplicates`: the one of the smallest key, of repeated rows any one.
 
-    A first look, which ties most of a large group of near copies at little cost; `_crossing` finds all that it leaves.
+    Edge cases: null, empty and blank texts are one group. A null key sorts after all others, and rows of one key with
+    different texts are told apart by the text's hash, the smaller one first. All columns come back as they were, whatever
+    their names. An empty table gives an empty result.
     """
-    index = prints.select("fingerprint").distinct().select("fingerprint", F.inline(_variants(F.col("fingerprint"), cuts)))
-    ends = index.groupBy("variant", "rest").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-    ends = ends.filter("low < high").withColumnsRenamed({"variant": "v", "rest": "r"})
-    near = [
-        (F.col("fingerprint") != F.col(c)) & (F.bit_count(F.col("fingerprint").bitwiseXOR(F.col(c))) <= BITS // 4) for c in ("low", "high")
-    ]
-    met = index.join(ends, (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & (near[0] | near[1]))
-    others = F.array(F.when(near[0], F.col("low")), F.when(near[1], F.col("high")))
-    found = met.select("fingerprint", F.explode(F.array_compact(others)).alias("other")).distinct()
-    # The best few of each, so that a large group of near copies keeps a bounded number of candidates a member.
-    nearest = Window.partitionBy("fingerprint").orderBy(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))), "other")
-    return found.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= BEST).drop("_n")
-
-
-def _crossing(named: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
-    """(a, b): all near pairs of rows (n, group, fingerprint) of different groups that share a bucket.
-
-    Members of one group in a bucket never meet each other: buckets of one group drop out, and in the others a group of
-    over CROWD members is joined only with the members of other groups.
-    """
-    index = named.select("n", "group", "fingerprint", F.inline(_variants(F.col("fingerprint"), cuts)))
-    index = index.select("n", "group", "fingerprint", F.shiftleft(F.col("variant").cast("long"), 40).bitwiseOR(F.col("rest")).alias("key"))
-    shared = index.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("key")
-    index = materialize(index.join(shared, "key", "left_semi"), "shared")
-    crowds = index.groupBy("key", "group").count().filter(F.col("count") > CROWD).select("key", "group")
-    crowds = materialize(crowds, "crowds")
-    few, many = index.join(crowds, ["key", "group"], "left_anti"), index.join(crowds, ["key", "group"], "left_semi")
-
-    def side(rows: DataFrame, end: str) -> DataFrame:
-        return rows.select(F.col("key").alias(f"key_{end}"), F.col("n").alias(end), F.col("group").alias(f"group_{end}"), F.col("fingerprint").alias(f"f_{end}"))
-
-    near = F.bit_count(F.col("f_a").bitwiseXOR(F.col("f_b"))) <= BITS // 4
-    meet = (F.col("key_a") == F.col("key_b")) & near
-    found = side(few, "a").join(side(few, "b"), meet & (F.col("group_a") < F.col("group_b"))).select("a", "b")
-    found = found.union(side(many, "a").join(side(few, "b"), meet & (F.col("group_a") != F.col("group_b"))).select("a", "b"))
-    one = crowds.select(F.col("key").alias("k"), F.col("group").alias("g"))
-    other = crowds.select(F.col("key").alias("j"), F.col("group").alias("h"))
-    pairs = one.join(other, (F.col("k") == F.col("j")) & (F.col("g") < F.col("h"))).select("k", "g", "h")
-    first = pairs.join(side(many, "a"), (F.col("k") == F.col("key_a")) & (F.col("g") == F.col("group_a")))
-    both = first.join(side(many, "b"), (F.col("k") == F.col("key_b")) & (F.col("h") == F.col("group_b")) & near)
-    found = found.union(both.select("a", "b"))
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _renamed(names: DataFrame, links: DataFrame) -> DataFrame:
-    """(n, group) after groups that `links` (a, b) tie have become one."""
-    to = components(links, "a", "b").select(F.col("id").alias("old"), F.col("component").alias("new"))
-    return materialize(names.join(to, F.col("group") == F.col("old"), "left").select("n", F.coalesce("new", "group").alias("group")), "names")
-
-
-def similar_groups(
-    docs: DataFrame, row: str, text: str = "text", words: int = 5, similarity: float = 0.8, views: int = 5, spread: float = 0.22
-) -> DataFrame:
-    """(row, group): documents that a chain of pairs of `similarity` or more (Jaccard, distinct shingles) ties together.
-
-    A pair of similarity 0.8 differs in about one bit of seven, too many for one fingerprint. So `views` independent
-    ones are cut and indexed in the same way. Two documents are candidates if in any view a segment differs by at most
-    one bit and the view by at most a quarter of its bits, and over all views at most `spread` of the bits differ.
-    Measured on pairs of similarity 0.8 to 0.85 a pair is found in 9 of 10 cases, above in nearly all.
-
-    Every chain of candidates that are similar on the texts counts, in two steps. First a bucket ties its members to its
-    smallest and its largest fingerprint, and each document's three nearest are checked: this makes one group of most near
-    copies without all their pairs. Then all members of a bucket that are still in different groups are joined by
-    equality. Of two groups the nearest candidates are checked first, then more, until they are one or none is left.
-    Equal texts count as one throughout.
-
-    Edge cases: texts without words form one group. Null texts are empty. `row` must tell rows apart. No rows, no result.
-    """
-    narrow = docs.select(F.col(row).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    seen = narrow.mapInArrow(_view_batches(words, views), f"row {narrow.schema['_row'].dataType.simpleString()}, views array<long>")
-    seen = materialize(seen, "views")
-    classes = seen.groupBy("views").agg(F.min("row").alias("id"))
-    classes = materialize(classes.select("views", "id", F.monotonically_increasing_id().alias("n")), "classes")
-    cuts = segments(DISTANCE)
-    single = classes.select("n", F.posexplode("views").alias("view", "fingerprint"))
-    met = None
-    for view in range(views):
-        # One view after the other, so that the disk holds the index of one.
-        found = materialize(_met(single.filter(F.col("view") == view), cuts).withColumn("view", F.lit(view)), "met")
-        met = found if met is None else met.union(found)
-        freed(docs.sparkSession)
-
-    def within(pairs: DataFrame) -> DataFrame:
-        """(a, b, far) of the pairs that differ in at most `spread` of the bits of all views."""
-        far = F.aggregate(F.zip_with("views_a", "views_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        return (
-            pairs.join(classes.select(F.col("n").alias("a"), F.col("views").alias("views_a")), "a")
-            .join(classes.select(F.col("n").alias("b"), F.col("views").alias("views_b")), "b")
-            .select("a", "b", far.alias("far")).filter(F.col("far") <= int(spread * BITS * views))
-        )
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that are similar on the whole texts."""
-        ends = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().join(classes.select("n", "id"), "n")
-        texts = materialize(narrow.join(ends, F.col("_row") == F.col("id")).groupBy("n").agg(F.min("_text").alias("_text")), "texts")
-        both = pairs.select("a", "b").join(texts.select(F.col("n").alias("a"), F.col("_text").alias("text_a")), "a")
-        both = both.join(texts.select(F.col("n").alias("b"), F.col("_text").alias("text_b")), "b")
-        return materialize(both.mapInArrow(_similar(words, similarity), "a long, b long"), "similar")
-
-    # A fingerprint of one view may belong to several classes, as one class's own views differ: tie them to the smallest.
-    owners = single.groupBy("view", "fingerprint").agg(F.min("n").alias("owner"))
-    same = single.join(owners, ["view", "fingerprint"]).filter("n <> owner").select(F.col("n").alias("a"), F.col("owner").alias("b"))
-    left = owners.select("view", "fingerprint", F.col("owner").alias("a"))
-    right = owners.select("view", F.col("fingerprint").alias("other"), F.col("owner").alias("b"))
-    tied = met.join(left, ["view", "fingerprint"]).join(right, ["view", "other"]).filter("a <> b").select("a", "b").union(same)
-    tied = within(tied.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    # The nearest of either end: a bucket's end has many members, each of which keeps its own three.
-    of_a, of_b = Window.partitionBy("a").orderBy("far", "b"), Window.partitionBy("b").orderBy("far", "a")
-    best = tied.withColumns({"of_a": F.row_number().over(of_a), "of_b": F.row_number().over(of_b)})
-    best = materialize(best.filter(F.least("of_a", "of_b") <= BEST).select("a", "b"), "tied")
-    names = _renamed(classes.select("n", F.col("n").alias("group")), checked(best))
-    named = classes.join(names, "n")
-    rest = None
-    for view in range(views):
-        found = materialize(_crossing(named.select("n", "group", F.get("views", F.lit(view)).alias("fingerprint")), cuts), "crossing")
-        rest = found if rest is None else rest.union(found)
-        freed(docs.sparkSession)
-    rest = materialize(within(rest.distinct().join(best, ["a", "b"], "left_anti")), "rest")
-    take = BEST
-    while True:
-        apart = rest.join(names.select(F.col("n").alias("a"), F.col("group").alias("x")), "a")
-        apart = apart.join(names.select(F.col("n").alias("b"), F.col("group").alias("y")), "b").filter("x <> y")
-        apart = apart.select("a", "b", "far", F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-        nearest = Window.partitionBy("x", "y").orderBy("far", "a", "b")
-        turn = materialize(apart.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= take), "turn")
-        if turn.isEmpty():
-            break
-        tie = checked(turn)
-        rest = materialize(apart.select("a", "b", "far").join(turn, ["a", "b"], "left_anti"), "rest")
-        names = _renamed(names, turn.join(tie, ["a", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b")))
-        take *= MORE
-    named = classes.join(names, "n")
-    labels = named.groupBy("group").agg(F.min("id").alias("least"))
-    labels = materialize(named.join(labels, "group").select("views", F.col("least").alias("group")), "labels")
-    return seen.join(labels, "views").select(F.col("row").alias(row), "group")
-
-
-def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows of `docs`, one per group of `similar_groups`: the one of the smallest key, of rows with one key any one.
-
-    A null key sorts after all others. Rows of one key with different texts are told apart.
-    """
-    told = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
-    rows = docs.withColumn("_told", told)
-    chosen = similar_groups(rows, "_told", text, words, similarity).groupBy("group").agg(F.min("_told").alias("_kept")).select("_kept")
-    kept = rows.join(materialize(chosen, "kept"), F.col("_told").eqNullSafe(F.col("_kept"))).drop("_kept")
-    return kept.dropDuplicates(["_told"]).drop("_told")
+    kind = docs.schema[key].dataType
+    # No null inside: a join by equality must find every row.
+    told = F.struct(
+        F.col(key).isNull().alias("none"), F.coalesce(F.col(key), F.lit("0").cast(kind)).alias("key"), F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("hash")
+    )
+    rows = docs.select(F.struct(*docs.columns).alias("row"), told.alias("told"), F.col(text).alias("text"))
+    groups = near_duplicates(rows, "told", "text", words, distance)
+    chosen = materialize(groups.select("component_id").distinct(), "chosen")
+    # Repeated rows become one where they lie, so a row that a third of the table repeats stays small in the join.
+    single = rows.select("told", "row").groupBy("told").agg(F.first("row").alias("row"))
+    return single.join(chosen, F.col("told") == F.col("component_id"), "left_semi").select("row.*")

@@ -6,10 +6,9 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from encore.llm import simhash
 from encore.llm.components import components
 from encore.llm.neighbours import hadamard, nearest_neighbours
-from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments, similar_groups
+from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments
 
 
 def plain_fingerprint(text: str, words: int) -> int:
@@ -63,61 +62,35 @@ def test_near_duplicates_edges(edges, nothing):
     assert near_duplicates(nothing).count() == 0
 
 
-def test_similar_groups(spark):
-    random.seed(5)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    texts, truth = [], []
-    for group in range(60):
-        base = [random.choice(vocabulary) for _ in range(300)]
-        texts.append(" ".join(base))
-        truth.append(group)
-        for _ in range(3):
-            copy = list(base)
-            for place in random.sample(range(300), 4):
-                copy[place] = random.choice(vocabulary)
-            texts.append(" ".join(copy))
-            truth.append(group)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    groups = {r["doc_id"]: r["group"] for r in similar_groups(docs, "doc_id").collect()}
-    of = {}
-    for doc, group in groups.items():
-        of.setdefault(group, set()).add(truth[doc])
-    assert all(len(t) == 1 for t in of.values())  # nothing apart is tied together
-    assert len(of) <= 63  # nearly all copies found
-    kept = keep_representatives(docs)
-    assert kept.columns == docs.columns and kept.count() == len(of)
-
-
-def alike(a: str, b: str) -> bool:
-    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
-    return len(a & b) >= 0.8 * len(a | b)
-
-
 def changed(base: list[str], places) -> str:
     return " ".join(f"x{random.getrandbits(40)}" if i in places else w for i, w in enumerate(base))
 
 
-def test_similar_groups_in_crowded_buckets(spark, monkeypatch):
-    # Keys of 4 bits: some 20 unrelated fingerprints in every bucket, so a pair is hardly ever at its ends.
-    monkeypatch.setattr(simhash, "segments", lambda distance: [(i, 5) for i in range(0, 60, 5)])
+def plain_components(texts: list[str]) -> list[int]:
+    """Smallest number reachable over fingerprints that differ in 4 bits or fewer."""
+    prints = [plain_fingerprint(t, 4) for t in texts]
+    group = list(range(len(texts)))
+    while True:
+        now = [min(group[j] for j in range(len(texts)) if bin(prints[i] ^ prints[j]).count("1") <= 4) for i in range(len(texts))]
+        if now == group:
+            return group
+        group = now
+
+
+def test_representatives_equal_brute_force(spark):
     random.seed(9)
-    bases = [[f"v{random.randrange(3000)}" for _ in range(200)] for _ in range(150)]
-    texts = [t for base in bases for t in (" ".join(base), changed(base, set(random.sample(range(200), 3))))]
-    pairs = [i for i in range(0, 300, 2) if alike(texts[i], texts[i + 1])]
-    assert len(pairs) > 140
-    groups = {r["doc_id"]: r["group"] for r in similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect()}
-    assert sum(groups[i] == groups[i + 1] for i in pairs) >= 0.97 * len(pairs)
-    assert len(set(groups.values())) >= 150
-
-
-def test_all_copies_of_one_document_are_found(spark):
-    # Each copy is similar to the document of the largest id only, which must not keep just three of them.
-    random.seed(4)
-    base = [f"v{random.randrange(3000)}" for _ in range(300)]
-    texts = [changed(base, range(7 * i, 7 * i + 20)) for i in range(40)] + [" ".join(base)]
-    assert all(alike(t, texts[-1]) for t in texts)
-    groups = {r["doc_id"]: r["group"] for r in similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect()}
-    assert sum(g == groups[40] for g in groups.values()) >= 40
+    bases = [[f"v{random.randrange(3000)}" for _ in range(600)] for _ in range(40)]
+    texts = [t for base in bases for t in (" ".join(base), changed(base, {random.randrange(600)}), changed(base, set(random.sample(range(600), 3))), " ".join(base))]
+    texts += ["", "one two", " \t"]
+    random.shuffle(texts)
+    want = plain_components(texts)
+    assert 40 < len(set(want)) < 140
+    docs = spark.createDataFrame([(i, t, i * 10) for i, t in enumerate(texts)], "doc_id long, text string, told int")
+    groups = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert [groups[i] for i in range(len(texts))] == want
+    kept = keep_representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"], r["told"]) for r in kept.collect()) == sorted((i, texts[i], i * 10) for i in set(want))
 
 
 def test_representatives_edges(edges, nothing):

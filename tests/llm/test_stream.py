@@ -7,13 +7,14 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from encore.llm import mixscore, rangecoder
-from encore.llm.mixing import _play, mix_sources, repeated
+from encore.llm.mixing import _play, mix_sources, mixed_copies
 from encore.llm.tokenfiles import token_table, tokenizer_path, write_token_files
 from encore.storage import scratch_path
 
@@ -73,8 +74,9 @@ def test_mix_edges(edges, nothing):
     rows = mix_sources(edges).collect()
     assert len(rows) == edges.count()
     assert {r["size"] for r in rows if r["doc_id"] in (2, 3, 4)} == {0}
-    mixed = mix_sources(edges)
-    assert repeated(mixed, ["doc_id", "text"]).count() == sum(r["copies"] for r in rows)
+    copies = mixed_copies(edges)
+    assert copies.count() == sum(r["copies"] for r in rows) and copies.schema.simpleString() == edges.schema.simpleString()
+    assert {str(r) for r in copies.collect()} <= {str(r) for r in edges.collect()}
     assert mix_sources(nothing).count() == 0
 
 
@@ -228,15 +230,45 @@ def test_pipeline(spark):
 
 
 def test_pipeline_edges(spark, edges, nothing, labels, tmp_path):
-    for docs, name in ((edges, "edges"), (nothing, "nothing")):
+    """Every stage hands on whole rows of its input, columns of clashing names included; the last one equals plain tokens."""
+    clashing = edges.withColumns({"target": F.col("text"), "_size": F.lit("s"), "_key": F.lit(1.5), "row": F.lit("r"), "told": F.lit(2), "_source": F.lit(None).cast("string")})
+    for docs, name in ((clashing, "edges"), (nothing, "nothing")):
         folder = f"{tmp_path}/{name}"
         docs.write.parquet(f"{folder}/documents.parquet")
         labels.write.parquet(f"{folder}/labels.parquet")
         spark.createDataFrame([(1, "over the lazy dog near the river")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-        assert corpus_pipeline.run(spark, folder).count() == (0 if name == "nothing" else corpus_pipeline.run(spark, folder).count())
+        before = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            after = corpus_pipeline.materialize(function(spark, before, folder), "test")
+            assert after.schema.simpleString() == docs.schema.simpleString(), stage
+            given, got = (collections.Counter(map(str, f.collect())) for f in (before, after))
+            times = 3 if stage.startswith("mixing") else 1
+            assert all(got[r] <= times * given[r] for r in got), stage
+            if stage.startswith("SimHash"):
+                assert len(got) == before.select(F.coalesce("text", F.lit(""))).distinct().count() - (name == "edges" and given.total() > 2)
+            if stage.startswith("mixing"):
+                before_words = before.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
+                after_words = after.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
+                assert after_words <= 3 * before_words
+            before = after
+        want = plain_tokens([(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect() if r["doc_id"] is not None])
+        got = [tuple(r) for r in corpus_pipeline.run(spark, folder).orderBy("start").collect() if r["doc_id"] is not None]
+        assert sorted(r[0] for r in got) == sorted(r[0] for r in want)
+        assert corpus_pipeline.run(spark, folder).count() == before.count()
+
+
+def test_mix_of_equal_rows(spark):
+    """Two thirds of all rows have no key and one size: they are spread over leaves, and the words come out right."""
+    rows = [(None, "a", 7)] * 4000 + [(i, "b", i % 90) for i in range(1500)] + [(i, None, 11) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, words long")
+    mixed = mix_sources(docs, size="words", leaf_rows=100, fan_in=4)
+    assert mixed.count() == 6000
+    taken = {r["source"]: (r["n"], r["target"]) for r in mixed.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("n"), F.first("target").alias("target")).collect()}
+    assert all(abs(n - target) <= 90 for n, target in taken.values())
+    assert mixed.agg(F.max("copies")).first()[0] <= 3
 
 
-def test_queries_have_ten_operators():
+def test_one_query_per_operator():
     from encore.llm.queries import QUERIES
 
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
