@@ -8,9 +8,10 @@ Parquet and reads it again for the next. All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.llm.decontaminate import decontaminate
-from encore.llm.mixing import mix_sources, repeated
+from encore.llm.mixing import mixed_copies
 from encore.llm.quality import score_quality
 from encore.llm.simhash import keep_representatives
 from encore.llm.tokenfiles import token_table
@@ -21,26 +22,28 @@ from encore.storage import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
     prepare(spark)
-    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    # The row as one column: whatever its columns are called, they come back as they were.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    scored = score_quality(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.filter("predicted = 1").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: four-word shingles, fingerprints linked at 4 or fewer differing bits."""
     prepare(spark)
-    return keep_representatives(docs).select(*docs.columns)
+    return keep_representatives(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     prepare(spark)
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it: 0 to 3 equal rows."""
     prepare(spark)
-    return repeated(mix_sources(docs), docs.columns)
+    return mixed_copies(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
