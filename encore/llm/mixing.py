@@ -162,12 +162,13 @@ def mix_sources(
     own = ["size", "source_size", "target", "copies"]
     rows = _tagged(docs, [c for c in docs.columns if c not in own], source, size, key)
     told = _copies(rows.select("id", "source", "size", "key"), weights, max_copies, seed, leaf_rows, fan_in)
-    return rows.join(told, "id").select("row.*", "size", "source_size", "target", "copies")
+    return rows.join(told.hint("merge"), "id").select("row.*", "size", "source_size", "target", "copies")
 
 
 def mixed_copies(docs: DataFrame, source: str = "source", key: str = "doc_id", weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 7) -> DataFrame:
     """Every row of `docs` as often as `mix_sources` takes it: all its columns as they were, whatever their names."""
     rows = _tagged(docs, docs.columns, source, None, key)
     told = _copies(rows.select("id", "source", "size", "key"), weights, max_copies, seed, LEAF_ROWS, FAN_IN)
-    taken = rows.select("id", "row").join(told.filter("copies > 0").select("id", "copies"), "id")
+    # One plan at every size: small tables show what large ones will shuffle.
+    taken = rows.select("id", "row").join(told.filter("copies > 0").select("id", "copies").hint("merge"), "id")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -148,12 +148,11 @@ def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text
     """
     kind = docs.schema[key].dataType
     # No null inside: a join by equality must find every row.
-    told = F.struct(
-        F.col(key).isNull().alias("none"), F.coalesce(F.col(key), F.lit("0").cast(kind)).alias("key"), F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("hash")
-    )
-    rows = docs.select(F.struct(*docs.columns).alias("row"), told.alias("told"), F.col(text).alias("text"))
-    groups = near_duplicates(rows, "told", "text", words, distance)
-    chosen = materialize(groups.select("component_id").distinct(), "chosen")
-    # Repeated rows become one where they lie, so a row that a third of the table repeats stays small in the join.
-    single = rows.select("told", "row").groupBy("told").agg(F.first("row").alias("row"))
-    return single.join(chosen, F.col("told") == F.col("component_id"), "left_semi").select("row.*")
+    told = {"none": F.col(key).isNull(), "key": F.coalesce(F.col(key), F.lit("0").cast(kind)), "hash": F.coalesce(F.xxhash64(F.col(text)), F.lit(0))}
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in told.items()], F.col(text).alias("text"))
+    groups = near_duplicates(rows.select(F.struct(*told).alias("told"), "text"), "told", "text", words, distance)
+    chosen = materialize(groups.select("component_id.*").distinct(), "chosen")
+    # Repeated rows become one where they lie, so a row that a third of the table repeats stays small in the join. Whole rows
+    # move once: the join finds them where the grouping has put them.
+    single = rows.groupBy(*told).agg(F.first("row").alias("row"))
+    return single.join(chosen.hint("merge"), list(told), "left_semi").select("row.*")
