@@ -2,7 +2,8 @@
 
 A seed mask of eight words looks at six of them and ignores two, so a passage with a word changed here and there still
 has windows whose hashes agree with the benchmark's. The two masks together find every stretch of 13 words with any two
-substitutions. Windows of the documents that can match any benchmark window (a bit table of fixed size says so, without
+substitutions. Items shorter than 13 words have masks of their own length, which together ignore any words that a match
+may miss. Windows of the documents that can match any benchmark window (a bit table of fixed size says so, without
 false negatives) are kept with the words around them, and join the benchmark's windows by hash. Around each hit the
 words are compared at that offset: the document is contaminated by an item if some stretch of `STRETCH` words (or the
 whole item, if shorter) agrees in at least `SHARE` of its places.
@@ -10,6 +11,7 @@ whole item, if shorter) agrees in at least `SHARE` of its places.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +24,9 @@ from encore.llm.words import buffer_of, slices, split_words, texts_of
 from encore.storage import materialize
 
 MASKS = ("11101011", "11001111")
-SPAN = 8
 STRETCH = 13
+# Masks of short items look at so many words, or at all but the missed ones.
+SHORT_WEIGHT = 6
 SHARE = 0.8
 LEAST_WORDS = 5
 TABLE_BITS = 26
@@ -84,10 +87,30 @@ def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & limit).astype(np.int64), ((hashes >> np.uint64(32)) & limit).astype(np.int64)
 
 
+def needed(words: int) -> int:
+    """How many of `words` words in a row have to agree."""
+    return int(np.ceil(SHARE * words - 1e-9))
+
+
+def short_masks(length: int) -> list[str]:
+    """Masks of a whole item: it is cut into parts, and each mask ignores as many parts as a match may miss words, so
+    wherever those lie one mask ignores them all. The fewest parts that leave enough words to look at."""
+    missed = length - needed(length)
+    for count in range(missed + 1, length + 1):
+        parts = np.array_split(np.arange(length), count)
+        if length - sum(sorted(map(len, parts))[count - missed :]) >= min(SHORT_WEIGHT, length - missed):
+            break
+    masks = []
+    for ignored in itertools.combinations(parts, missed):
+        dark = set(itertools.chain.from_iterable(ignored))
+        masks.append("".join("0" if at in dark else "1" for at in range(length)))
+    return masks
+
+
 def _masks_of(length: int) -> list[tuple[str, int]]:
-    if length >= SPAN:
+    if length >= STRETCH:
         return [(m, i + 1) for i, m in enumerate(MASKS)]
-    return [("1" * length, 100 + length)] if length >= LEAST_WORDS else []
+    return [(m, 100 * length + i) for i, m in enumerate(short_masks(length))] if length >= LEAST_WORDS else []
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +178,7 @@ def _regions(table, masks: list[tuple[str, int]], key_type: pa.DataType):
                 starts = np.flatnonzero(fresh)
                 ends = np.r_[starts[1:], len(at)]
                 low = np.maximum(edges[row[starts]], at[starts] - STRETCH)
-                high = np.minimum(edges[row[starts] + 1], at[ends - 1] + SPAN + STRETCH)
+                high = np.minimum(edges[row[starts] + 1], at[ends - 1] + 2 * STRETCH)
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array([batch.column("_key")[int(r)].as_py() for r in row[starts]], key_type),
                     "start": pa.array(low - edges[row[starts]]),
@@ -193,7 +216,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, agree = [], []
         for row, (offset, document, item) in enumerate(zip(offsets, documents, items, strict=True)):
             most, need, every = best_stretch(np.frombuffer(document, np.uint64), np.frombuffer(item, np.uint64), offset)
-            if most >= int(np.ceil(SHARE * need - 1e-9)):
+            if most >= needed(need):
                 kept.append(row)
                 agree.append(every)
         rows = pa.array(kept, pa.int64())
@@ -220,8 +243,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     table = np.zeros((1 << TABLE_BITS - CHUNK_BITS, (1 << CHUNK_BITS) // 8), np.uint8)
     for part in parts:
         table[part["part"]] = np.frombuffer(part["bits"], np.uint8)
-    short = [r["words"] for r in windows.filter(F.col("words") < SPAN).select("words").distinct().collect()]
-    masks = _masks_of(SPAN) + [m for words in sorted(short) for m in _masks_of(words)]
+    short = [r["words"] for r in windows.filter(F.col("words") < STRETCH).select("words").distinct().collect()]
+    masks = _masks_of(STRETCH) + [m for words in sorted(short) for m in _masks_of(words)]
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = narrow.schema["_key"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type

@@ -1,6 +1,7 @@
 """Secrets in texts: three fixed patterns, and strings that dictionary-primed zstandard finds novel.
 
-A candidate of the method is a long string of code letters after a word that speaks of credentials. It is compressed
+A candidate of the method is a long string of code letters after a word that speaks of credentials, unless a base span
+holds all of it; one that only overlaps a base span, say a key around a run of hex letters, is judged. It is compressed
 after its surroundings with a dictionary of the identifiers that surround candidates anywhere in the corpus. What the
 candidate adds to the compressed size, against its length, says how novel it is: prose, repeated tokens and identifiers
 add little, keys add nearly their entropy.
@@ -29,10 +30,10 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
-# Words that make a context sensitive, and the strings looked at there.
+# Words that make a context sensitive, and the strings looked at there. A run of letters is read once, from its start.
 CONTEXT = re.compile(
-    r"""(?:password|passwd|pwd|secret|token|api_?key|auth|bearer|credential|private|access|session|signature|key)"""
-    r"""[A-Za-z_]*["']?[\x20:=>]{1,8}["']?([A-Za-z0-9+/_.=-]{16,})""", re.IGNORECASE | re.ASCII
+    r"""(?<![A-Za-z_])(?>[A-Za-z_]*?(?:password|passwd|pwd|secret|token|api_?key|auth|bearer|credential|private|access|session"""
+    r"""|signature|key))[A-Za-z_]*+["']?[\x20:=>]{1,8}["']?([A-Za-z0-9+/_.=-]{16,})""", re.IGNORECASE | re.ASCII
 )
 FILTERS = {
     "assign": r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]",
@@ -61,7 +62,7 @@ def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     found = []
     for match in CONTEXT.finditer(text):
         start, end = match.span(1)
-        if all(end <= s or e <= start for _, s, e in base):
+        if not any(s <= start and end <= e for _, s, e in base):
             found.append({
                 "start": start, "end": end, "before": text[max(0, start - AROUND) : start], "after": text[end : end + AROUND],
             })
