@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from encore.llm.components import components
-from encore.llm.neighbours import hadamard, nearest_neighbours
+from encore.llm.neighbours import PLANS, codes_of, hadamard, nearest_neighbours
 from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments
 
 
@@ -143,3 +143,54 @@ def test_neighbour_edges(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in found] == [(0, 1, 100), (0, 2, 1), (0, 3, 2), (100, 1, 0), (100, 2, 1), (100, 3, 2)]
     assert nearest_neighbours(frame.filter("false"), F.col("vec_id") % 100 == 0).count() == 0
     assert nearest_neighbours(frame.filter("vec_id = 1"), F.lit(True)).count() == 0
+
+
+def test_two_hashes_find_most_among_few_rows():
+    """Vectors without structure, whose tenth neighbour lies at 1.1 and all others at 1.4."""
+    chance = np.random.default_rng(8)
+    x = chance.normal(size=(10000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    far = np.linalg.norm(x[:100, None] - x[None], axis=2)
+    far[np.arange(100), np.arange(100)] = np.inf
+    want = np.argsort(far, axis=1)[:, :10]
+    tables, probes = PLANS[2]
+    index, looks = codes_of(x, tables, 2, 1), codes_of(x[:100], tables, 2, probes)
+    assert (looks[:, :, 0] == index[:100, :, 0]).all() and len(np.unique(looks[0, 0])) == probes
+    seen = np.array([
+        np.any([np.isin(index[:, t, 0], looks[q, t]) for t in range(tables)], axis=0) for q in range(100)
+    ])
+    assert seen.mean() < 0.16
+    assert np.take_along_axis(seen, want, 1).mean() >= 0.9
+
+
+def test_probes_are_the_nearest_codes():
+    x = np.random.default_rng(9).normal(size=(20, 4))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    every = codes_of(x, 3, 2, 1000)
+    assert every.shape == (20, 3, 64) and (np.sort(every, axis=2) == np.arange(64)).all()
+    assert (codes_of(x, 3, 2, 5) == every[:, :, :5]).all()
+
+
+def test_neighbours_of_copies_and_crowds(spark):
+    """Equal vectors, equal queries, a crowd of near copies and one of queries, in groups that are much smaller."""
+    chance = np.random.default_rng(10)
+    x = chance.normal(size=(900, 8))
+    x[200:500] = x[0]
+    x[500:800] = x[1] + chance.normal(size=(300, 8)) * 1e-6
+    ids = [int(i) for i in chance.permutation(900)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    rows = {}
+    for r in nearest_neighbours(frame, F.col("vec_id") % 2 == 0, hashes=2, group_rows=40).collect():
+        rows.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert sorted(rows) == [i for i in range(900) if i % 2 == 0]
+    place = {i: n for n, i in enumerate(ids)}
+    hits = 0
+    for query, ranks in rows.items():
+        far = np.sqrt(((x - x[place[query]]) ** 2).sum(axis=1))
+        want = sorted((far[place[i]], i) for i in ids if i != query)[:10]
+        got = [ranks[n + 1][::-1] for n in range(10)]
+        hits += len({i for _, i in got} & {i for _, i in want})
+        assert got == sorted(got)
+        if 200 <= place[query] < 500:
+            assert got == [(0.0, i) for i in sorted([ids[0], *ids[200:500]]) if i != query][:10]
+    assert hits >= 0.9 * 10 * len(rows)
