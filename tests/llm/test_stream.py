@@ -180,7 +180,92 @@ def test_scores(spark, monkeypatch):
     got = collections.Counter(zip(rows.doc_id, rows.n_tokens, rows.n_known, rows.train_tokens, rows.base_score.round(6), strict=True))
     assert got == want
     assert (rows.score < 0).all()
-    assert rows.score.sum() / rows.n_tokens.sum() > -4.6
+    assert rows.score.sum() > rows.base_score.sum()
+    assert (rows.score > rows.base_score - np.log10(4) - 1e-9)[rows.n_known == rows.n_tokens].all()
+    # The base gives a new token more than its letters cost.
+    assert (rows.score > rows.base_score)[rows.n_known == rows.n_tokens].mean() >= 0.8
+
+
+def test_scores_of_held_out_texts(spark):
+    rows = mixscore.score_texts(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
+    held, known = rows[rows.held_out], rows[rows.n_known == rows.n_tokens]
+    assert held.score.sum() > held.base_score.sum() + 0.5 * held.n_tokens.sum()
+    assert (known.score > known.base_score).mean() >= 0.9
+
+
+def walks(chance, count):
+    """Texts in which each of 60 words has three followers."""
+    texts = []
+    for _ in range(count):
+        word, text = chance.randrange(60), []
+        for _ in range(80):
+            text.append(f"w{word}")
+            word = (word * 7 + chance.choice([1, 13, 29])) % 60
+        texts.append(text)
+    return texts
+
+
+def test_word_order_counts(spark):
+    """No text repeats another, yet texts in order score above the same words in another order."""
+    chance = random.Random(5)
+    held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 10 == 0][:40]
+    rows = [(k, " ".join(t)) for k, t in zip([k for k in range(1000) if zlib.crc32(str(k).encode()) % 10][:200], walks(chance, 200), strict=True)]
+    texts = walks(chance, 20)
+    rows += [(k, " ".join(t)) for k, t in zip(held[:20], texts, strict=True)]
+    rows += [(k, " ".join(chance.sample(t, len(t)))) for k, t in zip(held[20:], texts, strict=True)]
+    scored = {r["doc_id"]: r for r in mixscore.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for ordered, mixed in zip(held[:20], held[20:], strict=True):
+        assert scored[ordered]["base_score"] == pytest.approx(scored[mixed]["base_score"])
+        assert scored[ordered]["score"] > scored[mixed]["score"] + 20
+        assert scored[ordered]["score"] > scored[ordered]["base_score"] + 40
+    # Three followers of equal chance: near half a digit a word.
+    assert np.mean([scored[k]["score"] / scored[k]["n_tokens"] for k in held[:20]]) > -0.6
+
+
+def block_of(number, texts, held):
+    import pyarrow as pa
+    import zstandard
+
+    words = sorted({w for t in texts for w in t})
+    codes = np.array([c for t in texts for c in [*(words.index(w) for w in t), len(words)]], np.int32)
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array([number]), "tokens": pa.array([[*words, "\n"]]), "held": pa.array([held]),
+        "lengths": pa.array([[len(t) + 1 for t in texts]]), "codes": pa.array([zstandard.compress(codes.tobytes())], pa.binary()),
+    })
+
+
+def test_pairs_of_all_blocks_are_counted():
+    import pyarrow as pa
+
+    chance = random.Random(6)
+    texts = [[f"v{chance.randrange(9)}" for _ in range(chance.randrange(12))] for _ in range(40)]
+    held = [chance.random() < 0.3 for _ in texts]
+    plain = collections.Counter(
+        pair for text, out in zip(texts, held, strict=True) if not out for pair in zip(["", *text], [*text, "\n"], strict=True)
+    )
+    blocks = [block_of(n, texts[n * 10 : n * 10 + 10], held[n * 10 : n * 10 + 10]) for n in range(4)]
+    table = pa.Table.from_batches(list(mixscore._pairs(3)(iter(blocks))))
+    summed = pa.concat_tables([mixscore._sum_pairs(table.filter(pa.compute.equal(table["part"], p))) for p in range(8)])
+    for n, block in enumerate(blocks):
+        mine = summed.filter(pa.compute.equal(summed["block"], n)).sort_by("part")
+        totals = np.concatenate([mixscore.unpacked_planes(v.as_py(), 8) for v in mine["totals"]])
+        names, edges, _ = mixscore._names_of(block, 0)
+        got = totals[np.unique(names, return_inverse=True)[1]]
+        want = [plain[pair] for text in texts[n * 10 : n * 10 + 10] for pair in zip(["", *text], [*text, "\n"], strict=True)]
+        assert got.tolist() == want and len(edges) == 11
+
+
+def test_followers():
+    cell, hit, share = mixscore.followed(np.array([2, 0, 3, 1, 5]), np.array([4, 0, 3, 2, 8]), np.array([0, 3, 5]))
+    assert hit.tolist() == [True, False, True, True, True]
+    assert cell.tolist() == [2 * 4, -1, 1 * 4 + 1, 1 * 4, 3 * 4 + 2]
+    assert share[hit] == pytest.approx(np.log10([2 / 4, 1, 1 / 2, 5 / 8]))
+
+
+def test_planes():
+    values = np.array([0, 1, 255, 256, (1 << 48) - 1], np.uint64)
+    assert (mixscore.unpacked_planes(mixscore.packed_planes(values, 6), 6) == values).all()
+    assert len(mixscore.unpacked_planes(mixscore.packed_planes(values[:0], 6), 6)) == 0
 
 
 def test_scores_do_not_depend_on_blocks(spark):
