@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
