@@ -5,17 +5,18 @@ a range coder of its own, all under one shared model. Each id is told as one of
 inside one interval:
 
 * it is what the order-2 context (the two ids before) predicts,
-* it is what the order-1 context predicts,
+* an id that has followed the id before, by its order-1 frequency there,
 * an id seen before in the block, by its order-0 frequency,
 * a new id, all alike.
 
-How far the order-2 and order-1 predictions are trusted depends on how often each held at its present confidence: their
-log odds are mixed with weights learned while coding, and the result is refined by a table of what truly happened in that
-situation. All of it is integer arithmetic, so any machine decodes alike. Coder and decoder do the same updates after a
-step; frequency tables are refreshed at growing, then fixed, distances.
+How far each order is trusted is learned. How often an order-2 prediction of this confidence held, and how often one held
+after an order-1 context this well known, are mixed as log odds with weights learned while coding, and the result is refined
+by what truly happened in that situation, which also divides the rest among the other outcomes. All of it is integer
+arithmetic, so any machine decodes alike. Coder and decoder do the same updates after a step; frequencies are refreshed
+at growing, then fixed, distances.
 
-Block: `HEADER` (magic, version, ids, lanes, crc32 of the ids as little-endian unsigned 32-bit, crc32 of the rest), then
-the length of each lane in 16-bit words as unsigned 32-bit integers, then the words of all lanes.
+Block: `HEADER` (magic, version, ids, lanes, crc32 of the ids as little-endian unsigned 32-bit, the shortest lane's length
+in 16-bit words, bytes a length), crc32 of all else, then what each lane is longer than that, then the words of all lanes.
 """
 
 from __future__ import annotations
@@ -25,18 +26,20 @@ import zlib
 
 import numpy as np
 
-HEADER = struct.Struct("<4sIQIII")
+HEADER = struct.Struct("<4sIQIIQI")
+CHECK = struct.Struct("<I")
 MAGIC = b"TIDB"
-VERSION = 1
+VERSION = 2
 LANES = 8192
 LEAST_STEPS = 256
 MAX_ID = 65535
 PAIR_BITS = 18
 CLASS_BITS, ID_BITS = 12, 16
 ONE = 1 << CLASS_BITS
-REFRESH = 16
+REFRESH = 64
 U = np.uint64
 LOW32 = U(0xFFFFFFFF)
+LOW20, LOW40 = (1 << 20) - 1, (1 << 40) - 1
 
 # stretch: log odds in 1/256 of a probability in 1/4096; squash: its inverse over -2047..2047.
 _P = (np.arange(ONE) + 0.5) / ONE
@@ -44,8 +47,13 @@ STRETCH = np.rint(np.log(_P / (1 - _P)) * 256).astype(np.int64)
 SQUASH = np.clip(np.rint(ONE / (1 + np.exp(-(np.arange(4096) - 2048) / 256.0))), 1, ONE - 1).astype(np.int64)
 
 
-# By confidence and whether the prediction held: how the entry moves; 2 stands for a new prediction.
-MOVES = np.array([2, 1, -1, 1, -1, 1, -1, 0])
+# Confidence of an order-2 prediction after it missed (first row) or held; a miss at 0 puts the new id in its place.
+SURE = 8
+MOVES = np.array([[0, 0, 0, 1, 1, 2, 2, 3], [1, 2, 3, 4, 5, 6, 7, 7]]).ravel()
+# How well an order-1 context is known: bits of the number of ids that have followed, by two.
+LEVELS = 8
+SITUATIONS = SURE * LEVELS
+BEYOND = np.int64(1) << 40  # above every pair of ids
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -56,18 +64,19 @@ class Model:
     """What the ids so far say about the next ones."""
 
     def __init__(self, lanes: int):
-        self.first = np.zeros(MAX_ID + 1, np.int64)  # prediction << 2 | confidence, by the id before
-        self.second = np.zeros(1 << PAIR_BITS, np.int64)  # the same by the hash of two ids
+        self.second = np.zeros(1 << PAIR_BITS, np.int64)  # prediction << 3 | confidence, by the hash of two ids
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.seen = np.zeros(MAX_ID + 1, np.int64)
+        self.pairs, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)  # id before << 16 | id, ascending
         self.steps, self.next_refresh = 0, 1
         self.said: list[np.ndarray] = []
+        self.told: list[np.ndarray] = []
         self.outcomes: list[np.ndarray] = []
-        self.held: list[np.ndarray] = []
-        self.rates = np.full((2, 4), ONE // 4, np.int64)  # how often order 2 and 1 held, by confidence
-        self.weights = np.full((2, 2), 1 << 15, np.int64)  # by whether they agree; 1 << 16 is one
-        self.happened = np.tile(np.array([4, 3, 6, 3], np.int64), (32, 1))  # outcomes by situation
+        self.rates = np.full((2, 8), ONE // 4, np.int64)  # how often order 2 held, by its confidence and by level
+        self.weights = np.full((2, 2), 1 << 15, np.int64)  # by whether order 1 is well known; 1 << 16 is one
+        self.happened = np.tile(np.array([4, 3, 6, 3], np.int64), (SITUATIONS, 1))  # outcomes by situation
         self._frequencies()
+        self._followers()
         self._classes()
 
     def _frequencies(self) -> None:
@@ -79,22 +88,42 @@ class Model:
             share = np.maximum(1, self.seen[ids] * (size - len(ids)) // total)
             share[np.argmax(share)] += size - int(share.sum())
             self.frequency[ids] = share
-            self.by_slot = np.repeat(ids, share)
-        else:
-            self.by_slot = np.zeros(size, np.int64)
-        self.start = np.cumsum(self.frequency) - self.frequency
-        # By id: outcome if not predicted, start and width of its part of that outcome.
+        # One number tells an id's outcome if not predicted, and begin and width of its part there: one look-up a step.
         seen = self.frequency > 0
-        self.kind = np.where(seen, 2, 3)
-        self.inner = np.where(seen, self.start, np.arange(MAX_ID + 1))
-        self.share = np.where(seen, self.frequency, 1)
+        every = np.arange(MAX_ID + 1)
+        begin = np.where(seen, np.cumsum(self.frequency) - self.frequency, every)
+        self.plain = (np.where(seen, 2, 3) << 40) | (begin << 20) | np.where(seen, self.frequency, 1)
+        # By place among the order-0 frequencies: the id, with the same begin and width.
+        whole = (every << 40) | (begin << 20) | self.frequency
+        self.by_slot = np.repeat(whole[ids], self.frequency[ids]) if len(ids) else np.zeros(size, np.int64)
+
+    def _followers(self) -> None:
+        """Order-1 frequencies: the ids that followed an id share `1 << ID_BITS`, 1 or more each."""
+        before = self.pairs >> 16
+        first = np.flatnonzero(np.r_[True, before[1:] != before[:-1]]) if len(before) else np.zeros(0, np.int64)
+        many = np.diff(np.r_[first, len(before)])
+        running = np.cumsum(self.counts) - self.counts
+        total = np.diff(np.r_[running[first], int(self.counts.sum())])
+        row = np.repeat(np.arange(len(first)), many)
+        place = np.arange(len(before)) - first[row]
+        begin = (running - running[first][row]) * ((1 << ID_BITS) - many[row]) // total[row] + place
+        follow = (row << ID_BITS) + begin
+        self.follow = np.r_[follow, len(first) << ID_BITS]  # where each pair's part begins, all contexts in a row
+        # Of each pair, as above: its second id, begin and width.
+        self.after = np.r_[((self.pairs & MAX_ID) << 40) | (begin << 20) | np.diff(self.follow), 0]
+        self.keys = np.r_[self.pairs, BEYOND]
+        self.fresh = True
+        self.row = np.zeros(MAX_ID + 1, np.int64)
+        self.row[before[first]] = np.arange(len(first)) << ID_BITS
+        self.level = np.zeros(MAX_ID + 1, np.int64)
+        self.level[before[first]] = np.minimum(LEVELS - 1, (np.frexp(total.astype(np.float64))[1] + 1) >> 1)
 
     def _classes(self) -> None:
-        """Frequencies of the four outcomes in each of the 32 situations, `ONE` in all."""
-        situation = np.arange(32)
-        two, one, agree = situation >> 3, (situation >> 1) & 3, situation & 1
-        odds = np.stack([STRETCH[self.rates[0][two]], STRETCH[self.rates[1][one]]])
-        weights = self.weights[:, agree]
+        """Frequencies of the four outcomes in each situation, `ONE` in all."""
+        situation = np.arange(SITUATIONS)
+        sure, level = situation >> 3, situation & 7
+        odds = np.stack([STRETCH[self.rates[0][sure]], STRETCH[self.rates[1][level]]])
+        weights = self.weights[:, level >> 2]
         mixed = _squash((odds * weights).sum(axis=0) >> 16)
         told = self.happened.sum(axis=1)
         refined = self.happened[:, 0] * ONE // told
@@ -105,32 +134,24 @@ class Model:
         classes[:, 2] += ONE - classes.sum(axis=1)
         self.classes = classes
         self.class_start = np.cumsum(classes, axis=1) - classes
-        self.wide, self.origin = classes.ravel(), self.class_start.ravel() << ID_BITS
+        self.span = (self.class_start.ravel() << ID_BITS + 20) | classes.ravel()
         self.odds, self.mixed = odds, mixed
 
     def situation(self) -> None:
-        """Look both predictions up for the next step."""
+        """Look the predictions up for the next step."""
         self.slot = (self.before * 0x9E3B + self.last) & ((1 << PAIR_BITS) - 1)
-        self.two, self.one = self.second.take(self.slot), self.first.take(self.last)
-        self.guess2, self.guess1 = self.two >> 2, self.one >> 2
-        self.sure2, self.sure1 = (self.two & 3) << 1, (self.one & 3) << 1
-        self.where = (self.sure2 << 2) | self.sure1 | (self.guess1 == self.guess2)
-
-    def update(self, ids: np.ndarray, cell: np.ndarray, held2: np.ndarray, held1: np.ndarray) -> None:
-        """cell: situation and outcome. held2, held1: whether the predictions were right."""
-        fresh = ids << 2
-        for table, at, entry, sure, held in (
-            (self.second, self.slot, self.two, self.sure2, held2), (self.first, self.last, self.one, self.sure1, held1)
-        ):
-            move = MOVES.take(sure | held)
-            entry += move
-            # A prediction without confidence gives way.
-            np.copyto(entry, fresh, where=move == 2)
-            table[at] = entry
+        entry = self.second.take(self.slot)
+        self.guess, self.sure = entry >> 3, entry & 7
+        self.where = (self.sure << 3) | self.level.take(self.last)
+
+    def update(self, ids: np.ndarray, cell: np.ndarray, held: np.ndarray) -> None:
+        """cell: situation and outcome. held: whether the order-2 prediction was right."""
+        sure = MOVES.take(self.sure + (held << 3))
+        self.second[self.slot] = (np.where(held | (self.sure > 0), self.guess, ids) << 3) | sure
+        self.told.append((self.last << 16) | ids)
         self.before, self.last = self.last, ids
         self.said.append(ids)
         self.outcomes.append(cell)
-        self.held.append(held1)
         self.steps += 1
         if self.steps == self.next_refresh:
             self._refresh()
@@ -139,29 +160,35 @@ class Model:
     def _refresh(self) -> None:
         self.seen += np.bincount(np.concatenate(self.said), minlength=MAX_ID + 1)
         self._frequencies()
-        cells, held = np.concatenate(self.outcomes), np.concatenate(self.held)
-        counts = np.bincount(cells, minlength=128).reshape(32, 4)
-        right1 = np.bincount(cells[held] >> 2, minlength=32)
+        fresh = np.sort(np.concatenate(self.told))
+        first = np.flatnonzero(np.r_[True, fresh[1:] != fresh[:-1]])
+        fresh, many = fresh[first], np.diff(np.r_[first, len(fresh)])
+        at = np.searchsorted(self.keys, fresh)
+        known = self.keys[at] == fresh
+        self.counts[at[known]] += many[known]
+        self.pairs, self.counts = (np.insert(old, at[~known], new[~known]) for old, new in ((self.pairs, fresh), (self.counts, many)))
+        self._followers()
+        counts = np.bincount(np.concatenate(self.outcomes), minlength=4 * SITUATIONS).reshape(SITUATIONS, 4)
         self.happened += counts
         large = self.happened.sum(axis=1) > 1 << 20
         self.happened[large] = (self.happened[large] >> 1) + 1
-        situation = np.arange(32)
+        situation = np.arange(SITUATIONS)
         total, hits = counts.sum(axis=1), counts[:, 0]
-        for order, level in ((0, situation >> 3), (1, (situation >> 1) & 3)):
-            right = np.bincount(level, hits if order == 0 else right1, 4).astype(np.int64)
-            tries = np.bincount(level, total, 4).astype(np.int64)
+        for order, cause in ((0, situation >> 3), (1, situation & 7)):
+            right = np.bincount(cause, hits, 8).astype(np.int64)
+            tries = np.bincount(cause, total, 8).astype(np.int64)
             target = np.clip(right * ONE // np.maximum(1, tries), 1, ONE - 1)
             self.rates[order] += np.where(tries > 0, target - self.rates[order], 0) >> 2
         self.rates = np.clip(self.rates, 1, ONE - 1)
         # Weights move along the error of the mix times the log odds, averaged over what was coded.
         error = hits * ONE - total * self.mixed
-        for agree in (0, 1):
-            part = (situation & 1) == agree
+        for known in (0, 1):
+            part = ((situation & 7) >> 2) == known
             many = max(1, int(total[part].sum()))
-            self.weights[:, agree] += (self.odds[:, part] * error[part]).sum(axis=1) // many >> 2
+            self.weights[:, known] += (self.odds[:, part] * error[part]).sum(axis=1) // many >> 2
         self.weights = np.clip(self.weights, -(1 << 18), 1 << 18)
         self._classes()
-        self.said, self.outcomes, self.held = [], [], []
+        self.said, self.told, self.outcomes = [], [], []
 
 
 def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -190,6 +217,34 @@ def _shape(count: int) -> tuple[int, int]:
     return lanes, -(-count // lanes)
 
 
+def _pairs(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of an id and the one before it in its lane, ascending, and which of them each place of the grid has."""
+    pair = grid.copy()
+    pair[1:] |= grid[:-1] << 16
+    flat = pair.ravel()
+    # Pair and place in one number sort several times faster than by an index.
+    bits = len(flat).bit_length()
+    if bits <= 31:
+        order = np.sort((flat << bits) | np.arange(len(flat)))
+        ordered, order = order >> bits, order & ((1 << bits) - 1)
+    else:
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+    fresh = np.r_[True, ordered[1:] != ordered[:-1]][: len(flat)]
+    numbers = np.empty(len(flat), np.int32)
+    numbers[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], numbers.reshape(grid.shape)
+
+
+def _at(bounds: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the ascending bounds each value has reached. Sorted values stay within the cache."""
+    bits = len(values).bit_length()
+    order = np.sort((values << bits) | np.arange(len(values)))
+    out = np.empty(len(values), np.int64)
+    out[order & ((1 << bits) - 1)] = bounds.searchsorted(order >> bits, "right") - 1
+    return out
+
+
 def encode(ids: np.ndarray) -> bytes:
     """One block; ids are integers from 0 to 65535. No ids give a block that holds none."""
     ids = np.asarray(ids, np.int64)
@@ -203,20 +258,23 @@ def encode(ids: np.ndarray) -> bytes:
     at = base.copy()
     low, width = np.zeros(lanes, U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
     model = Model(lanes)
-    for now in grid:
+    pairs, numbers = _pairs(grid)
+    for now, pair in zip(grid, numbers, strict=True):
         model.situation()
-        held2, held1 = now == model.guess2, now == model.guess1
-        outcome, inner, share = model.kind.take(now), model.inner.take(now), model.share.take(now)
-        held = held2 | held1
-        np.copyto(outcome, 1, where=held1)
-        np.copyto(outcome, 0, where=held2)
-        np.copyto(inner, 0, where=held)
-        np.copyto(share, 1 << ID_BITS, where=held)
-        cell = (model.where << 2) | outcome
-        wide = model.wide.take(cell)
+        held = now == model.guess
+        if model.fresh:
+            known = model.keys.searchsorted(pairs)
+            after = np.where(model.keys[known] == pairs, model.after[known] & LOW40 | (1 << 40), 0)
+            model.fresh = False
+        part, plain = after.take(pair), model.plain.take(now)
+        np.copyto(part, plain, where=part == 0)
+        np.copyto(part, 1 << ID_BITS, where=held)
+        cell = (model.where << 2) | (part >> 40)
+        span = model.span.take(cell)
+        wide = span & LOW20
         unit = width >> U(CLASS_BITS + ID_BITS)
-        low += unit * (model.origin.take(cell) + wide * inner).view(U)
-        width = unit * (wide * share).view(U)
+        low += unit * ((span >> 20) + wide * ((part >> 20) & LOW20)).view(U)
+        width = unit * (wide * (part & LOW20)).view(U)
         todo = _unsettled(low, width)
         while len(todo):
             some, span = _narrowed(low, width, todo)
@@ -224,28 +282,37 @@ def encode(ids: np.ndarray) -> bytes:
             out[place] = (some >> U(48)).astype(np.uint16)
             at[todo] = place + 1
             todo = _shifted(low, width, todo, some, span)
-        model.update(now, cell, held2, held1)
-    for shift in (48, 32, 16, 0):
-        out[at] = ((low >> U(shift)) & U(0xFFFF)).astype(np.uint16)
-        at += 1
-    lengths = (at - base).astype("<u4")
+        model.update(now, cell, held)
+    # The fewest words that lie inside the interval whatever follows them.
+    words = 3 - (width >= U(1 << 33)).astype(np.int64) - (width >= U(1 << 49))
+    last = U(64) - U(16) * words.astype(U)
+    value = ((low >> last) + U(1)) << last
+    for word in range(3):
+        more = words > word
+        out[at[more]] = (value[more] >> U(48 - 16 * word)).astype(np.uint16)
+        at += more
+    lengths = at - base
     used = np.arange(room)[None, :] < lengths[:, None]
-    body = lengths.tobytes() + out.reshape(lanes, room)[used].tobytes()
-    return HEADER.pack(MAGIC, VERSION, len(ids), lanes, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    least = int(lengths.min())
+    size = next(n for n in (1, 2, 4, 8) if int(lengths.max()) - least < 1 << 8 * n)
+    body = (lengths - least).astype(f"<u{size}").tobytes() + out.reshape(lanes, room)[used].tobytes()
+    header = HEADER.pack(MAGIC, VERSION, len(ids), lanes, zlib.crc32(ids.astype("<u4").tobytes()), least, size)
+    return header + CHECK.pack(zlib.crc32(body, zlib.crc32(header))) + body
 
 
 def decode(block: bytes) -> np.ndarray:
     """The ids of a block. A damaged block raises ValueError."""
-    if len(block) < HEADER.size:
+    start = HEADER.size + CHECK.size
+    if len(block) < start:
         raise ValueError("a block is cut short")
-    magic, version, count, lanes, ids_crc, body_crc = HEADER.unpack_from(block)
+    magic, version, count, lanes, ids_crc, least, size = HEADER.unpack_from(block)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a block of this format")
-    if zlib.crc32(block[HEADER.size :]) != body_crc:
+    if CHECK.unpack_from(block, HEADER.size)[0] != zlib.crc32(block[start:], zlib.crc32(block[: HEADER.size])):
         raise ValueError("a block's checksum is wrong")
     steps = -(-count // lanes)
-    lengths = np.frombuffer(block, "<u4", lanes, HEADER.size).astype(np.int64)
-    words = np.frombuffer(block, "<u2", offset=HEADER.size + 4 * lanes).astype(U)
+    lengths = np.frombuffer(block, f"<u{size}", lanes, start).astype(np.int64) + least
+    words = np.frombuffer(block, "<u2", offset=start + size * lanes).astype(U)
     words = np.concatenate([words, np.zeros(4, U)])
     at = np.cumsum(lengths) - lengths
     code = np.zeros(lanes, U)
@@ -264,18 +331,18 @@ def decode(block: bytes) -> np.ndarray:
         outcome += upper >= starts[:, 2]
         outcome += upper >= starts[:, 3]
         cell = (model.where << 2) | outcome
-        wide, origin = model.wide.take(cell), model.origin.take(cell)
+        span = model.span.take(cell)
+        wide, origin = span & LOW20, span >> 20
         slot = ((value - origin) / wide).astype(np.int64)
-        now = model.by_slot.take(slot & MAX_ID)
-        np.copyto(now, slot, where=outcome == 3)
-        held = outcome < 2
-        np.copyto(now, model.guess1, where=outcome == 1)
-        np.copyto(now, model.guess2, where=outcome == 0)
-        inner, share = model.inner.take(now), model.share.take(now)
-        np.copyto(inner, 0, where=held)
-        np.copyto(share, 1 << ID_BITS, where=held)
-        low += unit * (origin + wide * inner).view(U)
-        width = unit * (wide * share).view(U)
+        place = slot & MAX_ID
+        part = model.by_slot.take(place)
+        held = outcome == 0
+        np.copyto(part, model.after.take(_at(model.follow, model.row.take(model.last) + place)), where=outcome == 1)
+        np.copyto(part, (slot << 40) | (slot << 20) | 1, where=outcome == 3)
+        np.copyto(part, (model.guess << 40) | (1 << ID_BITS), where=held)
+        now = part >> 40
+        low += unit * (origin + wide * ((part >> 20) & LOW20)).view(U)
+        width = unit * (wide * (part & LOW20)).view(U)
         todo = _unsettled(low, width)
         while len(todo):
             some, span = _narrowed(low, width, todo)
@@ -283,7 +350,7 @@ def decode(block: bytes) -> np.ndarray:
             code[todo] = (code[todo] << U(16)) | words[place]
             at[todo] = place + 1
             todo = _shifted(low, width, todo, some, span)
-        model.update(now, cell, now == model.guess2, now == model.guess1)
+        model.update(now, cell, held)
         grid[step] = now
     ids = grid.T.reshape(-1)[:count]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
