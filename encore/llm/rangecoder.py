@@ -66,11 +66,8 @@ class Model:
     def __init__(self, lanes: int):
         self.second = np.zeros(1 << PAIR_BITS, np.int64)  # prediction << 3 | confidence, by the hash of two ids
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.seen = np.zeros(MAX_ID + 1, np.int64)
         self.pairs, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)  # id before << 16 | id, ascending
         self.steps, self.next_refresh = 0, 1
-        self.said: list[np.ndarray] = []
-        self.told: list[np.ndarray] = []
         self.outcomes: list[np.ndarray] = []
         self.rates = np.full((2, 8), ONE // 4, np.int64)  # how often order 2 held, by its confidence and by level
         self.weights = np.full((2, 2), 1 << 15, np.int64)  # by whether order 1 is well known; 1 << 16 is one
@@ -81,11 +78,12 @@ class Model:
 
     def _frequencies(self) -> None:
         """Order-0 frequencies of seen ids, 1 or more each, `1 << ID_BITS` in all."""
-        total, size = int(self.seen.sum()), 1 << ID_BITS
-        ids = np.flatnonzero(self.seen)
+        times = np.bincount(self.pairs & MAX_ID, self.counts, MAX_ID + 1).astype(np.int64)
+        total, size = int(times.sum()), 1 << ID_BITS
+        ids = np.flatnonzero(times)
         self.frequency = np.zeros(MAX_ID + 1, np.int64)
         if len(ids):
-            share = np.maximum(1, self.seen[ids] * (size - len(ids)) // total)
+            share = np.maximum(1, times[ids] * (size - len(ids)) // total)
             share[np.argmax(share)] += size - int(share.sum())
             self.frequency[ids] = share
         # One number tells an id's outcome if not predicted, and begin and width of its part there: one look-up a step.
@@ -112,7 +110,6 @@ class Model:
         # Of each pair, as above: its second id, begin and width.
         self.after = np.r_[((self.pairs & MAX_ID) << 40) | (begin << 20) | np.diff(self.follow), 0]
         self.keys = np.r_[self.pairs, BEYOND]
-        self.fresh = True
         self.row = np.zeros(MAX_ID + 1, np.int64)
         self.row[before[first]] = np.arange(len(first)) << ID_BITS
         self.level = np.zeros(MAX_ID + 1, np.int64)
@@ -148,25 +145,18 @@ class Model:
         """cell: situation and outcome. held: whether the order-2 prediction was right."""
         sure = MOVES.take(self.sure + (held << 3))
         self.second[self.slot] = (np.where(held | (self.sure > 0), self.guess, ids) << 3) | sure
-        self.told.append((self.last << 16) | ids)
         self.before, self.last = self.last, ids
-        self.said.append(ids)
         self.outcomes.append(cell)
         self.steps += 1
-        if self.steps == self.next_refresh:
-            self._refresh()
-            self.next_refresh = self.steps + min(self.steps, REFRESH)
 
-    def _refresh(self) -> None:
-        self.seen += np.bincount(np.concatenate(self.said), minlength=MAX_ID + 1)
-        self._frequencies()
-        fresh = np.sort(np.concatenate(self.told))
-        first = np.flatnonzero(np.r_[True, fresh[1:] != fresh[:-1]])
-        fresh, many = fresh[first], np.diff(np.r_[first, len(fresh)])
+    def refresh(self, fresh: np.ndarray, many: np.ndarray) -> None:
+        """Learn from the pairs of ids coded since the last time, ascending, and how often each came."""
+        self.next_refresh = self.steps + min(self.steps, REFRESH)
         at = np.searchsorted(self.keys, fresh)
         known = self.keys[at] == fresh
         self.counts[at[known]] += many[known]
         self.pairs, self.counts = (np.insert(old, at[~known], new[~known]) for old, new in ((self.pairs, fresh), (self.counts, many)))
+        self._frequencies()
         self._followers()
         counts = np.bincount(np.concatenate(self.outcomes), minlength=4 * SITUATIONS).reshape(SITUATIONS, 4)
         self.happened += counts
@@ -188,7 +178,7 @@ class Model:
             self.weights[:, known] += (self.odds[:, part] * error[part]).sum(axis=1) // many >> 2
         self.weights = np.clip(self.weights, -(1 << 18), 1 << 18)
         self._classes()
-        self.said, self.told, self.outcomes = [], [], []
+        self.outcomes = []
 
 
 def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -217,11 +207,9 @@ def _shape(count: int) -> tuple[int, int]:
     return lanes, -(-count // lanes)
 
 
-def _pairs(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of an id and the one before it in its lane, ascending, and which of them each place of the grid has."""
-    pair = grid.copy()
-    pair[1:] |= grid[:-1] << 16
-    flat = pair.ravel()
+def _numbered(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of a grid, ascending, how often each occurs, and the number of each place's pair among them."""
+    flat = pairs.ravel()
     # Pair and place in one number sort several times faster than by an index.
     bits = len(flat).bit_length()
     if bits <= 31:
@@ -230,10 +218,18 @@ def _pairs(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     else:
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
-    fresh = np.r_[True, ordered[1:] != ordered[:-1]][: len(flat)]
+    fresh = np.r_[True, ordered[1:] != ordered[:-1]]
     numbers = np.empty(len(flat), np.int32)
-    numbers[order] = np.cumsum(fresh) - 1
-    return ordered[fresh], numbers.reshape(grid.shape)
+    numbers[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    first = np.flatnonzero(fresh)
+    return ordered[first], np.diff(np.r_[first, len(flat)]), numbers.reshape(pairs.shape)
+
+
+def _distinct(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same without the numbers."""
+    ordered = np.sort(pairs, axis=None)
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    return ordered[first], np.diff(np.r_[first, len(ordered)])
 
 
 def _at(bounds: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -258,31 +254,34 @@ def encode(ids: np.ndarray) -> bytes:
     at = base.copy()
     low, width = np.zeros(lanes, U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
     model = Model(lanes)
-    pairs, numbers = _pairs(grid)
-    for now, pair in zip(grid, numbers, strict=True):
-        model.situation()
-        held = now == model.guess
-        if model.fresh:
-            known = model.keys.searchsorted(pairs)
-            after = np.where(model.keys[known] == pairs, model.after[known] & LOW40 | (1 << 40), 0)
-            model.fresh = False
-        part, plain = after.take(pair), model.plain.take(now)
-        np.copyto(part, plain, where=part == 0)
-        np.copyto(part, 1 << ID_BITS, where=held)
-        cell = (model.where << 2) | (part >> 40)
-        span = model.span.take(cell)
-        wide = span & LOW20
-        unit = width >> U(CLASS_BITS + ID_BITS)
-        low += unit * ((span >> 20) + wide * ((part >> 20) & LOW20)).view(U)
-        width = unit * (wide * (part & LOW20)).view(U)
-        todo = _unsettled(low, width)
-        while len(todo):
-            some, span = _narrowed(low, width, todo)
-            place = at[todo]
-            out[place] = (some >> U(48)).astype(np.uint16)
-            at[todo] = place + 1
-            todo = _shifted(low, width, todo, some, span)
-        model.update(now, cell, held)
+    while model.steps < steps:
+        # All steps up to the next refresh meet the same frequencies.
+        begin, end = model.steps, min(model.next_refresh, steps)
+        pairs, many, numbers = _numbered((np.concatenate([model.last[None], grid[begin : end - 1]]) << 16) | grid[begin:end])
+        known = model.keys.searchsorted(pairs)
+        after = np.where(model.keys[known] == pairs, model.after[known] & LOW40 | (1 << 40), 0)
+        for now, pair in zip(grid[begin:end], numbers, strict=True):
+            model.situation()
+            held = now == model.guess
+            part, plain = after.take(pair), model.plain.take(now)
+            np.copyto(part, plain, where=part == 0)
+            np.copyto(part, 1 << ID_BITS, where=held)
+            cell = (model.where << 2) | (part >> 40)
+            span = model.span.take(cell)
+            wide = span & LOW20
+            unit = width >> U(CLASS_BITS + ID_BITS)
+            low += unit * ((span >> 20) + wide * ((part >> 20) & LOW20)).view(U)
+            width = unit * (wide * (part & LOW20)).view(U)
+            todo = _unsettled(low, width)
+            while len(todo):
+                some, span = _narrowed(low, width, todo)
+                place = at[todo]
+                out[place] = (some >> U(48)).astype(np.uint16)
+                at[todo] = place + 1
+                todo = _shifted(low, width, todo, some, span)
+            model.update(now, cell, held)
+        if end < steps:
+            model.refresh(pairs, many)
     # The fewest words that lie inside the interval whatever follows them.
     words = 3 - (width >= U(1 << 33)).astype(np.int64) - (width >= U(1 << 49))
     last = U(64) - U(16) * words.astype(U)
@@ -321,7 +320,7 @@ def decode(block: bytes) -> np.ndarray:
         at += 1
     low, width = np.zeros(lanes, U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
     model = Model(lanes)
-    grid = np.zeros((steps, lanes), np.int64)
+    grid, told = np.zeros((steps, lanes), np.int64), []
     for step in range(steps):
         model.situation()
         unit = width >> U(CLASS_BITS + ID_BITS)
@@ -337,7 +336,8 @@ def decode(block: bytes) -> np.ndarray:
         place = slot & MAX_ID
         part = model.by_slot.take(place)
         held = outcome == 0
-        np.copyto(part, model.after.take(_at(model.follow, model.row.take(model.last) + place)), where=outcome == 1)
+        some = np.flatnonzero(outcome == 1)
+        part[some] = model.after.take(_at(model.follow, model.row.take(model.last.take(some)) + place.take(some)))
         np.copyto(part, (slot << 40) | (slot << 20) | 1, where=outcome == 3)
         np.copyto(part, (model.guess << 40) | (1 << ID_BITS), where=held)
         now = part >> 40
@@ -350,8 +350,12 @@ def decode(block: bytes) -> np.ndarray:
             code[todo] = (code[todo] << U(16)) | words[place]
             at[todo] = place + 1
             todo = _shifted(low, width, todo, some, span)
+        told.append((model.last << 16) | now)
         model.update(now, cell, held)
         grid[step] = now
+        if model.steps == model.next_refresh and model.steps < steps:
+            model.refresh(*_distinct(np.concatenate(told)))
+            told = []
     ids = grid.T.reshape(-1)[:count]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
         raise ValueError("a block's ids do not match their checksum")
