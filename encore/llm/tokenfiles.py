@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +86,7 @@ def _ids_of_words(words: list[str], path: str) -> list[bytes]:
         if word.isalpha() and _is_simple(word):
             # A run of small letters is one word to the tokenizer as it is: only its merges are left to do.
             found = tokenizer.model.tokenize(word.translate(_letters))
-            fresh[word] = np.array([t.id for t in found], np.uint16).tobytes()
+            fresh[word] = array("H", [t.id for t in found]).tobytes()
         elif MARK not in word:
             plain.append(word)
     mark = np.array(tokenizer.encode(MARK, add_special_tokens=False).ids)
@@ -145,17 +146,21 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         offsets.append((np.cumsum(lengths) - lengths + base, lengths))
         index.append(part.indices.to_numpy(zero_copy_only=False).astype(np.int64))
         base += int(lengths.sum())
-    pool = np.concatenate([*flat, np.array([END_ID], np.uint16)])
-    # Each word is two ranges of the pool; a text is its words' ranges and the end id.
-    starts = np.stack([offsets[0][0][index[0]], offsets[1][0][index[1]]], axis=1) if len(words) else np.zeros((0, 2), np.int64)
-    lengths = np.stack([offsets[0][1][index[0]], offsets[1][1][index[1]]], axis=1) if len(words) else np.zeros((0, 2), np.int64)
-    start, length = starts[codes].reshape(-1), lengths[codes].reshape(-1)
-    ends_at = 2 * edges[1:]
-    start, length = np.insert(start, ends_at, len(pool) - 1), np.insert(length, ends_at, 1)
-    before = np.concatenate([[0], np.cumsum(length)])
-    ids = pool[np.repeat(start - before[:-1], length) + np.arange(before[-1])]
-    # Range number of each text's end: two per word so far, and one per text so far.
-    return np.concatenate([[0], before[ends_at + np.arange(1, len(ends_at) + 1)]]), ids
+    # Each distinct word is two ranges of these pieces; put together once, a text is one range per word and the end id.
+    starts, lengths = (np.stack([offsets[part][side][index[part]] for part in (0, 1)], axis=1).reshape(-1) for side in (0, 1))
+    pool = np.append(_ranges(np.concatenate(flat), starts, lengths), np.uint16(END_ID))
+    length = np.append(lengths.reshape(-1, 2).sum(axis=1), 1)
+    start = np.cumsum(length) - length
+    codes = np.insert(codes, edges[1:], len(words))
+    length = length[codes]
+    ends = np.cumsum(length)[edges[1:] + np.arange(len(edges) - 1)]
+    return np.concatenate([[0], ends]), _ranges(pool, start[codes], length)
+
+
+def _ranges(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The ranges of the pool one after the other."""
+    ends = np.cumsum(length)
+    return pool[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def _encode(path: str, block_ids: int):
