@@ -194,3 +194,23 @@ def test_plan_pairs_nothing_across(spark):
         result = top_k(spark.createDataFrame(users), index, k=3)
         plan = result._jdf.queryExecution().toString()
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_users_travel_once_per_run_and_carry_no_open_lists(spark, monkeypatch):
+    """On vectors whose bounds close little: a user is sent once for all chunks of a run, in few rounds."""
+    rng = np.random.default_rng(17)
+    names = [f"f{i}" for i in range(12)]
+    songs, users = vectors(rng, "song_id", 8_000, 12), vectors(rng, "user_id", 40, 12)
+    index = index_items(spark.createDataFrame(songs), "song_id", names, broadcast_rows=0, chunk_rows=32)
+    plain, sent, asked_for = topk.visited, [], []
+
+    def spy(asked, *rest):
+        sent.append(asked.rows.count())
+        asked_for.append(asked.select("user", "target").count())
+        return plain(asked, *rest)
+
+    monkeypatch.setattr(topk, "visited", spy)
+    assert found(top_k(spark.createDataFrame(users), index, k=5)) == brute_force(users, songs, 5)
+    runs = len(set((index.directory.target >> index.chunks.run_bits).tolist()))
+    assert len(sent) <= 3 and max(sent) <= 40 * runs
+    assert sum(asked_for) > 4 * sum(sent)
