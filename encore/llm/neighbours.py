@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A hash turns the unit vectors by a pseudo-rotation (three rounds of random signs and a fast Hadamard transform) and
-assigns them to the nearest signed axis. A table's code puts one or two hashes together: from `TWO_FROM` rows on two, so that
-buckets stay small while the table grows. A query looks into the `probes` buckets of every table whose signed axes lie
-nearest in sum.
+assigns them to the nearest signed axis. A table's code puts hashes together, two by default, whatever the number of rows:
+which rows a query meets depends on the two vectors alone. A query looks into the `probes` buckets of every table whose
+signed axes lie nearest in sum.
 
 Of equal vectors the index holds the k + 1 smallest ids, which are all that an answer can name, and equal queries are
 looked up once. Buckets are dealt by hash into cells of about `group_rows` index rows; a bucket that is larger by itself,
@@ -13,8 +13,9 @@ Within it only rows and queries of equal codes are compared, a bounded number of
 exact distance leave it. A query that still has fewer than k of the possible neighbours is compared with all rows, in
 groups of the same size.
 
-Measured on 10,256 vectors with hardly any near neighbours (10th nearest at 1.1, any other at 1.4): two hashes, 28 tables
-and 64 probes find 0.94 of the nearest among 13 % of all rows.
+Measured on normal vectors of 64 numbers, which have hardly any near neighbours: two hashes, 28 tables and 256 probes find 0.93
+of the nearest of 500 rows and 0.99 of 2,000, among 35 % of all rows. 64 probes find 0.94 of 10,256 such vectors among
+13 %, but 0.61 of 500.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from pyspark.sql.types import FloatType
 
 from encore.storage import materialize
 
-# (tables, probes) by the number of hashes of a code.
+# (tables, probes) by the number of hashes of a code, if that is asked for; otherwise the hashes, tables and probes that
+# find at least 0.9 of the nearest at any size.
 PLANS = {1: (24, 4), 2: (28, 64)}
-TWO_FROM = 8192
+DEFAULT = (2, 28, 256)
 GROUP_VALUES = 1 << 20  # numbers in the vectors of a group
 PAIR_VALUES = 1 << 21  # numbers compared at a time
 K = 10
@@ -213,8 +215,8 @@ def nearest_neighbours(
         return clean.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimension = sizes["size"]
     clean = clean.filter(F.size("vector") == dimension)
-    hashes = hashes or (1 if sizes["count"] < TWO_FROM else 2)
-    tables, probes = tables or PLANS[hashes][0], probes or PLANS[hashes][1]
+    plan = (hashes, *PLANS[hashes]) if hashes else DEFAULT
+    hashes, tables, probes = plan[0], tables or plan[1], probes or plan[2]
     group_rows = group_rows or max(64, GROUP_VALUES // dimension)
 
     # Of equal vectors an answer can only name the first k, or k + 1 if one of them asks.

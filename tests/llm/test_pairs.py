@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -194,3 +195,20 @@ def test_neighbours_of_copies_and_crowds(spark):
         if 200 <= place[query] < 500:
             assert got == [(0.0, i) for i in sorted([ids[0], *ids[200:500]]) if i != query][:10]
     assert hits >= 0.9 * 10 * len(rows)
+
+
+def test_neighbours_do_not_depend_on_the_number_of_rows(spark):
+    """8,000 more rows, too far away to be anybody's neighbours, change nothing; nearly all neighbours are found."""
+    rng = np.random.default_rng(23)
+    near, far = rng.normal(size=(600, 16)), 1e4 * rng.normal(size=(8_000, 16))
+
+    def told(vectors):
+        frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(vectors)), "embedding": vectors.tolist()}))
+        rows = nearest_neighbours(frame, (F.col("vec_id") % 20 == 0) & (F.col("vec_id") < 600)).collect()
+        return sorted((r.query_id, r.rank, r.vec_id) for r in rows)
+
+    few = told(near)
+    assert few == told(np.concatenate([near, far]))
+    gaps = np.linalg.norm(near[::20, None] - near[None], axis=2)
+    want = {(20 * q, int(i)) for q, row in enumerate(gaps) for i in np.argsort(row, kind="stable")[1:11]}
+    assert len(want & {(q, i) for q, _, i in few}) >= 0.9 * len(want)
