@@ -3,6 +3,7 @@
 import re
 from pathlib import Path
 
+from queries import views
 from queries.views import write_each
 
 
@@ -12,3 +13,15 @@ def test_several_tasks_write_one_file_per_value(spark, tmp_path):
     files = sorted(Path(tmp_path / "out").glob("file=*/*.txt"))
     assert {f.parent.name: f.read_text() for f in files} == {f"file={i}": f"text {i}\n" for i in range(40)}
     assert len(files) == 40 and len({re.match(r"part-(\d+)", f.name)[1] for f in files}) > 1
+
+
+def test_songs_and_actions_pass_no_table_through_the_driver(spark, tmp_path):
+    spark.sql("SELECT 1L AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 3 AS p_size, 2D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT 7L AS o_orderkey, 5L AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        "SELECT 7L AS l_orderkey, 1L AS l_partkey, 20D AS l_quantity, 0.1D AS l_discount, 0.2D AS l_tax, 30D AS l_extendedprice, "
+        "'N' AS l_returnflag, TIMESTAMP_NTZ '2020-01-01 00:00:00' AS l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for table in (views.songs(spark, str(tmp_path)), views.actions(spark, str(tmp_path))):
+        assert table.count() == 1
+        assert "Broadcast" not in table._jdf.queryExecution().executedPlan().toString()
