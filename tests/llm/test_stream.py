@@ -280,6 +280,60 @@ def test_pairs_of_all_blocks_are_counted():
         assert got.tolist() == want and len(edges) == 11
 
 
+def test_every_token_is_counted_after_three_others():
+    """Predictions of all tokens of all texts, against plain counts of all tokens of training's other texts."""
+    import pyarrow as pa
+
+    chance = random.Random(8)
+    texts = [[f"v{chance.randrange(3)}" for _ in range(chance.randrange(14))] for _ in range(40)]
+    held = [chance.random() < 0.3 for _ in texts]
+    words = np.array(["v0", "v1", "v2", "\n"])
+    codes = dict(zip(words, mixscore.word_hashes(pa.array(words, pa.large_string())), strict=True))
+    told = {w: max(int(codes[w]) >> 48, 1) for w in words}
+    padded = [["<3", "<2", "<1", *t, "\n"] for t in texts]
+    plain = collections.defaultdict(collections.Counter)
+    for text, out in zip(padded, held, strict=True):
+        for at in range(3, len(text)):
+            plain[tuple(text[at - 3 : at])][text[at]] += not out
+    blocks = [block_of(n, texts[n * 10 : n * 10 + 10], held[n * 10 : n * 10 + 10]) for n in range(4)]
+    table = pa.Table.from_batches(list(mixscore._grams(3)(iter(blocks))))
+    summed = pa.concat_tables([mixscore._sum_grams(table.filter(pa.compute.equal(table["part"], p))) for p in set(table["part"].to_pylist())])
+    for n, block in enumerate(blocks):
+        mine = summed.filter(pa.compute.equal(summed["block"], n)).sort_by("part")
+        followers = np.concatenate([mixscore.unpacked_planes(v.as_py(), 8).reshape(3, -1) for v in mine["totals"]], axis=1)
+        hashes, edges, out = mixscore._hashes_of(block, 0)
+        grams = mixscore.grams_of(hashes, edges)
+        found = followers[:, mixscore.in_order(grams >> np.uint64(16))]
+        cell, hit = mixscore.continued(found, grams, np.repeat(~out, np.diff(edges)), edges)
+        want_cell, want_hit = [], []
+        for text, is_held in zip(padded[n * 10 : n * 10 + 10], out, strict=True):
+            run, before = 0, 0
+            for at in range(3, len(text)):
+                counts = plain[tuple(text[at - 3 : at])] - (collections.Counter() if is_held else collections.Counter([text[at]]))
+                best, times = max(counts.items(), key=lambda c: (c[1], told[c[0]]), default=("", 0))
+                share = times / max(counts.total(), 1)
+                kind = min(int(math.log2(max(times, 1))), 3) * 4 + sum(share >= s for s in (0.999, 0.5, 0.15))
+                want_cell.append((kind * mixscore.RUN + run) * 3 + before if times else -1)
+                want_hit.append(times > 0 and best == text[at])
+                run, before = min(run + 1, mixscore.RUN - 1) if want_hit[-1] else 0, (times > 0) + want_hit[-1]
+        assert hit.tolist() == want_hit and cell.tolist() == want_cell
+
+
+def test_short_copies_are_predicted(spark):
+    """Words follow each other by chance, so only the three words before tell the next one, and only in a copy. Half of the
+    training texts occur twice. All lie in one block, which is scored in several slices."""
+    chance = random.Random(9)
+    texts = [" ".join(f"w{chance.randrange(25)}" for _ in range(11)) for _ in range(250)]
+    train = [k for k in range(5000) if zlib.crc32(str(k).encode()) % 10][:200]
+    held = [k for k in range(5000) if zlib.crc32(str(k).encode()) % 10 == 0][:100]
+    rows = [*zip(train, [*texts[:100], *texts[:50], *texts[:50]], strict=True), *zip(held, [*texts[:50], *texts[200:]], strict=True)]
+    rows += [(k, "") for k in range(5000, 5000 + 2 * mixscore.SLICE_TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    scored = {r["doc_id"]: r for r in mixscore.score_texts(docs).collect()}
+    gains = [scored[k]["score"] - scored[k]["base_score"] for k in held]
+    assert min(gains[:50]) > max(gains[50:])
+
+
 def test_followers():
     cell, hit, share = mixscore.followed(np.array([2, 0, 3, 1, 5]), np.array([4, 0, 3, 2, 8]), np.array([0, 3, 5]))
     assert hit.tolist() == [True, False, True, True, True]
