@@ -38,7 +38,8 @@ IS_MARK = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{
 BLOCKS = "part int, block int, n_ids long, keys array<{key}>, lengths array<long>, data binary"
 
 _tokenizers: dict = {}
-_known: dict[str, dict[str, bytes]] = {}
+# Words whose ids are known, all their ids in a row, and how many each has.
+_known: dict[str, tuple[pa.Array, np.ndarray, np.ndarray]] = {}
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -53,7 +54,6 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _tokenizers[path] = Tokenizer.from_file(path)
-        _known[path] = {}
     return _tokenizers[path]
 
 
@@ -75,17 +75,34 @@ def _is_simple(word: str) -> bool:
     return word.islower() and (word.isascii() or (max(word) < "\u0250" and word.lower() == word and unicodedata.is_normalized("NFC", word)))
 
 
-def _ids_of_words(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as unsigned 16-bit numbers. Many words are one call with a mark between them."""
-    tokenizer, known = _tokenizer(path), _known[path]
-    held = list(map(known.get, words))
-    missing = [w for w, v in zip(words, held, strict=True) if v is None]
-    fresh: dict[str, bytes] = {}
+def _ids_of_words(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids as unsigned 16-bit numbers, where those of each word begin there, how many it has) of distinct words."""
+    known = _known.get(path) or (pa.array([], pa.large_string()), np.zeros(0, np.uint16), np.zeros(0, np.int64))
+    place = pc.index_in(words, value_set=known[0])
+    new = pc.is_null(place)
+    missing = words.filter(new)
+    fresh = _fresh_ids(missing.to_pylist(), path)
+    pool = np.append(known[1], np.frombuffer(b"".join(fresh), np.uint16))
+    length = np.append(known[2], np.fromiter(map(len, fresh), np.int64, len(fresh)) // 2)
+    start = np.cumsum(length) - length
+    at = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+    at[new.to_numpy(zero_copy_only=False)] = np.arange(len(known[0]), len(length))
+    kept = min(len(length), KNOWN_WORDS)
+    if kept > len(known[0]):
+        both = pa.concat_arrays([known[0], missing.slice(0, kept - len(known[0]))])
+        _known[path] = both, pool[: int(length[:kept].sum())], length[:kept]
+    return pool, start[at], length[at]
+
+
+def _fresh_ids(missing: list[str], path: str) -> list[bytes]:
+    """Ids of each of these distinct words as unsigned 16-bit numbers. Many words are one call with a mark between them."""
+    tokenizer = _tokenizer(path)
+    merged, fresh = tokenizer.model.tokenize, {}
     plain = []
     for word in missing:
         if word.isalpha() and _is_simple(word):
             # A run of small letters is one word to the tokenizer as it is: only its merges are left to do.
-            found = tokenizer.model.tokenize(word.translate(_letters))
+            found = merged(word if word.isascii() else word.translate(_letters))
             fresh[word] = array("H", [t.id for t in found]).tobytes()
         elif MARK not in word:
             plain.append(word)
@@ -101,13 +118,10 @@ def _ids_of_words(words: list[str], path: str) -> list[bytes]:
         starts = np.concatenate([[0], ends + 1])
         ends = np.concatenate([ends, [len(ids)]])
         fresh.update((w, small[a:b].tobytes()) for w, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
-    for word in missing:
+    for word in missing if len(fresh) < len(missing) else []:
         if word not in fresh:
             fresh[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
-    room = KNOWN_WORDS - len(known)
-    out = [v if v is not None else fresh[w] for w, v in zip(words, held, strict=True)]
-    known.update(list(fresh.items())[: max(0, room)])
-    return out
+    return [fresh[word] for word in missing]
 
 
 def _cores(words: pa.Array, special: list[str]) -> tuple[pa.Array, pa.Array]:
@@ -140,27 +154,37 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     flat, offsets, index = [], [], []
     base = 0
     for part in coded:
-        pieces = _ids_of_words(part.dictionary.to_pylist(), path)
-        lengths = np.fromiter((len(p) for p in pieces), np.int64, len(pieces)) // 2
-        flat.append(np.frombuffer(b"".join(pieces), np.uint16))
-        offsets.append((np.cumsum(lengths) - lengths + base, lengths))
+        pool, starts, lengths = _ids_of_words(part.dictionary, path)
+        flat.append(pool)
+        offsets.append((starts + base, lengths))
         index.append(part.indices.to_numpy(zero_copy_only=False).astype(np.int64))
-        base += int(lengths.sum())
+        base += len(pool)
     # Each distinct word is two ranges of these pieces; put together once, a text is one range per word and the end id.
     starts, lengths = (np.stack([offsets[part][side][index[part]] for part in (0, 1)], axis=1).reshape(-1) for side in (0, 1))
     pool = np.append(_ranges(np.concatenate(flat), starts, lengths), np.uint16(END_ID))
     length = np.append(lengths.reshape(-1, 2).sum(axis=1), 1)
     start = np.cumsum(length) - length
-    codes = np.insert(codes, edges[1:], len(words))
-    length = length[codes]
-    ends = np.cumsum(length)[edges[1:] + np.arange(len(edges) - 1)]
-    return np.concatenate([[0], ends]), _ranges(pool, start[codes], length)
+    last = edges[1:] + np.arange(len(edges) - 1)
+    inside = np.ones(len(codes) + len(last), bool)
+    inside[last] = False
+    every = np.full(len(inside), len(words), np.int32)
+    every[inside] = codes
+    length = length.take(every)
+    return np.concatenate([[0], np.cumsum(length)[last]]), _ranges(pool, start.take(every), length)
 
 
 def _ranges(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The ranges of the pool one after the other."""
+    if not length.all():
+        start, length = start[length > 0], length[length > 0]
     ends = np.cumsum(length)
-    return pool[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+    if not len(ends):
+        return pool[:0]
+    # Places in the pool as sums of steps: one within a range, a jump where the next range begins.
+    steps = np.ones(ends[-1], np.int32 if max(len(pool), ends[-1]) < 1 << 31 else np.int64)
+    steps[0] = start[0]
+    steps[ends[:-1]] = start[1:] - start[:-1] - length[:-1] + 1
+    return pool.take(np.cumsum(steps, out=steps, dtype=steps.dtype))
 
 
 def _encode(path: str, block_ids: int):
