@@ -2,10 +2,12 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
 from encore.operators import topk
+from encore.operators.chunks import FACTS, Directory, facts_of
 from encore.operators.topk import index_items, top_k
 
 
@@ -214,3 +216,36 @@ def test_users_travel_once_per_run_and_carry_no_open_lists(spark, monkeypatch):
     runs = len(set((index.directory.target >> index.chunks.run_bits).tolist()))
     assert len(sent) <= 3 and max(sent) <= 40 * runs
     assert sum(asked_for) > 4 * sum(sent)
+
+
+def test_common_bounds_hold_for_every_user_and_tell_directions_apart():
+    rng = np.random.default_rng(21)
+
+    def around(rows, spread):
+        found = np.concatenate([np.full((rows, 1), 50.0), rng.normal(0, spread, (rows, 5))], axis=1)
+        return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+    # Songs of about one direction in small chunks, users in a narrow part of it.
+    facts = [facts_of(c + rng.normal(0, 1e-4, (16, 6))) for c in around(800, 2.0)]
+    columns = {n: np.array([f[n] for f in facts]) for n in FACTS if n != "first_key"}
+    known = Directory(target=np.arange(800), first_key=pa.array(["s"] * 800), **columns)
+    users = around(64, 0.3)
+    common, each = known.common_bounds(users), known.bounds(users)
+    assert (common >= each.max(axis=0) - 1e-12).all()
+    # As by single users but for the angle between them: by distance alone nearly all entries would stay.
+    floor = np.sort(each, axis=1)[:, -10].min()
+    assert (common >= floor).sum() < 250
+    assert (each.max(axis=0) + np.linalg.norm(users - users.mean(axis=0), axis=1).max() >= floor).sum() > 700
+
+
+def test_first_rounds_choose_among_bounded_entries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHOICE", (3, 5))
+    rng = np.random.default_rng(22)
+    songs, users = vectors(rng, "song_id", 400, 3, copies=90), vectors(rng, "user_id", 40, 3)
+    index = index_items(spark.createDataFrame(songs), "song_id", ["f0", "f1", "f2"], broadcast_rows=0, chunk_rows=4)
+    data = users[["f0", "f1", "f2"]].to_numpy()
+    for turn, most in enumerate((3, 5)):
+        entries, beyond = topk._candidates(index.directory, data, np.full(40, -np.inf), turn)
+        assert len(entries) == most and np.isfinite(beyond)
+    # What is left out is looked at in the last rounds.
+    assert found(top_k(spark.createDataFrame(users), index, k=7)) == brute_force(users, songs, 7)
