@@ -150,18 +150,13 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(edges of each text, ids) with the end id after each text."""
     edges, codes, words = split_words(texts)
     core, marks = _cores(words, [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()])
-    coded = [part.dictionary_encode() for part in (core, marks)]
-    flat, offsets, index = [], [], []
-    base = 0
-    for part in coded:
-        pool, starts, lengths = _ids_of_words(part.dictionary, path)
-        flat.append(pool)
-        offsets.append((starts + base, lengths))
-        index.append(part.indices.to_numpy(zero_copy_only=False).astype(np.int64))
-        base += len(pool)
+    # Known words are looked up once for both, as a look-up begins with hashing them all.
+    coded = pa.concat_arrays([core, marks]).dictionary_encode()
+    flat, starts, lengths = _ids_of_words(coded.dictionary, path)
     # Each distinct word is two ranges of these pieces; put together once, a text is one range per word and the end id.
-    starts, lengths = (np.stack([offsets[part][side][index[part]] for part in (0, 1)], axis=1).reshape(-1) for side in (0, 1))
-    pool = np.append(_ranges(np.concatenate(flat), starts, lengths), np.uint16(END_ID))
+    index = coded.indices.to_numpy(zero_copy_only=False).reshape(2, len(words)).T.reshape(-1)
+    starts, lengths = starts.take(index), lengths.take(index)
+    pool = np.append(_ranges(flat, starts, lengths), np.uint16(END_ID))
     length = np.append(lengths.reshape(-1, 2).sum(axis=1), 1)
     start = np.cumsum(length) - length
     last = edges[1:] + np.arange(len(edges) - 1)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from encore.llm import mixscore, rangecoder
+from encore.llm import mixscore, rangecoder, tokenfiles
 from encore.llm.mixing import _play, mix_sources, mixed_copies
 from encore.llm.tokenfiles import token_table, tokenizer_path, write_token_files
 from encore.storage import scratch_path
@@ -436,3 +437,14 @@ def test_one_query_per_operator():
     from encore.llm.queries import QUERIES
 
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_known_words_are_looked_up_once_for_words_and_marks(monkeypatch):
+    asked, look_up = [], tokenfiles._ids_of_words
+    monkeypatch.setattr(tokenfiles, "_ids_of_words", lambda words, path: asked.append(len(words)) or look_up(words, path))
+    path = tokenfiles.tokenizer_path()
+    texts = ["plain words, and marks!", "", "!? (more) words."]
+    edges, ids = tokenfiles.token_ids(pa.array(texts, pa.large_string()), path)
+    whole = [tokenfiles._tokenizer(path).encode(t, add_special_tokens=False).ids + [tokenfiles.END_ID] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == whole
+    assert len(asked) == 1
