@@ -249,3 +249,21 @@ def test_first_rounds_choose_among_bounded_entries(spark, monkeypatch):
         assert len(entries) == most and np.isfinite(beyond)
     # What is left out is looked at in the last rounds.
     assert found(top_k(spark.createDataFrame(users), index, k=7)) == brute_force(users, songs, 7)
+
+
+def test_search_sends_no_members_or_masks_through_the_driver(spark, monkeypatch):
+    plans, visited, materialize = [], topk.visited, topk.materialize
+
+    def told(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    monkeypatch.setattr(topk, "visited", lambda *args: told(visited(*args)))
+    monkeypatch.setattr(topk, "materialize", lambda df, purpose, *rest: materialize(told(df) if purpose == "masks" else df, purpose, *rest))
+    rng = np.random.default_rng(23)
+    songs, users = vectors(rng, "song_id", 60, 2), vectors(rng, "user_id", 10, 2)
+    index = index_items(spark.createDataFrame(songs), "song_id", ["f0", "f1"], broadcast_rows=0, chunk_rows=8)
+    seen = [("u1", "s3"), ("u2", "s4")]
+    result = top_k(spark.createDataFrame(users), index, k=2, exclude=spark.createDataFrame(seen, "user_id string, song_id string"))
+    assert found(result) == brute_force(users, songs, 2, exclude=seen)
+    assert len(plans) > 1 and not any("Broadcast" in p for p in plans)
