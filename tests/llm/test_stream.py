@@ -448,3 +448,59 @@ def test_known_words_are_looked_up_once_for_words_and_marks(monkeypatch):
     whole = [tokenfiles._tokenizer(path).encode(t, add_special_tokens=False).ids + [tokenfiles.END_ID] for t in texts]
     assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == whole
     assert len(asked) == 1
+
+
+def test_tokens_of_blocks_travel_as_lists():
+    """A block's tokens get their numbers in training and their costs back in the order of its list, one row per part."""
+    import pyarrow as pa
+
+    chance = random.Random(10)
+    blocks = []
+    for number in range(3):
+        words = [*{f"v{chance.randrange(400)}" for _ in range(200)}, "\n"]
+        counts = [chance.randrange(4) for _ in words]
+        blocks.append(pa.RecordBatch.from_pydict({"block": pa.array([number]), "tokens": pa.array([words]), "counts": pa.array([counts])}))
+    plain = collections.Counter()
+    for block in blocks:
+        plain.update(dict(zip(block["tokens"][0].as_py(), block["counts"][0].as_py(), strict=True)))
+    dealt = pa.Table.from_batches(list(mixscore._words(3)(iter(blocks))))
+    assert len(dealt) <= 3 * 8
+    seen, priced = set(), []
+    for part in range(8):
+        numbered = mixscore._number_words(dealt.filter(pa.compute.equal(dealt["part"], part)))
+        words, counts = numbered["words"][0].as_py(), numbered["counts"][0].as_py()
+        assert dict(zip(words, counts, strict=True)) == {w: plain[w] for w in words} and not seen & set(words)
+        seen |= set(words)
+        place = chance.sample(range(len(words)), len(words))  # costs come back in any order
+        scored = pa.table({"place": pa.array(place, pa.int32()), "count": [counts[p] for p in place], "cost": [-float(words[p][1:] or 0.5) for p in place]})
+        priced.append(mixscore._price_words(numbered.slice(1), scored))
+    assert seen == set(plain)
+    priced = pa.concat_tables(priced)
+    for number, block in enumerate(blocks):
+        mine = priced.filter(pa.compute.equal(priced["block"], number)).sort_by("part")
+        values = np.concatenate([mixscore.unpacked_planes(v.as_py(), 8).reshape(2, -1) for v in mine["totals"]], axis=1)
+        order, _ = mixscore.dealt(block["tokens"][0].values, 3)
+        words = [block["tokens"][0].values[int(i)].as_py() for i in order]
+        assert values[0].tolist() == [plain[w] for w in words]
+        assert values[1].view(np.float64).tolist() == [-float(w[1:] or 0.5) for w in words]
+
+
+def test_blocks_are_small(spark):
+    """Two tasks with a block each must leave room in an executor of 3 GB."""
+    docs = spark.range(24, numPartitions=1).selectExpr("id AS key", "false AS held", "repeat(concat('w', id, ' '), 400000) AS text")
+    schema = "block long, tokens array<string>, distinct long, trained long, counts array<long>, keys array<long>, held array<boolean>, lengths array<long>, codes binary"
+    rows = docs.mapInArrow(mixscore._blocks, schema).select("trained", "lengths").collect()
+    assert max(r["trained"] for r in rows) <= 5_500_000 and sum(len(r["lengths"]) for r in rows) == 24
+
+
+def test_names_in_order():
+    """Names that differ only in the bits that give way for places, among many that differ above."""
+    chance = np.random.default_rng(4)
+    for names in (
+        (chance.integers(0, 1 << 20, 300_000).astype(np.uint64) << np.uint64(28)) | chance.integers(0, 8, 300_000).astype(np.uint64),
+        chance.integers(0, 1 << 48, 70_000).astype(np.uint64), np.full(9, 7, np.uint64), np.zeros(0, np.uint64),
+        chance.integers(0, 1 << 63, 5_000).astype(np.uint64),
+    ):
+        order, ordered = mixscore.ordered_names(names)
+        assert (ordered == np.sort(names)).all() and (names[order] == ordered).all() and len(set(order.tolist())) == len(names)
+        assert (mixscore.in_order(names) == np.unique(names, return_inverse=True)[1]).all()
