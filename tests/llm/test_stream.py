@@ -504,3 +504,20 @@ def test_names_in_order():
         order, ordered = mixscore.ordered_names(names)
         assert (ordered == np.sort(names)).all() and (names[order] == ordered).all() and len(set(order.tolist())) == len(names)
         assert (mixscore.in_order(names) == np.unique(names, return_inverse=True)[1]).all()
+
+
+def test_workers_return_memory_after_a_group():
+    def rss():
+        return int(next(line for line in open("/proc/self/status") if line.startswith("VmRSS")).split()[1]) / 1024
+
+    def run(group, other):
+        pieces = [np.full(1 << 14, 1.0) for _ in range(1500)]  # 188 MB
+        held.append(pieces[-1].copy())  # lies above them, so they are not returned by themselves
+        return group
+
+    held = []
+    run(None, None)
+    mixscore.given_back(run)(None, None)
+    before = rss()
+    mixscore.given_back(run)(None, None)
+    assert rss() < before + 40
