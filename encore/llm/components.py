@@ -18,7 +18,8 @@ from encore.storage import materialize
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.union(edges.select("v", "u")) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    moved = both.join(least, both["u"] == least["w"])
+    # By a shuffle at every size: small files may hold a large table, which would pass the driver.
+    moved = both.join(least.hint("merge"), both["u"] == least["w"])
     moved = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else (
         moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
     )

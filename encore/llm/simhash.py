@@ -115,7 +115,9 @@ def linked_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         lowest = F.bit_count(part.bitwiseAND(-part) - 1)
         meets = F.when(part == 0, number * BITS).when(part.bitwiseAND(part - 1) == 0, number * BITS + lowest).otherwise(meets)
     close = (F.col("a") < F.col("b")) & (F.bit_count(apart) <= distance) & (F.col("variant") == meets)
-    return left.join(right, (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & close).select("a", "b")
+    # Joined by a shuffle at every size: the engine sizes the index by the fingerprints below it, 64 times too low, and would
+    # send all of it through the driver.
+    return left.join(right.hint("merge"), (F.col("variant") == F.col("v")) & (F.col("rest") == F.col("r")) & close).select("a", "b")
 
 
 def near_duplicates(
@@ -131,12 +133,13 @@ def near_duplicates(
     classes = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("_least")), "classes")
     pairs = materialize(linked_pairs(classes, distance), "links")
     groups = components(pairs, "a", "b")
-    named = classes.join(groups, classes["fingerprint"] == groups["id"], "left").select(
+    # These tables grow with the documents, and small files may hold a large table: none is sent through the driver.
+    named = classes.join(groups.hint("merge"), classes["fingerprint"] == groups["id"], "left").select(
         F.col("fingerprint").alias("_f"), "_least", F.coalesce("component", "fingerprint").alias("_group")
     )
     least = named.groupBy("_group").agg(F.min("_least").alias("component_id")).withColumnRenamed("_group", "_g")
-    labels = materialize(named.join(least, named["_group"] == least["_g"]).select("_f", "component_id"), "labels")
-    return prints.join(labels, prints["fingerprint"] == labels["_f"]).select(key, "fingerprint", "component_id")
+    labels = materialize(named.join(least.hint("merge"), named["_group"] == least["_g"]).select("_f", "component_id"), "labels")
+    return prints.join(labels.hint("merge"), prints["fingerprint"] == labels["_f"]).select(key, "fingerprint", "component_id")
 
 
 def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:

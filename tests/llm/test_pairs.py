@@ -7,9 +7,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from encore.llm import components as components_module
+from encore.llm import simhash
 from encore.llm.components import components
 from encore.llm.neighbours import PLANS, codes_of, hadamard, nearest_neighbours
 from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments
+from encore.storage import materialize
 
 
 def plain_fingerprint(text: str, words: int) -> int:
@@ -19,6 +22,10 @@ def plain_fingerprint(text: str, words: int) -> int:
     return sum(1 << b for b in range(64) if hashes and 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fingerprint():
     for text in ["", "a", "a b c", "a b c d", "x y z x y z x y z w", " ".join(map(str, range(700)))]:
         assert fingerprint_of(text.encode(), 4) == plain_fingerprint(text, 4)
@@ -45,6 +52,23 @@ def test_linked_pairs_are_all_pairs(spark):
     assert sorted(map(tuple, found)) == sorted(want)
 
 
+def test_no_table_of_near_duplicates_passes_the_driver(spark, monkeypatch):
+    # A few kilobytes of fingerprints: the engine takes all of these for small tables.
+    plans = []
+
+    def noted(df, *args):
+        stored = materialize(df, *args)
+        plans.append(plan_of(df))
+        return stored
+
+    monkeypatch.setattr(simhash, "materialize", noted)
+    monkeypatch.setattr(components_module, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"{i % 300} {i // 300} same words in all of the texts") for i in range(600)], "doc_id long, text string")
+    plans += [plan_of(near_duplicates(docs)), plan_of(keep_representatives(docs))]
+    assert any("Generate" in p for p in plans) and any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (11, 10), (5, 5), (None, 7), *[(100 + i, 101 + i) for i in range(40)], *[(200, 201 + i) for i in range(30)]]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
