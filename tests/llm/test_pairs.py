@@ -7,11 +7,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from encore.llm import components as components_module
 from encore.llm import simhash
 from encore.llm.components import components
 from encore.llm.neighbours import PLANS, codes_of, hadamard, nearest_neighbours
-from encore.llm.simhash import fingerprint_of, keep_representatives, linked_pairs, near_duplicates, segments
+from encore.llm.simhash import fingerprint_of, fingerprints, keep_representatives, linked_pairs, near_duplicates, segments
 from encore.storage import materialize
 
 
@@ -69,6 +70,12 @@ def test_no_table_of_near_duplicates_passes_the_driver(spark, monkeypatch):
     assert not [p for p in plans if "Broadcast" in p]
 
 
+def test_dedup_stage_of_the_pipeline_broadcasts_nothing(spark):
+    docs = spark.createDataFrame([(i, f"{i % 300} {i // 300} same words in all of the texts", "a") for i in range(600)], "doc_id long, text string, source string")
+    assert "Broadcast" not in plan_of(linked_pairs(fingerprints(docs)))
+    assert "Broadcast" not in plan_of(corpus_pipeline.near_duplicates(spark, docs, ""))
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (11, 10), (5, 5), (None, 7), *[(100 + i, 101 + i) for i in range(40)], *[(200, 201 + i) for i in range(30)]]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
