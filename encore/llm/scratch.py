@@ -2,16 +2,6 @@
 
 from __future__ import annotations
 
-import gc
+from encore.storage import freed
 
-from pyspark.sql import SparkSession
-
-
-def freed(spark: SparkSession) -> None:
-    """Let the driver drop what it no longer holds, so that Spark deletes the shuffle files of finished steps now.
-
-    Spark deletes them when the driver's JVM happens to collect its garbage, which a driver with little to do may not do
-    for half an hour.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+__all__ = ["freed"]

@@ -4,13 +4,16 @@ import os
 
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from encore import storage
 from encore.operators import tables as ops
 from encore.operators.impute import columns_with_gaps, impute
+from encore.operators.topk import index_items, top_k
 from encore.plans.collab import (
     als_matches, best_by_factors, fit_als, indexed_ratings, training_rows,
 )
@@ -22,7 +25,7 @@ from encore.schemas import CLEAN_SONG, RAW_SONG
 from encore.plans.daily import run_daily
 from encore.sinks.catalog import recommendation_table
 from encore.sinks.files import read_keyed
-from encore.storage import materialize, scratch_path, scratch_scope
+from encore.storage import SHUFFLE_CLEANUP, freed, materialize, scratch_path, scratch_scope
 from queries import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -191,6 +194,57 @@ def test_daily_batch(spark):
     assert read_keyed(spark, serving["content"]).count() == spark.table(tables["content"]).count() > 1000
 
 
+def shuffles_of(spark):
+    """Numbers of the shuffles that have files."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {n.split("_")[1] for folder in folders for _, _, names in os.walk(folder) for n in names if n.startswith("shuffle_")}
+
+
+def soon(condition):
+    """Files are deleted in the background."""
+    end = time.time() + 20
+    while not (met := condition()) and time.time() < end:
+        time.sleep(0.2)
+    return met
+
+
+def test_written_tables_keep_no_shuffle_files(spark):
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    before = shuffles_of(spark)
+    rows = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    stored = materialize(rows, "shuffled")
+    assert soon(lambda: shuffles_of(spark) <= before)
+    assert sorted(r["count"] for r in stored.collect()) == sorted(r["count"] for r in rows.collect())
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    with pytest.raises(Exception):
+        materialize(rows.select(F.raise_error(F.lit("no"))), "failed")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_rounds_of_the_factor_model_keep_no_shuffle_files(spark):
+    ratings = spark.range(400).select(
+        (F.col("id") % 20).cast("int").alias("user_index"), (F.col("id") % 23).cast("int").alias("song_index"), (F.col("id") % 5).cast("float").alias("rating"))
+    freed(spark)
+    before = shuffles_of(spark)
+    model = fit_als(ratings, blocks=2)
+    # Ten rounds of two shuffles each, and a few of the input.
+    assert soon(lambda: len(shuffles_of(spark) - before) < 15)
+    found = best_by_factors(model, 3)
+    assert found.count() == 60
+
+
+def test_search_keeps_no_users_of_earlier_rounds(spark):
+    names = ["p", "q", "r"]
+    rows = spark.range(2000).select(F.col("id").alias("key"), *[F.randn(i).alias(n) for i, n in enumerate(names)])
+    rows = materialize(rows, "search-rows")
+    with scratch_scope(spark):
+        index = index_items(rows, "key", names, metric="dot", broadcast_rows=0, chunk_rows=16)
+        found = top_k(rows.withColumnRenamed("key", "user_id"), index, k=3)
+        rounds = [p for p in storage._open_scopes()[-1] if "/frontier-" in p]
+        assert len(rounds) > 2 and not [p for p in rounds[:-1] if os.path.exists(f"{p.removeprefix('file:')}/finished=false")]
+        assert found.count() == 6000
+
+
 def test_scratch_scope_removes_its_tables(spark):
     with scratch_scope(spark):
         table = materialize(spark.range(3), "scope")
