@@ -5,10 +5,12 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from encore.operators import topk
+from encore.operators import kernels, topk
 from encore.operators.chunks import FACTS, Directory, facts_of
 from encore.operators.topk import index_items, top_k
+from encore.storage import materialize
 
 
 def vectors(rng, key, rows, dims, copies=0, zeros=0, low=-1.0):
@@ -267,3 +269,25 @@ def test_search_sends_no_members_or_masks_through_the_driver(spark, monkeypatch)
     result = top_k(spark.createDataFrame(users), index, k=2, exclude=spark.createDataFrame(seen, "user_id string, song_id string"))
     assert found(result) == brute_force(users, songs, 2, exclude=seen)
     assert len(plans) > 1 and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("hidden", [False, True])
+def test_a_block_of_equal_scores_is_cut_before_it_is_sorted(monkeypatch, hidden):
+    random = np.random.default_rng(5)
+    items = np.round(random.normal(size=(300, 2))).repeat(2, axis=0)  # few values, so many equal scores
+    users = np.vstack([np.round(random.normal(size=(40, 2))), np.zeros((1, 2))])
+    pairs = np.nonzero(random.random((len(users), len(items))) < 0.3) if hidden else None
+    floor = np.where(np.arange(len(users)) % 2 == 0, -np.inf, 0.0)
+    most, sort = [], np.lexsort
+    monkeypatch.setattr(kernels.np, "lexsort", lambda keys: most.append(len(keys[0])) or sort(keys))
+    row, item, score, rank = (np.concatenate(x) for x in zip(*kernels.best_matches(users, items, 7, floor, False, pairs), strict=True))
+    assert max(most) <= 7 * len(users)
+    scores = users @ items.T
+    if hidden:
+        scores[pairs] = -np.inf
+    want = []
+    for u in range(len(users)):
+        reach = np.flatnonzero(scores[u] >= max(floor[u], np.finfo(float).min))
+        want += [(u, i, scores[u, i], n) for n, i in enumerate(reach[sort((reach, -np.round(scores[u, reach], 9)))][:7])]
+    assert list(zip(row, item, rank, strict=True)) == [(u, i, n) for u, i, _, n in want]
+    assert np.allclose(score, [s for _, _, s, _ in want])
