@@ -291,3 +291,39 @@ def test_a_block_of_equal_scores_is_cut_before_it_is_sorted(monkeypatch, hidden)
         want += [(u, i, scores[u, i], n) for n, i in enumerate(reach[sort((reach, -np.round(scores[u, reach], 9)))][:7])]
     assert list(zip(row, item, rank, strict=True)) == [(u, i, n) for u, i, _, n in want]
     assert np.allclose(score, [s for _, _, s, _ in want])
+
+
+def test_lists_of_seen_items_go_on_over_batches():
+    random = np.random.default_rng(2)
+    rows = sorted((f"u{random.integers(6)}", int(random.integers(3)), n) for n in range(200))
+    table = pa.table({"user": [r[0] for r in rows], "run": [r[1] for r in rows], "item": [r[2] for r in rows]})
+    want = {}
+    for user, run, item in rows:
+        want.setdefault((user, run), []).append(item)
+    for size in (1, 7, 1000):
+        found = [r for b in topk._lists(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert {(r["user"], r["run"]): r["mask"] for r in found} == want and len(found) == len(want)
+    assert not list(topk._lists(iter([])))
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "double"])
+def test_masks_of_keys_of_any_kind(spark, kind):
+    items = spark.range(64).select("id", F.cos("id").alias("p"), F.sin("id").alias("q"))
+    index = index_items(items, "id", ["p", "q"], broadcast_rows=0, chunk_rows=4)
+    users = spark.range(5).select(F.col("id").cast(kind).alias("user_id"), F.cos("id").alias("p"), F.sin("id").alias("q"))
+    # Repeated pairs, unknown items, and nulls on both sides change nothing.
+    seen = spark.range(5).join(spark.range(40).withColumnRenamed("id", "n")).select(F.col("id").cast(kind).alias("user_id"), ((F.col("id") + F.col("n")) % 20).alias("id"))
+    odd = spark.createDataFrame([(None, 1), ("1", None), ("1", 1000)], "user_id string, id long").select(F.col("user_id").cast(kind), "id")
+    found = top_k(users, index, k=64, exclude=seen.unionByName(odd))
+    assert {(float(r["user_id"]), r["id"]) for r in found.collect()} == {(float(u), i) for u in range(5) for i in range(20, 64)}
+
+
+def test_masks_are_cut_from_sorted_rows(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(topk, "materialize", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialize(df, *a))
+    items = spark.range(64).select("id", F.cos("id").alias("p"), F.sin("id").alias("q"))
+    index = index_items(items, "id", ["p", "q"], broadcast_rows=0, chunk_rows=4)
+    users = items.select(F.col("id").cast("string").alias("user_id"), "p", "q")
+    top_k(users, index, k=2, exclude=users.select("user_id", F.col("user_id").cast("long").alias("id")))
+    masks = [p for p in plans if "AS run" in p and "item" in p and "MapInArrow" in p and "collect_set" not in p]
+    assert masks and not any("collect_set" in p for p in plans)
